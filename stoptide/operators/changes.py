@@ -24,6 +24,14 @@ def cycle_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key", "cycle").agg(F.max_by("digest", "position").alias("digest"))
 
 
+def merge_state(state: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    """State of a batch on top of what was known before it."""
+    if earlier is None:
+        return state
+    kept = earlier.join(state.select("key", "cycle"), ["key", "cycle"], "left_anti")
+    return state.unionByName(kept)
+
+
 def changed_since_previous(rows: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Rows whose content differs from the previous cycle's.
 
@@ -36,8 +44,7 @@ def changed_since_previous(rows: DataFrame, earlier: DataFrame | None = None) ->
     rows then meet it in a semi join, whose larger side Spark splits when one key dominates.
     """
     state = cycle_state(rows)
-    known = state if earlier is None else state.unionByName(earlier)
-    previous = known.select("key", (F.col("cycle") + 1).alias("cycle"), "digest")
+    previous = merge_state(state, earlier).select("key", (F.col("cycle") + 1).alias("cycle"), "digest")
     changed = state.join(previous, ["key", "cycle", "digest"], "left_anti")
     return rows.join(changed.select("key", "cycle"), ["key", "cycle"], "left_semi")
 

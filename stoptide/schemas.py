@@ -1,49 +1,54 @@
-"""Declared schemas. Nothing in this package infers one."""
+"""Declared schemas. Nothing in this package infers one.
+
+Schemas whose fields are walked in code are types; the others are DDL texts, which every
+reader and parser takes as they are and which need no running session.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 
-def _fields(text: str) -> list[T.StructField]:
-    return list(T.StructType.fromDDL(text).fields)
-
-
 # One landed record: the columns the Kafka source produces, the value left unparsed.
-# The corrupt-record column has to be declared, or malformed lines are dropped.
+# The corrupt-record column has to be declared, or malformed lines are dropped. All columns
+# are declared nullable, also those that must not be NULL: readers do not enforce the
+# declaration, but the optimizer trusts it and would remove the test that finds such rows.
 RECORD = T.StructType([
-    T.StructField("topic", T.StringType(), False),
-    T.StructField("partition", T.IntegerType(), False),
-    T.StructField("offset", T.LongType(), False),
-    T.StructField("timestamp", T.LongType(), True),
-    T.StructField("key", T.StringType(), True),
-    T.StructField("value", T.StringType(), False),
-    T.StructField("_corrupt_record", T.StringType(), True),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.LongType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 RECORD_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "value"]
 RECORD_REQUIRED = ["topic", "partition", "offset", "value"]
 
-BRONZE = T.StructType(
-    list(RECORD.fields)
-    + _fields("_source_file STRING, _bronze_ingested_at TIMESTAMP")
-)
+BRONZE = T.StructType([
+    *RECORD.fields,
+    T.StructField("_source_file", T.StringType()),
+    T.StructField("_bronze_ingested_at", T.TimestampType()),
+])
 
-# The observation payload.
-PAYLOAD = T.StructType.fromDDL(
-    """
-    stop_id STRING, station_eva BIGINT, station_name STRING, trip_id STRING,
-    start_datetime STRING, stop_index INT,
-    train_category STRING, train_number STRING, train_operator STRING, train_filter STRING,
-    planned_arrival STRING, changed_arrival STRING,
-    planned_departure STRING, changed_departure STRING,
-    planned_arrival_platform STRING, planned_departure_platform STRING,
-    changed_arrival_platform STRING, changed_departure_platform STRING,
-    planned_path_from STRING, planned_path_to STRING,
-    changed_path_from STRING, changed_path_to STRING,
-    arrival_status STRING, departure_status STRING, cancelled_at STRING,
-    brand STRING, messages ARRAY<ARRAY<STRING>>, observed_at STRING
-    """
-)
+# The observation payload: texts, except for these.
+_PAYLOAD_TYPES = {
+    "station_eva": T.LongType(),
+    "stop_index": T.IntegerType(),
+    "messages": T.ArrayType(T.ArrayType(T.StringType())),
+}
+PAYLOAD = T.StructType([
+    T.StructField(name, _PAYLOAD_TYPES.get(name, T.StringType()))
+    for name in """
+    stop_id station_eva station_name trip_id start_datetime stop_index
+    train_category train_number train_operator train_filter
+    planned_arrival changed_arrival planned_departure changed_departure
+    planned_arrival_platform planned_departure_platform
+    changed_arrival_platform changed_departure_platform
+    planned_path_from planned_path_to changed_path_from changed_path_to
+    arrival_status departure_status cancelled_at brand messages observed_at
+    """.split()
+])
 
 PLAN_FIELDS = [
     "train_category", "train_number", "train_operator", "train_filter",
@@ -60,8 +65,7 @@ CHANGE_FIELDS = [
 
 # Timetable documents: attributes carry the prefix "_".
 _MESSAGE = "STRUCT<_t: STRING, _c: STRING, _cat: STRING>"
-PLAN_DOCUMENT = T.StructType.fromDDL(
-    """
+PLAN_DOCUMENT = """
     _station STRING,
     s ARRAY<STRUCT<
         _id: STRING,
@@ -69,9 +73,7 @@ PLAN_DOCUMENT = T.StructType.fromDDL(
         ar: STRUCT<_pt: STRING, _pp: STRING, _ppth: STRING>,
         dp: STRUCT<_pt: STRING, _pp: STRING, _ppth: STRING>>>
     """
-)
-CHANGE_DOCUMENT = T.StructType.fromDDL(
-    f"""
+CHANGE_DOCUMENT = f"""
     _station STRING, _eva STRING,
     s ARRAY<STRUCT<
         _id: STRING, _eva: STRING,
@@ -81,38 +83,27 @@ CHANGE_DOCUMENT = T.StructType.fromDDL(
                    _fb: STRING, m: ARRAY<{_MESSAGE}>>,
         m: ARRAY<{_MESSAGE}>>>
     """
-)
 
-STATION = T.StructType.fromDDL(
-    """
+STATION = """
     station_eva BIGINT, station_name STRING, stada_name STRING,
     latitude DOUBLE, longitude DOUBLE, coordinate_source STRING,
     category INT, federal_state STRING, route_calls BIGINT
     """
-)
-POLL_TARGET = T.StructType.fromDDL(
-    """
+POLL_TARGET = """
     eva BIGINT, name STRING, stada_name STRING, station_number BIGINT, category INT,
     federal_state STRING, route_calls BIGINT, longitude DOUBLE, latitude DOUBLE
     """
-)
 _EVA = """STRUCT<number: BIGINT, isMain: BOOLEAN,
     geographicCoordinates: STRUCT<coordinates: ARRAY<DOUBLE>>>"""
-STATION_MASTER_ENTRY = T.StructType.fromDDL(
-    f"""
-    number BIGINT, name STRING, category INT, federalState STRING,
-    evaNumbers ARRAY<{_EVA}>
-    """
-)
-STATION_MASTER = T.StructType([
-    T.StructField("result", T.ArrayType(STATION_MASTER_ENTRY)),
-])
-SEGMENT_GEOMETRY = T.StructType.fromDDL(
+STATION_MASTER_ENTRY = f"""
+    number: BIGINT, name: STRING, category: INT, federalState: STRING,
+    evaNumbers: ARRAY<{_EVA}>
     """
+STATION_MASTER = f"result ARRAY<STRUCT<{STATION_MASTER_ENTRY}>>"
+SEGMENT_GEOMETRY = """
     from_station STRING, to_station STRING, track_km DOUBLE,
     coordinates ARRAY<ARRAY<DOUBLE>>
     """
-)
 
 # Static timetable tables: every value is a text.
 GTFS = {
@@ -130,22 +121,17 @@ GTFS = {
 }
 
 # Realtime feed, flattened.
-TRIP_UPDATE = T.StructType.fromDDL(
-    """
+TRIP_UPDATE = """
     trip_id STRING, route_id STRING, start_date STRING, start_time STRING,
     direction_id INT, trip_relationship STRING, update_ts BIGINT, delay INT,
     vehicle_id STRING, vehicle_label STRING, vehicle_plate STRING
     """
-)
-STOP_UPDATE = T.StructType.fromDDL(
-    """
+STOP_UPDATE = """
     trip_id STRING, start_date STRING, stop_sequence INT, stop_id STRING,
     arrival_delay INT, departure_delay INT, arrival_time BIGINT, departure_time BIGINT,
     stop_relationship STRING
     """
-)
-ALERT = T.StructType.fromDDL(
-    """
+ALERT = """
     cause STRING, effect STRING, severity STRING,
     has_informed_entity BOOLEAN, has_active_period BOOLEAN, has_header BOOLEAN,
     has_url BOOLEAN,
@@ -153,4 +139,3 @@ ALERT = T.StructType.fromDDL(
                           trip_id: STRING>>,
     texts ARRAY<STRING>
     """
-)

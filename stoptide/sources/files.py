@@ -43,8 +43,8 @@ def landed_stream(spark: SparkSession, path: str,
 def record_fault() -> Column:
     """A line that did not parse, or valid JSON of another shape.
 
-    The reader does not enforce `nullable = false`: JSON of another shape comes in as a row
-    of NULLs without a corrupt record, so the required columns are tested as well.
+    JSON of another shape comes in as a row of NULLs without a corrupt record, so the
+    required columns are tested as well.
     """
     fault = F.col("_corrupt_record").isNotNull()
     for name in S.RECORD_REQUIRED:

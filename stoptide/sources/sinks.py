@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Gather the rows of each partition value before a partitioned write.
+
+    Without it every task writes a file into every directory. Unlike a plain repartition,
+    the adaptive rebalance splits values that hold much data and merges small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df
+
+
 def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
@@ -22,7 +31,8 @@ def overwrite_table(df: DataFrame, table: str, *, fmt: str = "parquet",
     With `buckets` the table is stored hashed by `bucket_by`, and later windows and joins on
     those columns read it without a shuffle.
     """
-    writer = df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true") \
+    writer = by_partition(df, partition_by).write.mode("overwrite").format(fmt) \
+        .option("overwriteSchema", "true") \
         .option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -35,7 +45,7 @@ def overwrite_table(df: DataFrame, table: str, *, fmt: str = "parquet",
 
 def overwrite_path(df: DataFrame, path: str, *, fmt: str = "parquet",
                    partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite").format(fmt) \
+    writer = by_partition(df, partition_by).write.mode("overwrite").format(fmt) \
         .option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -49,7 +59,7 @@ def append_jsonl_daily(observations: DataFrame, path: str, moment: str = "observ
     """
     day = F.date_format(F.col(moment).cast("timestamp"), "yyyy-MM-dd")
     (
-        observations.withColumn("dt", day)
+        by_partition(observations.withColumn("dt", day), ["dt"])
         .write.mode("append").partitionBy("dt")
         .option("ignoreNullFields", "false").json(path)
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import changed_since_previous, cycle_state
+from ..operators.changes import changed_since_previous, cycle_state, merge_state
 
 _STATE = "key STRING, cycle INT, digest STRING"
 
@@ -39,11 +39,7 @@ def filter_changes(rows: DataFrame, out: str, state: str, checkpoint: str) -> St
         emitted = changed_since_previous(current, previous)
         emitted.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-        known = cycle_state(current)
-        if previous is not None:
-            # Rows of this batch replace state of the same key and cycle.
-            known = known.unionByName(
-                previous.join(known.select("key", "cycle"), ["key", "cycle"], "left_anti"))
+        known = merge_state(cycle_state(current), previous)
         newest = known.agg(F.max("cycle")).scalar()
         known.filter(F.col("cycle") >= newest - 1) \
             .write.mode("overwrite").parquet(_slot(state, number))
