@@ -11,7 +11,7 @@ from .identity import (
     platform_change,
     split_stop_id,
 )
-from .numbers import percent, percentile_array, share
+from .numbers import computed_once, percent, percentile_array, share
 from .routes import (
     downsample,
     path_array,
@@ -34,7 +34,7 @@ from .times import (
 
 __all__ = [
     "BERLIN", "LONG_DISTANCE_CATEGORIES", "brand_fallback", "cancel_flag",
-    "content_digest", "db_timestamp", "delay_minutes", "downsample", "in_scope",
+    "computed_once", "content_digest", "db_timestamp", "delay_minutes", "downsample", "in_scope",
     "is_long_distance", "is_strict_long_distance", "iso_timestamp", "path_array",
     "percent", "percentile_array", "planned_minutes", "platform_change", "point_at",
     "route_build", "route_destination", "route_origin", "segment_label", "service_date",

@@ -1,4 +1,4 @@
-"""Shares and percentiles."""
+"""Shares, percentiles, and expressions worth computing only once."""
 
 from __future__ import annotations
 
@@ -24,3 +24,13 @@ def percentile_array(value: Column, points: list[float]) -> Column:
     actual elements of the group.
     """
     return F.percentile_approx(value, [float(p) for p in points])
+
+
+def computed_once(value: Column) -> Column:
+    """`value` behind a one-element explode, one row in, one row out.
+
+    Filters on its parts then stay above it. Inlined, they would be pushed below the
+    projection with a copy of the expression each, and a parser would read every text
+    several times.
+    """
+    return F.explode(F.array(value))

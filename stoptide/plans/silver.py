@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import (
     cancel_flag,
+    computed_once,
     db_timestamp,
     delay_minutes,
     iso_timestamp,
@@ -37,7 +38,7 @@ def flatten(records: DataFrame) -> DataFrame:
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         *lineage,
-        F.from_json("value", S.PAYLOAD).alias("obs"),
+        computed_once(F.from_json("value", S.PAYLOAD)).alias("obs"),
     ).select("kafka_partition", "kafka_offset", *lineage, "obs.*")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import computed_once
 
 # The XML reader gives one all-NULL struct for an HTML page, for junk and for an empty
 # timetable alike, so the root is tested on the text.
@@ -28,7 +29,7 @@ def _stops(documents: DataFrame, column: str, schema) -> DataFrame:
     """One row per <s>; the other columns of the document stay with it."""
     others = [c for c in documents.columns if c != column]
     parsed = documents.filter(is_timetable(F.col(column))).select(
-        *others, F.from_xml(F.col(column), schema).alias("doc"))
+        *others, computed_once(F.from_xml(F.col(column), schema)).alias("doc"))
     return parsed.select(*others, F.explode("doc.s").alias("s"))
 
 
