@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranks import running_total
@@ -24,12 +24,13 @@ def cycle_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key", "cycle").agg(F.max_by("digest", "position").alias("digest"))
 
 
-def merge_state(state: DataFrame, earlier: DataFrame | None) -> DataFrame:
-    """State of a batch on top of what was known before it."""
+def merge_state(state: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """State of a batch (`current`) on top of what was known before it."""
+    current = state.withColumn("current", F.lit(True))
     if earlier is None:
-        return state
+        return current
     kept = earlier.join(state.select("key", "cycle"), ["key", "cycle"], "left_anti")
-    return state.unionByName(kept)
+    return current.unionByName(kept.withColumn("current", F.lit(False)))
 
 
 def changed_since_previous(rows: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -40,13 +41,17 @@ def changed_since_previous(rows: DataFrame, earlier: DataFrame | None = None) ->
     one cycle share the digest of the last of them. `earlier` is state of past cycles,
     (key, cycle, digest).
 
-    The comparison happens on one row per key and cycle, after a map-side aggregation; the
-    rows then meet it in a semi join, whose larger side Spark splits when one key dominates.
+    The comparison happens on one row per key and cycle, made by a map-side aggregation, so
+    a key's window holds as many rows as there are cycles, however many rows it has. The rows
+    then meet the result in a semi join, whose larger side Spark splits when a key dominates.
     """
-    state = cycle_state(rows)
-    previous = merge_state(state, earlier).select("key", (F.col("cycle") + 1).alias("cycle"), "digest")
-    changed = state.join(previous, ["key", "cycle", "digest"], "left_anti")
-    return rows.join(changed.select("key", "cycle"), ["key", "cycle"], "left_semi")
+    known = merge_state(cycle_state(rows), earlier)
+    by_cycle = Window.partitionBy("key").orderBy("cycle")
+    unchanged = (F.lag("cycle").over(by_cycle) == F.col("cycle") - 1) \
+        & (F.lag("digest").over(by_cycle) == F.col("digest"))
+    changed = known.withColumn("unchanged", F.coalesce(unchanged, F.lit(False))) \
+        .filter("current AND NOT unchanged").select("key", "cycle")
+    return rows.join(changed, ["key", "cycle"], "left_semi")
 
 
 def cycle_counters(rows: DataFrame, emitted: DataFrame) -> DataFrame:

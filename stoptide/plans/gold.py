@@ -1,8 +1,8 @@
 """Gold tables: stop, trip, daily route, segment and station pair.
 
 Shuffles. The stop table needs one on the stop id (at most one row per key and task moves)
-and one on (trip_id, start_at). The trip table, the segment neighbours and both sides of the
-pair join use that second partitioning again: inside one job they add no shuffle up to their
+and one on (trip_id, start_at). The trip table, the segment neighbours and the pairs use that
+second partitioning and its sort order again: inside one job they add no shuffle up to their
 own group by, and neither do they when the stop table is stored bucketed (`save_stops`).
 Percentiles, counts and averages are summarised before the last shuffle.
 
@@ -229,53 +229,58 @@ def segment_table(stops: DataFrame, stations: DataFrame | None = None) -> DataFr
     return segments if stations is None else with_coordinates(segments, stations)
 
 
-def journeys(stops: DataFrame) -> DataFrame:
+def journeys(stops: DataFrame, usable_only: bool = False) -> DataFrame:
     """Every stop of a long-distance trip with every later one: what a traveller can ride.
 
-    Both sides read the stop table by the same keys and columns, so they share one shuffle,
-    and the pairs are summarised in the task that forms them.
+    Each stop unfolds into the stops behind it, which the window over its trip hands it. A
+    self join would compute the stop table twice; this reads it once, in the order the other
+    trip windows use. `usable_only` leaves out, before pairs are formed, cancelled stops and
+    ends whose delay is unknown.
     """
-    side = stops.filter("is_long_distance").select(
-        *TRIP, "stop_index", "station_name", "train_category", "train_number", "service_date",
-        "departure_delay_minutes", "arrival_delay_minutes",
-        "planned_departure_at", "planned_arrival_at",
-        F.coalesce("is_cancelled", F.lit(False)).alias("is_cancelled"))
-    a, b = side.alias("a"), side.alias("b")
-    same_trip = (F.col("a.trip_id") == F.col("b.trip_id")) \
-        & (F.col("a.start_at") == F.col("b.start_at")) \
-        & (F.col("a.stop_index") < F.col("b.stop_index"))
-    return a.join(b, same_trip).select(
-        F.col("a.trip_id").alias("trip_id"),
-        F.col("a.stop_index").alias("from_index"), F.col("b.stop_index").alias("to_index"),
-        F.col("a.station_name").alias("from_station"),
+    rows = stops.filter("is_long_distance AND trip_id IS NOT NULL AND start_at IS NOT NULL")
+    cancelled = F.coalesce("is_cancelled", F.lit(False))
+    end = F.struct(
+        "stop_index", "station_name", "arrival_delay_minutes", "planned_arrival_at",
+        cancelled.alias("is_cancelled"))
+    if usable_only:
+        rows = rows.filter(~cancelled)
+        end = F.when(F.col("arrival_delay_minutes").isNotNull(), end)
+    behind = F.collect_list(end).over(
+        _trip_order().rowsBetween(1, Window.unboundedFollowing))
+    starts = rows.select(
+        "trip_id", "stop_index", "station_name", "train_category", "train_number",
+        "service_date", "departure_delay_minutes", "planned_departure_at",
+        cancelled.alias("is_cancelled"), behind.alias("behind"))
+    if usable_only:
+        starts = starts.filter("departure_delay_minutes IS NOT NULL")
+    pairs = starts.withColumn("b", F.explode("behind")).filter("b.stop_index > stop_index")
+    return pairs.select(
+        "trip_id",
+        F.col("stop_index").alias("from_index"), F.col("b.stop_index").alias("to_index"),
+        F.col("station_name").alias("from_station"),
         F.col("b.station_name").alias("to_station"),
-        F.col("a.train_category").alias("train_category"),
-        F.col("a.train_number").alias("train_number"),
-        F.col("a.service_date").alias("service_date"),
-        F.col("a.departure_delay_minutes").alias("departure_delay_at_from"),
+        "train_category", "train_number", "service_date",
+        F.col("departure_delay_minutes").alias("departure_delay_at_from"),
         F.col("b.arrival_delay_minutes").alias("arrival_delay_at_to"),
-        (F.col("b.arrival_delay_minutes") - F.col("a.departure_delay_minutes"))
+        (F.col("b.arrival_delay_minutes") - F.col("departure_delay_minutes"))
         .alias("delay_gained"),
-        planned_minutes(F.col("b.planned_arrival_at"), F.col("a.planned_departure_at"))
+        planned_minutes(F.col("b.planned_arrival_at"), F.col("planned_departure_at"))
         .alias("planned_journey_minutes"),
-        (F.col("b.stop_index") - F.col("a.stop_index")).alias("stops_between"),
-        (F.col("a.is_cancelled") | F.col("b.is_cancelled")).alias("either_cancelled"),
+        (F.col("b.stop_index") - F.col("stop_index")).alias("stops_between"),
+        (F.col("is_cancelled") | F.col("b.is_cancelled")).alias("either_cancelled"),
     )
 
 
 def station_pair_table(stops: DataFrame, approximate_distinct: bool = False) -> DataFrame:
-    """Delay from A to B on direct trains.
+    """Delay from A to B on direct trains, cancelled stops and unknown delays left out.
 
     The two distinct counts make Spark expand every row; `approximate_distinct` replaces
     them by sketches.
     """
     delay = F.col("arrival_delay_at_to")
     distinct = F.approx_count_distinct if approximate_distinct else F.count_distinct
-    usable = journeys(stops).filter(
-        delay.isNotNull() & F.col("departure_delay_at_from").isNotNull()
-        & ~F.col("either_cancelled"))
     count = F.count(F.lit(1))
-    pairs = usable.groupBy("from_station", "to_station").agg(
+    pairs = journeys(stops, usable_only=True).groupBy("from_station", "to_station").agg(
         count.alias("direct_trains"),
         distinct("service_date").alias("days_observed"),
         F.round(F.avg("planned_journey_minutes"), 0).alias("avg_planned_journey_minutes"),

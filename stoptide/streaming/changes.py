@@ -39,7 +39,7 @@ def filter_changes(rows: DataFrame, out: str, state: str, checkpoint: str) -> St
         emitted = changed_since_previous(current, previous)
         emitted.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-        known = merge_state(cycle_state(current), previous)
+        known = merge_state(cycle_state(current), previous).drop("current")
         newest = known.agg(F.max("cycle")).scalar()
         known.filter(F.col("cycle") >= newest - 1) \
             .write.mode("overwrite").parquet(_slot(state, number))
