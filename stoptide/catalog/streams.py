@@ -32,7 +32,8 @@ def table_stream(spark, sf: str, name: str):
 def stop_stream(spark, sf: str):
     """The observation rows as a stream: order lines against the orders at rest."""
     orders = frames.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return frames.from_lines(table_stream(spark, sf, "lineitem"), orders)
+    lines = frames.spread_lines(spark, sf, table_stream(spark, sf, "lineitem"))
+    return frames.from_lines(lines, orders)
 
 
 def land_lines(spark, sf: str, faults: bool = False) -> str:

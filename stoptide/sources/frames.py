@@ -19,8 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_single_file(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = location.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(location)
+    return status.isFile()
+
+
+def spread_lines(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Order lines over all cores if they come from one single file.
+
+    One file of one row group is read by one task, and everything up to the next shuffle
+    would run in it. A table of many files is left as it is. The columns are hashed together,
+    so an order that holds most of the lines is spread, too.
+    """
+    if not is_single_file(spark, f"{sf_dir}/lineitem.parquet"):
+        return lines
+    return lines.repartition(spark.sparkContext.defaultParallelism,
+                             "l_orderkey", "l_linenumber", "l_partkey")
+
+
 def _stop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_lines(spark, sf_dir, table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return from_lines(lines, orders)
 
