@@ -86,11 +86,14 @@ def with_batch(records: DataFrame, batch_records: int) -> DataFrame:
 
 
 def write_landing_batches(records: DataFrame, path: str, batch_records: int) -> None:
-    """Gzip JSON lines under `path/batch=<name>/`; writing again replaces the same batches."""
+    """Gzip JSON lines under `path/batch=<name>/`, instead of what `path` held before.
+
+    The finished write leaves Spark's `_SUCCESS` marker in `path`.
+    """
     line = F.to_json(F.struct(*S.RECORD_COLUMNS), {"ignoreNullFields": "false"})
     (
         with_batch(records.dropDuplicates(["topic", "partition", "offset"]), batch_records)
         .select(line.alias("value"), "batch")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .option("compression", "gzip").partitionBy("batch").text(path)
     )
