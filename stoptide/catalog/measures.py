@@ -331,6 +331,15 @@ def _check_grain(spark, sf):
     return checks.check_grain(s).unionByName(checks.grain_by_station(s))
 
 
+@query("check_trip_length", using("stops", body="""
+SELECT 'trip length' AS test, count(*) AS failures,
+  CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT trip_id, start_at FROM stops GROUP BY 1, 2 HAVING count(*) > 1000)
+"""))
+def _check_trip_length(spark, sf):
+    return checks.check_trip_length(stops(spark, sf))
+
+
 @query("check_collapse", using("stops", body="""
 SELECT 'collapse' AS test, abs(g - d) AS failures,
   CASE WHEN g = d THEN 'PASS' ELSE 'FAIL' END AS status,

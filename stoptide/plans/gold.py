@@ -6,7 +6,8 @@ second partitioning and its sort order again: inside one job they add no shuffle
 own group by, and neither do they when the stop table is stored bucketed (`save_stops`).
 Percentiles, counts and averages are summarised before the last shuffle.
 
-A trip's group is bounded: after the collapse it holds one row per stop index.
+A trip's group is bounded: after the collapse it holds one row per stop index, and
+`checks.check_trip_length` refuses tables in which some trip has more than any train calls.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..functions import (
     route_origin,
     service_date,
     share,
+    split_stop_id,
     usable_length,
 )
 from ..operators.latest import last_observation
@@ -45,6 +47,15 @@ def _latest_delay() -> Column:
     return F.coalesce("departure_delay_minutes", "arrival_delay_minutes")
 
 
+def _trip_key() -> Column:
+    """The trip id; without one, that in the stop id, else the stop is a trip of its own.
+
+    All rows without a trip id would otherwise meet in one group of any size.
+    """
+    parsed, _, _ = split_stop_id(F.col("stop_id"))
+    return F.coalesce("trip_id", parsed, "stop_id")
+
+
 def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
     """One row per stop: the last observation, its route, and the change of delay against the
     previous observed stop of the trip.
@@ -54,7 +65,7 @@ def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
     order, hence one sort.
     """
     base = last_observation(observations).select(
-        "stop_id", *TRIP, "train_category", "train_number", "train_operator",
+        "stop_id", _trip_key().alias("trip_id"), "start_at", "train_category", "train_number", "train_operator",
         brand_fallback(F.col("brand"), F.col("train_operator")).alias("train_brand"),
         "station_eva", "station_name", "stop_index",
         route_build(F.col("path_from"), F.col("station_name"), F.col("path_to"))

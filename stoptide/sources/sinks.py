@@ -75,7 +75,8 @@ def with_batch(records: DataFrame, batch_records: int) -> DataFrame:
 
     Batches are runs of at most `batch_records` offsets of one partition, so a partition
     that holds most of the records is spread over as many batches as it needs. A group of
-    the window is one such run: its size is bounded by the parameter.
+    the window is one such run: offsets are unique within a partition, so its size is bounded
+    by the parameter.
     """
     run = F.floor(F.col("offset") / batch_records)
     whole_run = Window.partitionBy("topic", "partition", run)
@@ -92,7 +93,7 @@ def write_landing_batches(records: DataFrame, path: str, batch_records: int) ->
     """
     line = F.to_json(F.struct(*S.RECORD_COLUMNS), {"ignoreNullFields": "false"})
     (
-        with_batch(records.dropDuplicates(["topic", "partition", "offset"]), batch_records)
+        with_batch(records, batch_records)
         .select(line.alias("value"), "batch")
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .option("compression", "gzip").partitionBy("batch").text(path)

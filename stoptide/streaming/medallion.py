@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
@@ -61,9 +62,18 @@ def deduplicated(observations: DataFrame, watermark: str = DEFAULT_WATERMARK) ->
 
 
 def write_silver(bronze: DataFrame, path: str, checkpoint: str,
-                 watermark: str = DEFAULT_WATERMARK, **kw) -> StreamingQuery:
-    """Type, deduplicate and append."""
-    return drain(deduplicated(silver(sound(bronze)), watermark), path, checkpoint, **kw)
+                 watermark: str = DEFAULT_WATERMARK, by_date: bool = False,
+                 **kw) -> StreamingQuery:
+    """Type, deduplicate and append.
+
+    With `by_date` the table is partitioned by the day of the observation, so jobs over a
+    range of days read only those.
+    """
+    rows = deduplicated(silver(sound(bronze)), watermark)
+    if by_date:
+        rows = rows.withColumn("observed_date", F.to_date("observed_at"))
+        kw["partition_by"] = ["observed_date"]
+    return drain(rows, path, checkpoint, **kw)
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -14,6 +15,7 @@ import duckdb
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
+_DIGITS = int(os.environ.get("COMPARE_DIGITS", "9"))
 _TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -26,7 +28,7 @@ def connect(sf_dir: str):
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        return "nan" if math.isnan(value) else f"{value:.{_DIGITS}g}"
     return value
 
 

@@ -160,6 +160,21 @@ def test_a_stop_that_holds_a_third_of_all_rows(spark):
     assert one(table.filter("trip_id = 'hot'")).arrival_delay_minutes == 499 % 50
 
 
+def test_rows_without_a_trip_id_do_not_form_one_trip(spark):
+    nameless = [(f"9{i}-2609100600-1", None, *stop("x", 1, "A", i)[2:]) for i in range(5)]
+    broken = [("oddity", None, *stop("x", 1, "B", 1)[2:])]
+    table = stops_of(spark, *nameless, *broken)
+    assert rows(table, "trip_id") == [("90",), ("91",), ("92",), ("93",), ("94",), ("oddity",)]
+    assert table.filter("delay_change_vs_previous_observed_stop IS NOT NULL").count() == 0
+
+
+def test_trips_longer_than_any_train_are_refused(spark):
+    table = stops_of(spark, *[stop("t", i, f"S{i}", 1, 1) for i in range(1, 6)])
+    assert one(checks.check_trip_length(table, most=5)).status == "PASS"
+    with pytest.raises(checks.DataQualityError, match="trip length"):
+        checks.enforce(checks.check_trip_length(table, most=4))
+
+
 def test_rows_are_collapsed_before_the_shuffle_and_trips_sorted_once(spark):
     table = stops_of(spark, stop("t", 1, "A", 2), stop("t", 2, "B", 5))
     text = plan_text(table)

@@ -129,6 +129,14 @@ def test_the_default_watermark_outlasts_a_full_replay(spark, paths):
     assert spark.read.parquet(str(paths["silver"])).count() == 2
 
 
+def test_silver_by_day(spark, paths):
+    put(paths["landing"], "a.jsonl.gz", line(1),
+        line(2, payload(observed_at="2026-09-11T12:00:00+02:00")))
+    run(spark, paths, by_date=True)
+    assert sorted(p.name for p in paths["silver"].glob("observed_date=*")) == [
+        "observed_date=2026-09-10", "observed_date=2026-09-11"]
+
+
 def test_bounded_batches(spark, paths):
     for i in range(3):
         put(paths["landing"], f"{i}.jsonl.gz", line(i))
