@@ -23,10 +23,12 @@ from .registry import _sql, query
 
 
 def table_stream(spark, sf: str, name: str):
-    """A driver table as a file stream."""
-    schema = frames.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet") \
-        .parquet(sf)
+    """A driver table as a file stream: the folder it is, or the one file in its folder."""
+    reader = spark.readStream.schema(frames.table(spark, sf, name).schema)
+    path = f"{sf}/{name}.parquet"
+    if frames.is_single_file(spark, path):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return reader.parquet(path)
 
 
 def stop_stream(spark, sf: str):
