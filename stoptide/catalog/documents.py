@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..plans import gold, timetable
+from ..plans import gold, ingest, timetable
 from ..session import scratch_dir
 from ..sources import documents, files, frames, kafka, sinks
 from .derived import geometry, last, stops
@@ -101,13 +101,7 @@ def _src_xml_change(spark, sf):
         "cancelled_at", "brand", F.array_join(message, ";").alias("messages"))
 
 
-@query("src_xml_root_check", """
-SELECT kind, is_timetable, count(*) AS n FROM (
-  SELECT CASE page_id % 4 WHEN 0 THEN 'page' WHEN 1 THEN 'empty' WHEN 2 THEN 'text'
-    ELSE 'timetable' END AS kind, page_id % 2 = 1 AS is_timetable FROM pages)
-GROUP BY 1, 2
-""")
-def _src_xml_root_check(spark, sf):
+def mixed_documents(spark, sf):
     """Web pages, empty timetables, junk and timetables with content."""
     kind = F.col("page_id") % 4
     document = (
@@ -117,10 +111,32 @@ def _src_xml_root_check(spark, sf):
     name = F.element_at(F.array(*[F.lit(k) for k in ("page", "empty", "text", "timetable")]),
                         (kind + 1).cast("int"))
     return frames.table(spark, sf, "pages").select(
-        name.alias("kind"), documents.is_timetable(document).alias("is_timetable")) \
+        "page_id", name.alias("kind"), document.alias("document"))
+
+
+@query("src_xml_root_check", """
+SELECT kind, is_timetable, count(*) AS n FROM (
+  SELECT CASE page_id % 4 WHEN 0 THEN 'page' WHEN 1 THEN 'empty' WHEN 2 THEN 'text'
+    ELSE 'timetable' END AS kind, page_id % 2 = 1 AS is_timetable FROM pages)
+GROUP BY 1, 2
+""")
+def _src_xml_root_check(spark, sf):
+    return mixed_documents(spark, sf).select(
+        "kind", documents.is_timetable(F.col("document")).alias("is_timetable")) \
         .groupBy("kind", "is_timetable").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("poll_outcomes", """
+SELECT page_id % 24 AS cycle, cast(count(*) FILTER (WHERE page_id % 2 = 1) AS bigint)
+  AS stations_polled, cast(count(*) FILTER (WHERE page_id % 2 = 0) AS bigint) AS stations_failed
+FROM pages GROUP BY 1
+""")
+def _poll_outcomes(spark, sf):
+    """Polled and failed stations per cycle."""
+    return ingest.poll_outcomes(
+        mixed_documents(spark, sf).withColumn("cycle", F.col("page_id") % 24), "cycle")
+
+
 def _calendar(spark, sf):
     """Parts as weekly services, events as dated exceptions in event order."""
     part = frames.table(spark, sf, "part")

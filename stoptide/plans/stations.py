@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import is_strict_long_distance
-from ..operators.latest import first_with_count
+from ..operators.latest import first_with_count, main_eva
 from ..operators.ranks import running_total
 
 # Stations the master data does not cover (EVA, latitude, longitude).
@@ -41,8 +41,6 @@ def category_rollup(stations: DataFrame) -> DataFrame:
 
 def seed_stations(stations: DataFrame) -> DataFrame:
     """Main number of every station of the top category."""
-    from ..operators.latest import main_eva
-
     return stations.filter("category = 1").select(
         main_eva(F.col("evaNumbers")).alias("eva")).filter("eva IS NOT NULL")
 

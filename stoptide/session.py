@@ -33,7 +33,12 @@ _local_scratch: dict[str, str] = {}
 
 def build(master: str | None = None, shuffle_partitions: int | None = None,
           **extra: str) -> SparkSession:
-    """A session with the package's settings; on a cluster, leave `master` unset."""
+    """A session with the package's settings; on a cluster, leave `master` unset.
+
+    Give `shuffle_partitions` for the largest shuffle (its bytes / 128 MB): adaptive execution
+    merges what is too small, it does not split an ordinary shuffle further. A streaming
+    query keeps the number its checkpoint began with.
+    """
     builder = SparkSession.builder.appName("stoptide")
     if master:
         builder = builder.master(master)
