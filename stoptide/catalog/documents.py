@@ -102,33 +102,39 @@ def _src_xml_change(spark, sf):
 
 
 def mixed_documents(spark, sf):
-    """Web pages, empty timetables, junk and timetables with content."""
-    kind = F.col("page_id") % 4
+    """Web pages, empty timetables, junk, timetables with content, and cut off ones."""
+    kind = F.col("page_id") % 5
     document = (
         F.when(kind == 0, F.col("html")).when(kind == 1, F.lit("<timetable/>"))
         .when(kind == 2, F.concat(F.lit("unavailable <timetable> "), "url"))
-        .otherwise(F.lit("<?xml version='1.0'?>\n<!-- x --><timetable station='A'></timetable>")))
-    name = F.element_at(F.array(*[F.lit(k) for k in ("page", "empty", "text", "timetable")]),
-                        (kind + 1).cast("int"))
+        .when(kind == 3, F.concat(
+            F.lit("<?xml version='1.0'?>\n<!-- x --><timetable>\n <s"),
+            _attribute("id", F.concat("page_id", F.lit("-2601010000-1"))),
+            F.lit("/>\n</timetable>")))
+        .otherwise(F.lit("<timetable><s id='1-2601010000-1'>")))
+    name = F.element_at(
+        F.array(*[F.lit(k) for k in ("page", "empty", "text", "timetable", "cut off")]),
+        (kind + 1).cast("int"))
     return frames.table(spark, sf, "pages").select(
         "page_id", name.alias("kind"), document.alias("document"))
 
 
 @query("src_xml_root_check", """
-SELECT kind, is_timetable, count(*) AS n FROM (
-  SELECT CASE page_id % 4 WHEN 0 THEN 'page' WHEN 1 THEN 'empty' WHEN 2 THEN 'text'
-    ELSE 'timetable' END AS kind, page_id % 2 = 1 AS is_timetable FROM pages)
+SELECT kind, failed, count(*) AS n FROM (
+  SELECT CASE page_id % 5 WHEN 0 THEN 'page' WHEN 1 THEN 'empty' WHEN 2 THEN 'text'
+    WHEN 3 THEN 'timetable' ELSE 'cut off' END AS kind, page_id % 5 NOT IN (1, 3) AS failed
+  FROM pages)
 GROUP BY 1, 2
 """)
 def _src_xml_root_check(spark, sf):
-    return mixed_documents(spark, sf).select(
-        "kind", documents.is_timetable(F.col("document")).alias("is_timetable")) \
-        .groupBy("kind", "is_timetable").agg(F.count(F.lit(1)).alias("n"))
+    return documents.parsed(mixed_documents(spark, sf), files.S.CHANGE_DOCUMENT) \
+        .groupBy("kind", "failed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("poll_outcomes", """
-SELECT page_id % 24 AS cycle, cast(count(*) FILTER (WHERE page_id % 2 = 1) AS bigint)
-  AS stations_polled, cast(count(*) FILTER (WHERE page_id % 2 = 0) AS bigint) AS stations_failed
+SELECT page_id % 24 AS cycle,
+  cast(count(*) FILTER (WHERE page_id % 5 IN (1, 3)) AS bigint) AS stations_polled,
+  cast(count(*) FILTER (WHERE page_id % 5 NOT IN (1, 3)) AS bigint) AS stations_failed
 FROM pages GROUP BY 1
 """)
 def _poll_outcomes(spark, sf):

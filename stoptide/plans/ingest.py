@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import in_scope, is_strict_long_distance, share, split_stop_id
-from ..sources.documents import is_timetable
+from ..sources.documents import parsed
 
 # The plan window in hours around now; offsets that are always read again.
 PLAN_HOURS_BACK = 9
@@ -66,9 +66,10 @@ def poll_counters(changes: DataFrame, plan: DataFrame, group: str) -> DataFrame:
 
 def poll_outcomes(documents: DataFrame, group: str, column: str = "document") -> DataFrame:
     """Stations whose change document came in, and those that failed, per group."""
-    good = is_timetable(F.col(column))
-    return documents.groupBy(group).agg(
-        F.count_if(good).alias("stations_polled"), F.count_if(~good).alias("stations_failed"))
+    tested = parsed(documents.select(group, column), S.CHANGE_DOCUMENT, column)
+    return tested.groupBy(group).agg(
+        F.count_if(~F.col("failed")).alias("stations_polled"),
+        F.count_if("failed").alias("stations_failed"))
 
 
 def match_rate(changes: DataFrame, plan: DataFrame) -> DataFrame:

@@ -63,7 +63,8 @@ CHANGE_FIELDS = [
     "arrival_status", "departure_status", "cancelled_at", "messages",
 ]
 
-# Timetable documents: attributes carry the prefix "_".
+# Timetable documents: attributes carry the prefix "_". The corrupt-record field tells a
+# document that breaks off from one without stops.
 _MESSAGE = "STRUCT<_t: STRING, _c: STRING, _cat: STRING>"
 PLAN_DOCUMENT = """
     _station STRING,
@@ -71,7 +72,8 @@ PLAN_DOCUMENT = """
         _id: STRING,
         tl: STRUCT<_f: STRING, _t: STRING, _o: STRING, _c: STRING, _n: STRING>,
         ar: STRUCT<_pt: STRING, _pp: STRING, _ppth: STRING>,
-        dp: STRUCT<_pt: STRING, _pp: STRING, _ppth: STRING>>>
+        dp: STRUCT<_pt: STRING, _pp: STRING, _ppth: STRING>>>,
+    _corrupt_record STRING
     """
 CHANGE_DOCUMENT = f"""
     _station STRING, _eva STRING,
@@ -81,7 +83,8 @@ CHANGE_DOCUMENT = f"""
                    _fb: STRING, m: ARRAY<{_MESSAGE}>>,
         dp: STRUCT<_ct: STRING, _cp: STRING, _cpth: STRING, _cs: STRING, _clt: STRING,
                    _fb: STRING, m: ARRAY<{_MESSAGE}>>,
-        m: ARRAY<{_MESSAGE}>>>
+        m: ARRAY<{_MESSAGE}>>>,
+    _corrupt_record STRING
     """
 
 STATION = """

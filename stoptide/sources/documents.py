@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import computed_once
 
-# The XML reader gives one all-NULL struct for an HTML page, for junk and for an empty
-# timetable alike, so the root is tested on the text.
-_ROOT = r"^\s*(<\?xml[^>]*>)?\s*(<!--[\s\S]*?-->\s*)*<timetable[\s/>]"
+# The XML reader takes any root, and gives the same empty struct for an HTML page, for junk
+# and for an empty timetable, so the root is tested on the text.
+_ROOT = r"^\x{FEFF}?\s*(<\?xml[^>]*>)?\s*(<!--[\s\S]*?-->\s*)*<timetable[\s/>]"
+_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_corrupt_record",
+    "ignoreSurroundingSpaces": "false",
+}
 
 
 def is_timetable(document: Column) -> Column:
@@ -19,18 +24,29 @@ def is_timetable(document: Column) -> Column:
     return F.coalesce(document.rlike(_ROOT), F.lit(False))
 
 
-def split_by_root(documents: DataFrame, column: str = "document") -> tuple[DataFrame, DataFrame]:
-    """(timetables, everything else)."""
-    good = is_timetable(F.col(column))
-    return documents.filter(good), documents.filter(~good)
+def parsed(documents: DataFrame, schema: str, column: str = "document") -> DataFrame:
+    """The document as `doc`, and `failed`: another root, or XML that does not parse.
 
+    The document's text and its other columns stay.
+    """
+    root = is_timetable(F.col(column))
+    doc = F.from_xml(F.when(root, F.col(column)), schema, _OPTIONS)
+    return documents.select("*", computed_once(doc).alias("doc")).withColumn(
+        "failed", ~root | F.col("doc._corrupt_record").isNotNull())
 
-def _stops(documents: DataFrame, column: str, schema) -> DataFrame:
+
+def split_failed(documents: DataFrame, schema: str = S.CHANGE_DOCUMENT,
+                 column: str = "document") -> tuple[DataFrame, DataFrame]:
+    """(timetables, everything that is none), unparsed."""
+    tested = parsed(documents, schema, column).drop("doc")
+    return tested.filter("NOT failed").drop("failed"), tested.filter("failed").drop("failed")
+
+
+def _stops(documents: DataFrame, column: str, schema: str) -> DataFrame:
     """One row per <s>; the other columns of the document stay with it."""
     others = [c for c in documents.columns if c != column]
-    parsed = documents.filter(is_timetable(F.col(column))).select(
-        *others, computed_once(F.from_xml(F.col(column), schema)).alias("doc"))
-    return parsed.select(*others, F.explode("doc.s").alias("s"))
+    return parsed(documents, schema, column).filter("NOT failed") \
+        .select(*others, F.explode("doc.s").alias("s"))
 
 
 def plan_stops(documents: DataFrame, column: str = "document") -> DataFrame:

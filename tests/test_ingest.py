@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stoptide.operators.latest import latest_plan
 from stoptide.plans import ingest
-from stoptide.sources.documents import change_stops, is_timetable, plan_stops, split_by_root
+from stoptide.sources.documents import change_stops, is_timetable, plan_stops, split_failed
 from tests.conftest import CHANGE_XML, PLAN_XML, documents, one, poll, rows
 
 ICE = "3704713885565394549-2609101024-9"
@@ -53,13 +53,27 @@ def test_cancellation_falls_back_to_the_departure(spark):
 
 def test_an_html_page_is_not_an_empty_timetable(spark):
     docs = documents(spark, "<html>rate limited</html>", "<timetable/>", PLAN_XML, "",
-                     "<timetables/>", "<?xml version='1.0'?><timetable></timetable>", "junk")
-    good, bad = split_by_root(docs)
-    assert (good.count(), bad.count()) == (3, 4)
+                     "<timetables/>", "<?xml version='1.0'?><timetable></timetable>", "junk",
+                     None)
+    good, bad = split_failed(docs)
+    assert (good.count(), bad.count()) == (3, 5)
     assert docs.filter(is_timetable(F.col("document"))).count() == 3
     assert change_stops(bad).count() == 0
 
 
+def test_a_document_that_breaks_off_is_a_failure(spark):
+    docs = documents(spark, CHANGE_XML, CHANGE_XML[:-15], "<timetable>", "<timetable/>")
+    outcome = one(ingest.poll_outcomes(docs.withColumn("cycle", F.lit(1)), "cycle"))
+    assert (outcome.stations_polled, outcome.stations_failed) == (2, 2)
+    assert change_stops(docs).count() == 3
+
+
+def test_values_are_kept_as_they_are(spark):
+    text = '<timetable>\n <s id="1-2-3">\n  <ar cpth=" A|B " cp="07"/>\n </s>\n</timetable>'
+    stop = one(change_stops(documents(spark, text)))
+    assert (stop.changed_path_from, stop.changed_arrival_platform) == (" A|B ", "07")
+
+
 def test_unmatched_changes_are_kept(spark, plan):
     observed = {r.stop_id: r for r in
                 ingest.observations(poll(spark, CHANGE_XML), plan).collect()}
