@@ -6,8 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import in_scope, is_strict_long_distance, share, split_stop_id
-from ..sources.documents import parsed
+from ..functions import (
+    content_digest,
+    in_scope,
+    is_strict_long_distance,
+    share,
+    split_stop_id,
+)
+from ..sources.documents import change_stops, parsed
 
 # The plan window in hours around now; offsets that are always read again.
 PLAN_HOURS_BACK = 9
@@ -31,16 +37,35 @@ def join_plan(changes: DataFrame, plan: DataFrame) -> DataFrame:
     return changes.join(plan.select("stop_id", *S.PLAN_FIELDS), "stop_id", "left")
 
 
+def _identified(changes: DataFrame, plan: DataFrame, only_long_distance: bool) -> DataFrame:
+    joined = join_plan(with_stop_key(changes), plan)
+    return joined.filter(in_scope(F.col("train_filter"))) if only_long_distance else joined
+
+
+def _payload() -> list[Column]:
+    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.PAYLOAD]
+
+
 def observations(changes: DataFrame, plan: DataFrame, *, only_long_distance: bool = True
                  ) -> DataFrame:
     """Change stops of a poll -> observations in payload form.
 
     `changes` carries station_eva, station_name and observed_at of the poll.
     """
-    joined = join_plan(with_stop_key(changes), plan)
-    if only_long_distance:
-        joined = joined.filter(in_scope(F.col("train_filter")))
-    return joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.PAYLOAD])
+    return _identified(changes, plan, only_long_distance).select(*_payload())
+
+
+def poll_rows(documents: DataFrame, plan: DataFrame, *, only_long_distance: bool = True
+              ) -> DataFrame:
+    """Change documents of numbered polls -> observations, ready for the change filter.
+
+    `documents` carries document, station_eva, station_name, observed_at and cycle. Works on
+    a stream: the plan is a table at rest.
+    """
+    return _identified(change_stops(documents), plan, only_long_distance).select(
+        F.col("stop_id").alias("key"), F.col("cycle").cast("int").alias("cycle"),
+        F.col("position").cast("long").alias("position"), content_digest().alias("digest"),
+        *_payload())
 
 
 def strict_long_distance(observed: DataFrame) -> DataFrame:

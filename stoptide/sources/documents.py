@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -18,6 +18,25 @@ _OPTIONS = {
 }
 
 
+def stored_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One row per stored document."""
+    return _whole_files(spark.read, path)
+
+
+def stored_document_stream(spark: SparkSession, path: str,
+                           max_files: int | None = None) -> DataFrame:
+    """The same as a stream that takes every document once."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return _whole_files(reader, path)
+
+
+def _whole_files(reader, path: str) -> DataFrame:
+    return reader.format("text").option("wholetext", "true").load(path).select(
+        F.col("value").alias("document"), F.col("_metadata.file_path").alias("_source_file"))
+
+
 def is_timetable(document: Column) -> Column:
     """False for anything whose root is not `timetable`, so an error page is not read as
     "no changes"."""
@@ -43,10 +62,10 @@ def split_failed(documents: DataFrame, schema: str = S.CHANGE_DOCUMENT,
 
 
 def _stops(documents: DataFrame, column: str, schema: str) -> DataFrame:
-    """One row per <s>; the other columns of the document stay with it."""
+    """One row per <s> with its position; the other columns of the document stay with it."""
     others = [c for c in documents.columns if c != column]
     return parsed(documents, schema, column).filter("NOT failed") \
-        .select(*others, F.explode("doc.s").alias("s"))
+        .select(*others, F.posexplode("doc.s").alias("position", "s"))
 
 
 def plan_stops(documents: DataFrame, column: str = "document") -> DataFrame:
@@ -80,10 +99,13 @@ def _messages() -> Column:
 
 
 def change_stops(documents: DataFrame, column: str = "document") -> DataFrame:
-    """Changed values, status and messages of every stop of a change document."""
+    """Changed values, status and messages of every stop of a change document.
+
+    `position` is the stop's place in its document.
+    """
     others = [c for c in documents.columns if c != column]
     return _stops(documents, column, S.CHANGE_DOCUMENT).select(
-        *others,
+        *others, "position",
         F.col("s._id").alias("stop_id"),
         F.col("s.ar._ct").alias("changed_arrival"),
         F.col("s.dp._ct").alias("changed_departure"),

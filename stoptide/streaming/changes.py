@@ -10,6 +10,7 @@ the same state and overwrites its own results.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,17 +33,22 @@ def filter_changes(rows: DataFrame, out: str, state: str, checkpoint: str) -> St
     """
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        # Read several times below: the source's files are read again, nothing is collected.
         previous = spark.read.schema(_STATE).parquet(_slot(state, number - 1)) if number else None
+        # Read by the state, the comparison and the output: parse and join the batch once.
+        # Blocks of a lost executor are computed again from the source's files.
         current = batch.withColumn("key", F.col("key").cast("string")) \
-            .withColumn("cycle", F.col("cycle").cast("int"))
-        emitted = changed_since_previous(current, previous)
-        emitted.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-        known = merge_state(cycle_state(current), previous).drop("current")
-        newest = known.agg(F.max("cycle")).scalar()
-        known.filter(F.col("cycle") >= newest - 1) \
-            .write.mode("overwrite").parquet(_slot(state, number))
+            .withColumn("cycle", F.col("cycle").cast("int")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            emitted = changed_since_previous(current, previous)
+            emitted.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+            known = merge_state(cycle_state(current), previous).drop("current")
+            newest = known.agg(F.max("cycle")).scalar()
+            known.filter(F.col("cycle") >= newest - 1) \
+                .write.mode("overwrite").parquet(_slot(state, number))
+        finally:
+            current.unpersist()
 
     query = (
         rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from stoptide.operators.latest import latest_plan
 from stoptide.plans import ingest
-from stoptide.sources.documents import change_stops, is_timetable, plan_stops, split_failed
+from stoptide.sources.documents import (
+    change_stops,
+    is_timetable,
+    plan_stops,
+    split_failed,
+    stored_document_stream,
+    stored_documents,
+)
+from stoptide.streaming.changes import filter_changes
 from tests.conftest import CHANGE_XML, PLAN_XML, documents, one, poll, rows
 
 ICE = "3704713885565394549-2609101024-9"
@@ -149,3 +157,33 @@ def test_later_plan_wins_and_old_trips_go(spark):
          ("-3-2609080800-1", 1, "negative")],
         "stop_id STRING, fetched_at INT, v STRING")
     assert rows(latest_plan(plan, F.lit("260908")), "v") == [("negative",), ("new",)]
+
+
+def _put(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text, encoding="utf-8")
+
+
+def test_stored_documents_to_emitted_changes(spark, plan, tmp_path):
+    """Three polls as files, each run a new query: all, nothing but the change, all again
+    after an empty poll."""
+    moved = CHANGE_XML.replace('ct="2609101407"', 'ct="2609101444"')
+    polls = {1: CHANGE_XML, 2: moved, 3: "<timetable/>", 4: moved}
+    emitted = {}
+    for cycle, text in polls.items():
+        _put(tmp_path / "in", f"{cycle}.xml", text)
+        documents_in = stored_document_stream(spark, str(tmp_path / "in")).select(
+            "document", F.lit(8070003).alias("station_eva"), F.lit("X").alias("station_name"),
+            F.lit("2026-09-10T12:00:00+02:00").alias("observed_at"),
+            F.regexp_extract("_source_file", r"(\d+)\.xml$", 1).alias("cycle"))
+        filter_changes(ingest.poll_rows(documents_in, plan), str(tmp_path / "out"),
+                       str(tmp_path / "state"), str(tmp_path / "checkpoint"))
+        out = spark.read.parquet(str(tmp_path / "out"))
+        emitted[cycle] = [r[0] for r in rows(out.filter(f"cycle = {cycle}"), "stop_id")]
+    both = ["-777-2609100500-3", ICE]
+    assert emitted == {1: both, 2: [ICE], 3: [], 4: both}
+
+
+def test_stored_documents_are_whole_files(spark, tmp_path):
+    _put(tmp_path, "a.xml", PLAN_XML)
+    assert one(stored_documents(spark, str(tmp_path))).document == PLAN_XML
