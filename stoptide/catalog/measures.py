@@ -23,7 +23,7 @@ SELECT train_category, count(*) AS observations,
 FROM f GROUP BY train_category
 """))
 def _percentiles(spark, sf):
-    p = percentile_array(F.col("arrival_delay_minutes"), [0.5, 0.9, 0.95])
+    p = percentile_array("arrival_delay_minutes", [0.5, 0.9, 0.95])
     return frames.observations(spark, sf).groupBy("train_category").agg(
         F.count(F.lit(1)).alias("observations"), p.alias("p")).select(
         "train_category", "observations",

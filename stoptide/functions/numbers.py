@@ -17,13 +17,18 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(F.coalesce(whole, F.lit(0)) == 0, F.lit("n/a")).otherwise(value)
 
 
-def percentile_array(value: Column, points: list[float]) -> Column:
-    """All points from one sketch: one aggregate buffer instead of one per point.
+def percentile_array(column: str, points: list[float], approximate: bool = False) -> Column:
+    """The smallest values at or beyond each share of a group: elements of it, in one array.
 
-    The sketch merges, so the groups are summarised before the shuffle. Results are
-    actual elements of the group.
+    Exact: the group is kept as counts per different value, which merge before the shuffle.
+    Delays are whole minutes, so that is a few hundred entries however many rows there are.
+    `approximate` is for columns with very many different values: one sketch for all points.
     """
-    return F.percentile_approx(value, [float(p) for p in points])
+    if approximate:
+        return F.percentile_approx(column, [float(p) for p in points])
+    return F.array(*[
+        F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY `{column}`)")
+        for p in points])
 
 
 def computed_once(value: Column) -> Column:

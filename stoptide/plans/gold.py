@@ -4,7 +4,8 @@ Shuffles. The stop table needs one on the stop id (at most one row per key and t
 and one on (trip_id, start_at). The trip table, the segment neighbours and the pairs use that
 second partitioning and its sort order again: inside one job they add no shuffle up to their
 own group by, and neither do they when the stop table is stored bucketed (`save_stops`).
-Percentiles, counts and averages are summarised before the last shuffle.
+Percentiles (as counts per minute of delay), counts and averages are summarised before the
+last shuffle.
 
 A trip's group is bounded: after the collapse it holds one row per stop index, and
 `checks.check_trip_length` refuses tables in which some trip has more than any train calls.
@@ -152,7 +153,7 @@ def daily_route_table(trips: DataFrame, exclude_cancelled: bool = False) -> Data
     daily = rows.groupBy("service_date", "origin", "destination").agg(
         F.count(F.lit(1)).alias("trips_observed"),
         F.avg("delay").alias("avg_arrival_delay_minutes"),
-        percentile_array(F.col("delay"), [0.5, 0.9, 0.95]).alias("p"),
+        percentile_array("delay", [0.5, 0.9, 0.95]).alias("p"),
         _pct(F.col("delay").between(-999, 5), F.count("delay")).alias("pct_within_5_min"),
         _pct(F.col("delay") > 15, F.count("delay")).alias("pct_over_15_min"),
         _pct(F.col("any_stop_cancelled"), F.count(F.lit(1))).alias("cancellation_rate"),
@@ -222,7 +223,7 @@ def segment_table(stops: DataFrame, stations: DataFrame | None = None) -> DataFr
     segments = usable.groupBy("from_station", "to_station", "hops").agg(
         F.count(F.lit(1)).alias("trips"),
         F.round(F.avg(gained), 2).alias("avg_delay_gained_minutes"),
-        percentile_array(gained, [0.5, 0.9]).alias("p"),
+        percentile_array("delay_gained", [0.5, 0.9]).alias("p"),
         F.round(F.avg("delay_at_from"), 1).alias("avg_delay_at_from"),
         F.round(F.avg("delay_at_to"), 1).alias("avg_delay_at_to"),
         F.round(F.avg("planned_minutes"), 1).alias("avg_planned_minutes"),
@@ -296,7 +297,7 @@ def station_pair_table(stops: DataFrame, approximate_distinct: bool = False) ->
         distinct("service_date").alias("days_observed"),
         F.round(F.avg("planned_journey_minutes"), 0).alias("avg_planned_journey_minutes"),
         F.round(F.avg(delay), 1).alias("avg_arrival_delay_minutes"),
-        percentile_array(delay, [0.5, 0.9, 0.95]).alias("p"),
+        percentile_array("arrival_delay_at_to", [0.5, 0.9, 0.95]).alias("p"),
         F.round(F.avg("delay_gained"), 1).alias("avg_delay_gained_minutes"),
         F.round(_pct(delay <= 5, count), 1).alias("pct_within_5_min"),
         F.round(_pct(delay > 15, count), 1).alias("pct_over_15_min"),

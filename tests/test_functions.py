@@ -152,3 +152,14 @@ def test_platform_change(spark):
         "p STRING, c STRING")
     got = [r[0] for r in df.select(fn.platform_change(F.col("p"), F.col("c"))).collect()]
     assert got == ["7", "7", "7->9", "->9", "", "7"]
+
+
+def test_percentiles_are_elements_and_exact_in_large_groups(spark):
+    df = spark.range(300_000).selectExpr("CAST(pmod(hash(id), 211) - 60 AS INT) AS v") \
+        .unionByName(spark.createDataFrame([(None,)], "v INT"))
+    ordered = sorted(r.v for r in df.filter("v IS NOT NULL").collect())
+    want = [ordered[-(-int(p * 100) * len(ordered) // 100) - 1] for p in (0.5, 0.9, 0.95)]
+    assert one(df.agg(fn.percentile_array("v", [0.5, 0.9, 0.95]).alias("p"))).p == want
+    near = one(df.agg(fn.percentile_array("v", [0.5], approximate=True).alias("p"))).p
+    assert abs(near[0] - want[0]) <= 1
+    assert one(df.limit(0).agg(fn.percentile_array("v", [0.5]).alias("p"))).p == [None]
