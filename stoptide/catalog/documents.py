@@ -63,7 +63,7 @@ def change_documents(spark, sf):
     rows = frames.observations(spark, sf)
     c = F.col
     number = c("station_eva")
-    deep = F.when(number % 3 == 0, F.lit('<m id="d" t="q" c="7"/>')).otherwise(F.lit(""))
+    deep = F.when(number % 3 == 0, F.lit('<m id="z" t="r" c="7"/>')).otherwise(F.lit(""))
     clock = F.date_format("planned_arrival_at", "yyMMddHHmm")
     stop = F.concat(
         F.lit("<s"), _attribute("id", c("stop_id")), F.lit(">"),
@@ -76,7 +76,7 @@ def change_documents(spark, sf):
         _attribute("cs", c("departure_status")),
         _attribute("clt", F.when(number % 7 == 0, F.lit("2601010000"))),
         _attribute("fb", c("brand")), F.lit("/>"),
-        F.lit('<m id="m1" t="d" c="43"/><m id="m2" t="h" cat="Störung"/></s>'))
+        F.lit('<m id="x" t="f" c="80"/><m id="y" t="q" cat="Bauarbeiten"/></s>'))
     return rows.select("observed_at", F.concat(
         F.lit("<?xml version='1.0'?>\n<timetable>"), stop, F.lit("</timetable>"))
         .alias("document"))
@@ -89,7 +89,7 @@ SELECT stop_id, {text("observed_at")} AS observed_at,
   changed_arrival_platform, changed_path_from, arrival_status, departure_status,
   CASE WHEN station_eva % 2 = 0 THEN strftime(planned_arrival_at, '%y%m%d%H%M')
     WHEN station_eva % 7 = 0 THEN '2601010000' END AS cancelled_at, brand,
-  CASE WHEN station_eva % 3 = 0 THEN 'q/7/-;' ELSE '' END || 'd/43/-;h/-/Störung' AS messages
+  CASE WHEN station_eva % 3 = 0 THEN 'r/7/-;' ELSE '' END || 'f/80/-;q/-/Bauarbeiten' AS messages
 FROM f
 """))
 def _src_xml_change(spark, sf):

@@ -307,10 +307,10 @@ def _change_filter_batch(spark, sf):
 
 @query("plan_slot_worklist", """
 WITH w AS (SELECT s_suppkey AS eva, cast(unnest(range(-9, 9)) AS bigint) AS "offset" FROM supplier),
-slots AS (SELECT *, strftime(TIMESTAMP '2026-09-10 12:00:00' + to_hours("offset"), '%y%m%d%H')
+slots AS (SELECT *, strftime(TIMESTAMP '2026-05-10 12:00:00' + to_hours("offset"), '%y%m%d%H')
   AS slot FROM w),
 fetched AS (SELECT DISTINCT l_suppkey AS eva,
-  strftime(TIMESTAMP '2026-09-10 12:00:00' + to_hours(l_partkey % 25 - 12), '%y%m%d%H') AS slot
+  strftime(TIMESTAMP '2026-05-10 12:00:00' + to_hours(l_partkey % 25 - 12), '%y%m%d%H') AS slot
   FROM lineitem WHERE l_quantity < 3)
 SELECT eva, "offset", slot FROM slots s
 WHERE "offset" IN (0, 1) OR NOT EXISTS (
@@ -318,7 +318,7 @@ WHERE "offset" IN (0, 1) OR NOT EXISTS (
 """)
 def _plan_slot_worklist(spark, sf):
     """Hours still to read; hours that the order lines stand for were read before."""
-    now = F.lit("2026-09-10 12:00:00").cast("timestamp")
+    now = F.lit("2026-05-10 12:00:00").cast("timestamp")
     targets = frames.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("eva"))
     hour = F.timestamp_seconds(F.unix_timestamp(now) + (F.col("l_partkey") % 25 - 12) * 3600)
     fetched = frames.table(spark, sf, "lineitem").filter("l_quantity < 3").select(

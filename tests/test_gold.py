@@ -10,7 +10,7 @@ from stoptide.operators.latest import last_observation
 from stoptide.plans import checks, geometry, gold
 from tests.conftest import one, plan_text, rows
 
-T0 = dt.datetime(2026, 9, 10, 6, 0)
+T0 = dt.datetime(2026, 5, 10, 6, 0)
 SCHEMA = """stop_id STRING, trip_id STRING, start_at TIMESTAMP, stop_index INT,
     station_eva BIGINT, station_name STRING, train_category STRING, train_number STRING,
     train_operator STRING, brand STRING, path_from ARRAY<STRING>, path_to ARRAY<STRING>,
@@ -27,7 +27,7 @@ def stop(trip, index, station, arr=None, dep=None, *, category="ICE", cancelled=
     def shifted(delay):
         return None if delay is None else planned + dt.timedelta(minutes=delay)
 
-    return (f"{trip}-2609100600-{index}", trip, start, index, index, station, category, "1", "80",
+    return (f"{trip}-2605100600-{index}", trip, start, index, index, station, category, "1", "80",
             None, path_from, path_to, planned, shifted(arr), planned, shifted(dep), arr, dep,
             cancelled, T0 + dt.timedelta(minutes=seen), offset)
 
@@ -55,8 +55,8 @@ def test_a_real_route_beats_a_stub_in_the_same_trip(spark):
     table = stops_of(spark, stop("t", 1, "A"), stop("t", 2, "B", path_from=["A"], path_to=["C"]),
                      stop("u", 1, "X"))
     got = {r.stop_id: (r.full_route, r.origin, r.destination) for r in table.collect()}
-    assert got["t-2609100600-1"] == (["A", "B", "C"], "A", "C")
-    assert got["u-2609100600-1"] == (["X"], None, None)
+    assert got["t-2605100600-1"] == (["A", "B", "C"], "A", "C")
+    assert got["u-2605100600-1"] == (["X"], None, None)
 
 
 def test_delay_change_uses_the_previous_observed_stop(spark):
@@ -161,7 +161,7 @@ def test_a_stop_that_holds_a_third_of_all_rows(spark):
 
 
 def test_rows_without_a_trip_id_do_not_form_one_trip(spark):
-    nameless = [(f"9{i}-2609100600-1", None, *stop("x", 1, "A", i)[2:]) for i in range(5)]
+    nameless = [(f"9{i}-2605100600-1", None, *stop("x", 1, "A", i)[2:]) for i in range(5)]
     broken = [("oddity", None, *stop("x", 1, "B", 1)[2:])]
     table = stops_of(spark, *nameless, *broken)
     assert rows(table, "trip_id") == [("90",), ("91",), ("92",), ("93",), ("94",), ("oddity",)]

@@ -16,7 +16,7 @@ from stoptide.sources.documents import (
 from stoptide.streaming.changes import filter_changes
 from tests.conftest import CHANGE_XML, PLAN_XML, documents, one, poll, rows
 
-ICE = "3704713885565394549-2609101024-9"
+ICE = "5200-2603141205-4"
 
 
 @pytest.fixture(scope="module")
@@ -27,23 +27,23 @@ def plan(spark):
 def test_plan_stop_carries_identity_and_both_paths(plan):
     stop = {r.stop_id: r for r in plan.collect()}[ICE]
     assert (stop.train_category, stop.train_number, stop.train_operator, stop.train_filter) == \
-        ("ICE", "29", "80", "F")
-    assert (stop.planned_arrival, stop.planned_departure) == ("2609101359", "2609101402")
-    assert stop.planned_arrival_platform == "Fern 5"
-    assert stop.planned_path_from == "Köln Hbf|Siegburg/Bonn"
-    assert stop.planned_path_to == "Frankfurt(Main)Hbf|Hanau Hbf|Würzburg Hbf"
+        ("ICE", "591", "80", "F")
+    assert (stop.planned_arrival, stop.planned_departure) == ("2603141431", "2603141434")
+    assert stop.planned_arrival_platform == "2a"
+    assert stop.planned_path_from == "Berlin Hbf|Leipzig Hbf"
+    assert stop.planned_path_to == "Augsburg Hbf|München Hbf"
 
 
 def test_plan_stop_without_arrival(plan):
-    stop = {r.stop_id: r for r in plan.collect()}["9999-2609101100-1"]
-    assert stop.planned_arrival is None and stop.planned_departure == "2609101115"
+    stop = {r.stop_id: r for r in plan.collect()}["61-2603141350-1"]
+    assert stop.planned_arrival is None and stop.planned_departure == "2603141350"
 
 
 def test_change_stop_values_and_messages(spark):
     stop = {r.stop_id: r for r in change_stops(documents(spark, CHANGE_XML)).collect()}[ICE]
-    assert (stop.changed_arrival, stop.changed_departure) == ("2609101407", "2609101409")
-    assert stop.changed_arrival_platform == "9"
-    assert stop.messages == [["d", "43", None], ["h", None, "Störung"]]
+    assert (stop.changed_arrival, stop.changed_departure) == ("2603141440", "2603141442")
+    assert stop.changed_arrival_platform == "3"
+    assert stop.messages == [["f", "80", None], ["q", None, "Bauarbeiten"]]
 
 
 def test_change_stop_without_changes(spark):
@@ -52,15 +52,15 @@ def test_change_stop_without_changes(spark):
 
 
 def test_cancellation_falls_back_to_the_departure(spark):
-    text = ('<timetable><s id="1-2609101000-1"><ar cs="c" clt=""/>'
-            '<dp cs="c" clt="2609101740" fb="ICE 1"/></s></timetable>')
+    text = ('<timetable><s id="1-2605101000-1"><ar cs="c" clt=""/>'
+            '<dp cs="c" clt="2603141655" fb="IC 7"/></s></timetable>')
     stop = one(change_stops(documents(spark, text)))
     assert (stop.arrival_status, stop.departure_status) == ("c", "c")
-    assert (stop.cancelled_at, stop.brand) == ("2609101740", "ICE 1")
+    assert (stop.cancelled_at, stop.brand) == ("2603141655", "IC 7")
 
 
 def test_an_html_page_is_not_an_empty_timetable(spark):
-    docs = documents(spark, "<html>rate limited</html>", "<timetable/>", PLAN_XML, "",
+    docs = documents(spark, "<html>too many requests</html>", "<timetable/>", PLAN_XML, "",
                      "<timetables/>", "<?xml version='1.0'?><timetable></timetable>", "junk",
                      None)
     good, bad = split_failed(docs)
@@ -85,20 +85,20 @@ def test_values_are_kept_as_they_are(spark):
 def test_unmatched_changes_are_kept(spark, plan):
     observed = {r.stop_id: r for r in
                 ingest.observations(poll(spark, CHANGE_XML), plan).collect()}
-    assert set(observed) == {ICE, "-777-2609100500-3"}
-    assert observed[ICE].train_number == "29"
-    assert observed[ICE].changed_arrival == "2609101407"
-    orphan = observed["-777-2609100500-3"]
-    assert (orphan.trip_id, orphan.stop_index, orphan.train_category) == ("-777", 3, None)
-    assert orphan.changed_arrival == "2609101500"
-    assert orphan.observed_at == "2026-09-10T12:00:00+02:00"
+    assert set(observed) == {ICE, "-88-2603140610-6"}
+    assert observed[ICE].train_number == "591"
+    assert observed[ICE].changed_arrival == "2603141440"
+    orphan = observed["-88-2603140610-6"]
+    assert (orphan.trip_id, orphan.stop_index, orphan.train_category) == ("-88", 6, None)
+    assert orphan.changed_arrival == "2603141502"
+    assert orphan.observed_at == "2026-03-14T14:05:00+01:00"
 
 
 def test_scope_can_be_switched_off(spark, plan):
     changes = poll(spark, CHANGE_XML)
     assert ingest.observations(changes, plan, only_long_distance=False).count() == 3
     strict = ingest.strict_long_distance(ingest.observations(changes, plan))
-    assert rows(strict, "train_number") == [("29",)]
+    assert rows(strict, "train_number") == [("591",)]
 
 
 def test_counters_come_before_the_scope(spark, plan):
@@ -108,28 +108,28 @@ def test_counters_come_before_the_scope(spark, plan):
 
 
 def test_a_stop_without_an_id_is_skipped_but_counted(spark, plan):
-    changes = poll(spark, "<timetable><s/><s id='1-2609101000-2'/></timetable>")
+    changes = poll(spark, "<timetable><s/><s id='1-2605101000-2'/></timetable>")
     assert one(ingest.poll_counters(changes, plan, "station_eva")).changed_stops == 2
     assert ingest.observations(changes, plan).count() == 1
 
 
 def test_unflagged_operators_are_kept(spark):
     plan = plan_stops(documents(spark, """<timetable>
-     <s id="1-2609101000-1"><tl o="FLX30" c="FLX" n="1322"/><dp pt="2609101010"/></s>
-     <s id="2-2609101000-1"><tl o="NXRE" c="NX" n="89723"/><dp pt="2609101020"/></s>
-     <s id="3-2609101000-1"><tl f="N" o="80" c="RE" n="1"/><dp pt="2609101030"/></s>
+     <s id="1-2605101000-1"><tl o="FLX10" c="FLX" n="1248"/><dp pt="2605101010"/></s>
+     <s id="2-2605101000-1"><tl o="NX" c="NX" n="26011"/><dp pt="2605101020"/></s>
+     <s id="3-2605101000-1"><tl f="N" o="80" c="RE" n="1"/><dp pt="2605101030"/></s>
     </timetable>"""))
     changes = poll(spark, "<timetable>" + "".join(
-        f'<s id="{i}-2609101000-1"><dp ct="2609101015"/></s>' for i in (1, 2, 3))
+        f'<s id="{i}-2605101000-1"><dp ct="2605101015"/></s>' for i in (1, 2, 3))
         + "</timetable>")
     assert rows(ingest.observations(changes, plan), "train_category") == [("FLX",), ("NX",)]
 
 
 def test_brand_names_a_train_without_plan(spark, plan):
-    changes = poll(spark, '<timetable><s id="-9-2609100500-3">'
-                          '<ar ct="2609101500" fb="ICE 2829"/></s></timetable>')
+    changes = poll(spark, '<timetable><s id="-12-2603140610-3">'
+                          '<ar ct="2603141502" fb="ICE 1507"/></s></timetable>')
     row = one(ingest.observations(changes, plan))
-    assert (row.train_category, row.brand) == (None, "ICE 2829")
+    assert (row.train_category, row.brand) == (None, "ICE 1507")
 
 
 def test_match_rate(spark, plan):
@@ -139,7 +139,7 @@ def test_match_rate(spark, plan):
 
 def _work(spark, fetched):
     stations = spark.createDataFrame([(1,)], "eva BIGINT")
-    now = F.lit("2026-09-10 12:00:00").cast("timestamp")
+    now = F.lit("2026-05-10 12:00:00").cast("timestamp")
     return ingest.plan_worklist(stations, now, fetched)
 
 
@@ -148,15 +148,15 @@ def test_worklist_cold_and_warm(spark):
     cold = _work(spark, nothing)
     assert cold.count() == 18
     warm = _work(spark, cold.select("eva", "slot"))
-    assert rows(warm, "offset", "slot") == [(0, "26091012"), (1, "26091013")]
+    assert rows(warm, "offset", "slot") == [(0, "26051012"), (1, "26051013")]
 
 
 def test_later_plan_wins_and_old_trips_go(spark):
     plan = spark.createDataFrame(
-        [("1-2609100800-1", 1, "old"), ("1-2609100800-1", 2, "new"), ("2-2609070800-1", 1, "x"),
-         ("-3-2609080800-1", 1, "negative")],
+        [("1-2605100800-1", 1, "old"), ("1-2605100800-1", 2, "new"), ("2-2605070800-1", 1, "x"),
+         ("-3-2605080800-1", 1, "negative")],
         "stop_id STRING, fetched_at INT, v STRING")
-    assert rows(latest_plan(plan, F.lit("260908")), "v") == [("negative",), ("new",)]
+    assert rows(latest_plan(plan, F.lit("260508")), "v") == [("negative",), ("new",)]
 
 
 def _put(folder, name, text):
@@ -167,20 +167,20 @@ def _put(folder, name, text):
 def test_stored_documents_to_emitted_changes(spark, plan, tmp_path):
     """Three polls as files, each run a new query: all, nothing but the change, all again
     after an empty poll."""
-    moved = CHANGE_XML.replace('ct="2609101407"', 'ct="2609101444"')
+    moved = CHANGE_XML.replace('ct="2603141440"', 'ct="2603141517"')
     polls = {1: CHANGE_XML, 2: moved, 3: "<timetable/>", 4: moved}
     emitted = {}
     for cycle, text in polls.items():
         _put(tmp_path / "in", f"{cycle}.xml", text)
         documents_in = stored_document_stream(spark, str(tmp_path / "in")).select(
-            "document", F.lit(8070003).alias("station_eva"), F.lit("X").alias("station_name"),
-            F.lit("2026-09-10T12:00:00+02:00").alias("observed_at"),
+            "document", F.lit(8000170).alias("station_eva"), F.lit("X").alias("station_name"),
+            F.lit("2026-03-14T14:05:00+01:00").alias("observed_at"),
             F.regexp_extract("_source_file", r"(\d+)\.xml$", 1).alias("cycle"))
         filter_changes(ingest.poll_rows(documents_in, plan), str(tmp_path / "out"),
                        str(tmp_path / "state"), str(tmp_path / "checkpoint"))
         out = spark.read.parquet(str(tmp_path / "out"))
         emitted[cycle] = [r[0] for r in rows(out.filter(f"cycle = {cycle}"), "stop_id")]
-    both = ["-777-2609100500-3", ICE]
+    both = ["-88-2603140610-6", ICE]
     assert emitted == {1: both, 2: [ICE], 3: [], 4: both}
 
 

@@ -14,23 +14,23 @@ from stoptide.streaming import batches, medallion
 from tests.conftest import one, rows
 
 
-def payload(stop_id="1-2609101000-3", **over):
+def payload(stop_id="1-2605101000-3", **over):
     base = {f.name: None for f in S.PAYLOAD}
     base |= {
-        "stop_id": stop_id, "station_eva": 8000105, "station_name": "Frankfurt(Main)Hbf",
-        "trip_id": "1", "start_datetime": "2609101000", "stop_index": 3,
-        "train_category": "ICE", "train_number": "575", "train_operator": "80",
-        "train_filter": "F", "planned_arrival": "2609101114", "changed_arrival": "2609101120",
-        "planned_departure": "2609101120", "planned_path_from": "Köln Hbf|Siegburg/Bonn",
-        "planned_path_to": "Mannheim Hbf|Stuttgart Hbf", "brand": "ICE 575",
-        "messages": [["d", "43", None]], "observed_at": "2026-09-10T12:00:00+02:00",
+        "stop_id": stop_id, "station_eva": 8000170, "station_name": "Ulm Hbf",
+        "trip_id": "1", "start_datetime": "2605101000", "stop_index": 3,
+        "train_category": "ICE", "train_number": "591", "train_operator": "80",
+        "train_filter": "F", "planned_arrival": "2605101114", "changed_arrival": "2605101120",
+        "planned_departure": "2605101120", "planned_path_from": "Berlin Hbf|Leipzig Hbf",
+        "planned_path_to": "Augsburg Hbf|München Hbf", "brand": "ICE 591",
+        "messages": [["f", "80", None]], "observed_at": "2026-05-10T12:00:00+02:00",
     }
     return {**base, **over}
 
 
 def line(offset, value=None, partition=0, **over):
     record = {"topic": "t", "partition": partition, "offset": offset,
-              "timestamp": 1789000000000, "key": "1-2609101000-3",
+              "timestamp": 1790000000000, "key": "1-2605101000-3",
               "value": value if isinstance(value, str) else json.dumps(value or payload())}
     return json.dumps({**record, **over}, ensure_ascii=False)
 
@@ -58,12 +58,12 @@ def test_landing_to_silver(spark, paths):
     put(paths["landing"], "t-p0-000000000001-000000000001.jsonl.gz", line(1))
     run(spark, paths)
     row = one(spark.read.parquet(str(paths["silver"])))
-    assert (row.kafka_partition, row.kafka_offset, row.train_number) == (0, 1, "575")
+    assert (row.kafka_partition, row.kafka_offset, row.train_number) == (0, 1, "591")
     assert row._source_file.endswith("000000000001.jsonl.gz") and row._bronze_ingested_at
     assert (row.arrival_delay_minutes, row.departure_delay_minutes) == (6, None)
     assert row.is_cancelled is False
-    assert row.path_from == ["Köln Hbf", "Siegburg/Bonn"]
-    assert row.messages == [["d", "43", None]]
+    assert row.path_from == ["Berlin Hbf", "Leipzig Hbf"]
+    assert row.messages == [["f", "80", None]]
     assert not {"planned_arrival", "start_datetime", "changed_path_to"} & set(row.asDict())
 
 
@@ -71,7 +71,7 @@ def test_each_file_is_read_once_over_restarts(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths)
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload(observed_at="2026-09-10T13:00:00+02:00")))
+        line(2, payload(observed_at="2026-05-10T13:00:00+02:00")))
     run(spark, paths)
     run(spark, paths)
     assert rows(spark.read.parquet(str(paths["bronze"])), "offset") == [(1,), (2,)]
@@ -113,8 +113,8 @@ def test_late_rows_are_dropped_and_reported(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths, watermark="1 day")
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload("2-2609101000-1", observed_at="2026-09-08T12:00:00+02:00")),
-        line(3, payload("3-2609101000-1", observed_at="2026-09-10T11:00:00+02:00")))
+        line(2, payload("2-2605101000-1", observed_at="2026-05-08T12:00:00+02:00")),
+        line(3, payload("3-2605101000-1", observed_at="2026-05-10T11:00:00+02:00")))
     query = run(spark, paths, watermark="1 day")
     assert rows(spark.read.parquet(str(paths["silver"])), "kafka_offset") == [(1,), (3,)]
     assert medallion.late_rows(query) == 1
@@ -124,17 +124,17 @@ def test_the_default_watermark_outlasts_a_full_replay(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths)
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload("2-2609101000-1", observed_at="2026-09-07T12:30:00+02:00")))
+        line(2, payload("2-2605101000-1", observed_at="2026-05-07T12:30:00+02:00")))
     assert medallion.late_rows(run(spark, paths)) == 0
     assert spark.read.parquet(str(paths["silver"])).count() == 2
 
 
 def test_silver_by_day(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1),
-        line(2, payload(observed_at="2026-09-11T12:00:00+02:00")))
+        line(2, payload(observed_at="2026-05-11T12:00:00+02:00")))
     run(spark, paths, by_date=True)
     assert sorted(p.name for p in paths["silver"].glob("observed_date=*")) == [
-        "observed_date=2026-09-10", "observed_date=2026-09-11"]
+        "observed_date=2026-05-10", "observed_date=2026-05-11"]
 
 
 def test_bounded_batches(spark, paths):
@@ -152,13 +152,13 @@ RECORDS = "topic STRING, partition INT, offset BIGINT, timestamp BIGINT, key STR
 
 def records(spark, *pairs):
     return spark.createDataFrame(
-        [("t", p, o, 1789000000000, None, f'{{"o":{o}}}') for p, o in pairs], RECORDS)
+        [("t", p, o, 1790000000000, None, f'{{"o":{o}}}') for p, o in pairs], RECORDS)
 
 
 def test_batch_names_come_from_offsets(spark):
     df = spark.range(1).select(
-        sinks.batch_name(F.lit("t"), F.lit(0), F.lit(1450), F.lit(1599)).alias("n"))
-    assert one(df).n == "t-p0-000000001450-000000001599"
+        sinks.batch_name(F.lit("t"), F.lit(0), F.lit(7300), F.lit(7411)).alias("n"))
+    assert one(df).n == "t-p0-000000007300-000000007411"
 
 
 def test_each_partition_has_its_batches_of_bounded_size(spark, tmp_path):
@@ -214,7 +214,7 @@ def test_a_failed_write_leaves_the_records_for_the_next_run(spark, tmp_path):
 
 def test_daily_json_lines(spark, tmp_path):
     df = spark.createDataFrame(
-        [("a", None, "2026-09-10 23:59:00"), ("b", "x", "2026-09-11 00:00:00")],
+        [("a", None, "2026-05-10 23:59:00"), ("b", "x", "2026-05-11 00:00:00")],
         "stop_id STRING, brand STRING, observed_at STRING").withColumn(
         "observed_at", F.col("observed_at").cast("timestamp"))
     out = tmp_path / "out"
@@ -222,8 +222,8 @@ def test_daily_json_lines(spark, tmp_path):
     sinks.append_jsonl_daily(df.filter("stop_id = 'a'"), str(out))
     days = {p.name: sum(len(f.read_text().splitlines()) for f in p.glob("part-*"))
             for p in out.iterdir() if p.is_dir()}
-    assert days == {"dt=2026-09-10": 2, "dt=2026-09-11": 1}
-    first = next((out / "dt=2026-09-10").glob("part-*")).read_text().splitlines()[0]
+    assert days == {"dt=2026-05-10": 2, "dt=2026-05-11": 1}
+    first = next((out / "dt=2026-05-10").glob("part-*")).read_text().splitlines()[0]
     assert json.loads(first)["brand"] is None
     sinks.append_jsonl_daily(df.limit(0), str(tmp_path / "none"))
     assert not list((tmp_path / "none").rglob("part-*"))
@@ -232,15 +232,15 @@ def test_daily_json_lines(spark, tmp_path):
 def test_messages_for_the_broker(spark):
     df = spark.createDataFrame([payload()], S.PAYLOAD)
     row = one(kafka.as_messages(df))
-    assert bytes(row.key) == b"1-2609101000-3"
+    assert bytes(row.key) == b"1-2605101000-3"
     assert json.loads(bytes(row.value)) == payload()
     assert [(h.key, bytes(h.value)) for h in row.headers] == [("schema_version", b"1")]
 
 
 def test_messages_of_the_connector_become_records(spark):
     df = spark.sql("""SELECT binary('k') AS key, binary('v') AS value, 't' AS topic,
-        3 AS partition, 9L AS offset, timestamp_millis(1789000000123) AS timestamp""")
-    assert tuple(one(kafka.as_records(df))) == ("t", 3, 9, 1789000000123, "k", "v")
+        3 AS partition, 9L AS offset, timestamp_millis(1790000000123) AS timestamp""")
+    assert tuple(one(kafka.as_records(df))) == ("t", 3, 9, 1790000000123, "k", "v")
     assert kafka.as_records(df).columns == S.RECORD_COLUMNS
 
 

@@ -20,8 +20,8 @@ from stoptide.plans import feed, stations, timetable
 from stoptide.sources import files
 from tests.conftest import one, rows
 
-STOP_TIMES = [("t1", "1", "B", "10:00:00", "10:01:00"), ("t1", "0", "A", "09:00:00", "09:00:00"),
-              ("t2", "0", "Z", "23:00:00", "23:00:00"), ("t3", "0", "Q", "", "")]
+STOP_TIMES = [("t1", "7", "B", "10:10:00", "10:12:00"), ("t1", "3", "A", "09:05:00", "09:06:00"),
+              ("t2", "1", "Z", "23:30:00", "23:31:00"), ("t3", "0", "Q", "", "")]
 
 
 def stop_times(spark):
@@ -32,17 +32,17 @@ def stop_times(spark):
 def calendar(spark):
     week = ["1"] * 7
     base = spark.createDataFrame(
-        [("s1", "20260901", "20260930", *week), ("s2", "20260901", "20260930", *["0"] * 7)],
+        [("s1", "20260301", "20260331", *week), ("s2", "20260301", "20260331", *["0"] * 7)],
         S.GTFS["calendar"])
     dates = spark.createDataFrame(
-        [("s1", "20260909", "2", 1), ("s2", "20260909", "1", 2), ("s1", "20260911", "2", 3),
-         ("s1", "20260911", "1", 4), ("s2", "20260911", "1", 5), ("s2", "20260911", "3", 6)],
+        [("s1", "20260318", "2", 1), ("s2", "20260318", "1", 2), ("s1", "20260320", "2", 3),
+         ("s1", "20260320", "1", 4), ("s2", "20260320", "1", 5), ("s2", "20260320", "3", 6)],
         "service_id STRING, date STRING, exception_type STRING, line INT")
     return base, dates
 
 
 @pytest.mark.parametrize("date, services", [
-    ("20260909", ["s2"]), ("20260910", ["s1"]), ("20260911", ["s1"]), ("20261001", [])])
+    ("20260318", ["s2"]), ("20260319", ["s1"]), ("20260320", ["s1"]), ("20260401", [])])
 def test_active_services(calendar, date, services):
     got = timetable.active_services(*calendar, date, order="line")
     assert [r[0] for r in rows(got)] == services
@@ -56,7 +56,7 @@ def test_stop_order_comes_from_the_sequence(spark):
 
 def test_time_spans(spark):
     assert rows(timetable.trip_time_spans(stop_times(spark))) == [
-        ("t1", "09:00:00", "10:01:00"), ("t2", "23:00:00", "23:00:00")]
+        ("t1", "09:06:00", "10:12:00"), ("t2", "23:31:00", "23:31:00")]
 
 
 @pytest.mark.parametrize("span, now, overnight, state", [
@@ -81,7 +81,7 @@ def test_coverage(spark, calendar):
     routes = spark.createDataFrame([("r1", "9", "ICE"), ("r2", "7", "IC")], S.GTFS["routes"])
     agency = spark.createDataFrame([("9", "DB")], S.GTFS["agency"])
     feed_ids = spark.createDataFrame([("t1",), ("t3",), ("x",), ("t1",)], "trip_id STRING")
-    active = timetable.active_services(*calendar, "20260910", order="line")
+    active = timetable.active_services(*calendar, "20260319", order="line")
     coverage = timetable.trip_coverage(
         trips, routes, timetable.trip_time_spans(stop_times(spark)), active, feed_ids,
         F.lit("09:30:00"))
@@ -191,45 +191,45 @@ def test_category_rollup_has_the_unknown_last(spark):
 
 def test_first_candidate_with_trains(spark):
     names = spark.createDataFrame(
-        [("Berlin", [8011160, 8098160]), ("Nowhere", [1, 2]), ("Fulda", [5])],
+        [("Berlin", [8003200, 8003201]), ("Nowhere", [1, 2]), ("Fulda", [5])],
         "name STRING, candidates ARRAY<BIGINT>")
-    counts = spark.createDataFrame([(8011160, 0), (8098160, 7), (5, 1)], "eva BIGINT, calls INT")
+    counts = spark.createDataFrame([(8003200, 0), (8003201, 7), (5, 1)], "eva BIGINT, calls INT")
     assert rows(first_with_count(names, counts), "name", "eva") == [
-        ("Berlin", 8098160), ("Fulda", 5)]
+        ("Berlin", 8003201), ("Fulda", 5)]
 
 
 MASTER = """{"result": [
- {"number": 1, "name": "Frankfurt (Main) Hbf", "category": 1, "federalState": "Hessen",
+ {"number": 1, "name": "Ulm Hbf", "category": 1, "federalState": "BW",
   "evaNumbers": [
-   {"number": 8000105, "isMain": true,
-    "geographicCoordinates": {"type": "Point", "coordinates": [8.66, 50.10]}},
-   {"number": 8098105, "isMain": false}]},
- {"number": 2, "name": "Halt", "category": 7, "federalState": "Hessen", "evaNumbers": []}]}"""
+   {"number": 8000170, "isMain": true,
+    "geographicCoordinates": {"type": "Point", "coordinates": [9.98, 48.39]}},
+   {"number": 8098170, "isMain": false}]},
+ {"number": 2, "name": "Halt", "category": 7, "federalState": "BW", "evaNumbers": []}]}"""
 
 
 def test_station_dimension(spark, tmp_path):
     (tmp_path / "m.json").write_text(MASTER)
     master = files.station_master(spark, str(tmp_path / "m.json"))
     assert rows(master, "eva", "is_main", "latitude") == [
-        (8000105, True, 50.10), (8098105, False, None)]
+        (8000170, True, 48.39), (8098170, False, None)]
     targets = spark.createDataFrame(
-        [(8000105, "Frankfurt(Main)Hbf"), (8500010, "Basel SBB"), (8098105, "tief"), (5, "?")],
+        [(8000170, "Ulm Hbf"), (8500010, "Basel SBB"), (8098170, "tief"), (5, "?")],
         "eva BIGINT, name STRING").select(
         "*", F.lit("n").alias("stada_name"), F.lit(1).alias("category"),
         F.lit("H").alias("federal_state"), F.lit(3).alias("route_calls"))
     dim = stations.station_dimension(targets, master, stations.manual_coordinates(spark))
     assert rows(dim, "station_name", "latitude", "longitude", "coordinate_source") == [
         ("?", None, None, "missing"), ("Basel SBB", 47.5474, 7.5898, "manual"),
-        ("Frankfurt(Main)Hbf", 50.10, 8.66, "stada"), ("tief", None, None, "missing")]
+        ("Ulm Hbf", 48.39, 9.98, "stada"), ("tief", None, None, "missing")]
 
 
 def test_seed_stations_take_the_main_number(spark, tmp_path):
     (tmp_path / "m.json").write_text(MASTER)
     whole = spark.read.schema(S.STATION_MASTER).option("multiLine", True) \
         .json(str(tmp_path / "m.json")).select(F.inline("result"))
-    assert rows(stations.seed_stations(whole)) == [(8000105,)]
+    assert rows(stations.seed_stations(whole)) == [(8000170,)]
     assert rows(whole.select("number", main_eva(F.col("evaNumbers")))) == [
-        (1, 8000105), (2, None)]
+        (1, 8000170), (2, None)]
 
 
 def test_csv_tables_tolerate_a_byte_order_mark(spark, tmp_path):
