@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from stoptide import catalog
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_its_sql(spark, con, name):
     found, _ = differences(spark, con, SF_DIR, driver.queries()[name],
                            driver.oracle_sql().get(name))
@@ -29,4 +30,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(driver.queries())
