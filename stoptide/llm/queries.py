@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secrets, simhash, urls
+from . import bpe, decontaminate, extract, langid, pivots, secrets, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(scan).alias("contaminated"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of documents by fingerprints."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -57,6 +62,14 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages).select(
+        "page_id", "url", F.col("main_text").alias("text"),
+        F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of documents, learnt from those that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -71,13 +84,21 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of embeddings."""
+    return pivots.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_warc": op2_warc,
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_bpe": op6_bpe,
+    "op7_extract": op7_extract,
     "op8_langid": op8_langid,
     "op9_urls": op9_urls,
+    "op10_pivots": op10_pivots,
 }
 ORACLE_SQL: dict[str, str] = {}
 
