@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, extract, langid, pivots, secrets, simhash, urls, warc
+from . import (
+    bpe,
+    decontaminate,
+    extract,
+    langid,
+    pivots,
+    secrets,
+    simhash,
+    suffixes,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +44,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 50-byte strings that earlier documents have."""
+    found = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of documents by fingerprints."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -92,6 +110,7 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
+    "op3_suffixes": op3_suffixes,
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_bpe": op6_bpe,
