@@ -7,7 +7,7 @@ stage against a brute-force version.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stoptide.llm import bpe, common, decontaminate, langid, secrets, simhash
@@ -26,14 +26,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id.
 
-    A document without an id stays, unless one with an id has its fingerprint.
+    Of rows with the same id, which are one document, one stays; rows without an id all stay.
     """
     found = simhash.near_duplicates(docs)
-    gone = common.store(found.where(
-        F.col("doc_id").isNotNull() & (F.col("component_id") != F.col("doc_id"))).select(
-            "doc_id").distinct(), "gone")
+    gone = common.store(found.where(F.col("component_id") != F.col("doc_id")).select(
+        "doc_id").distinct(), "gone")
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    return kept.select(*COLUMNS)
+    # the join has dealt the rows out by id and sorted them already
+    order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
+    return kept.withColumn("__n", F.row_number().over(order)).where(
+        "__n = 1 OR doc_id IS NULL").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +59,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number and the digest of what they decode to."""
-    found = bpe.digests(docs.select("doc_id", "text", "lang", "source"))
-    return bpe.encode(found).select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256",
-                                    "decoded_sha256")
+    found = bpe.digests(docs.select("doc_id", "text", "lang", "source"), with_ids=True)
+    return found.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256",
+                        "decoded_sha256")
 
 
 STAGES = [

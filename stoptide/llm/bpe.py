@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 import unicodedata
 
@@ -172,32 +173,43 @@ def decode(df: DataFrame, ids: str = "ids", path: str | None = None) -> DataFram
     return common.put(df, "decoded", common.column(run, "string")(F.col(ids)))
 
 
-def digests(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """`df` with n_tokens and the SHA-256 of the ids and of the decoded text.
+def digests(df: DataFrame, text: str = "text", path: str | None = None,
+            with_ids: bool = False) -> DataFrame:
+    """`df` with n_tokens, the SHA-256 of the ids and of the decoded text, and maybe `ids`.
 
     One pass of the same encoder: ids and decoded text of a document exist one at a time. A
     null or empty text has no ids. Repeated rows give repeated results; columns named like the
     results are replaced.
     """
     path = path or model_path()
+    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    if with_ids:
+        fields["ids"] = "array<int>"
 
     def run(values: pa.Array) -> pa.Array:
         coder = encoder(path)
-        counts, ids, decoded = [], [], []
+        counts, ids, decoded, lists = [], [], [], []
         for scalar in values:
             found = [x for x in coder.pieces(scalar.as_py() or "") if x[0]]
             counts.append(sum([x[0] for x in found]))
-            ids.append(_sha([x[1] for x in found]))
-            decoded.append(_sha([x[2] for x in found]))
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
-             pa.array(decoded, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+            spaced = " ".join([x[1] for x in found])
+            ids.append(_sha(spaced))
+            decoded.append(_sha(" ".join([x[2] for x in found])))
+            if with_ids:
+                lists.append(pa.array([int(i) for i in spaced.split()], pa.int32()))
+        columns = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
+                   pa.array(decoded, pa.string())]
+        if with_ids:
+            ends = [0, *itertools.accumulate(counts)]
+            columns.append(pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()),
+                pa.concat_arrays(lists) if lists else pa.array([], pa.int32())))
+        return pa.StructArray.from_arrays(columns, list(fields))
 
-    fields = ("n_tokens", "ids_sha256", "decoded_sha256")
     out = df.withColumn("__bpe", common.column(
-        run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(F.col(text)))
+        run, ", ".join(f"{k} {v}" for k, v in fields.items()))(F.col(text)))
     return out.withColumns({f: F.col(f"__bpe.{f}") for f in fields}).drop("__bpe")
 
 
-def _sha(parts: list[str]) -> str:
-    return hashlib.sha256(" ".join(parts).encode()).hexdigest()
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
