@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def put(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def pieces(values: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string or binary array with at most `limit` bytes, or one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
     first, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:
