@@ -25,17 +25,17 @@ from .registry import _sql, query
 def table_stream(spark, sf: str, name: str):
     """A driver table as a file stream: the folder it is, or the one file in its folder."""
     reader = spark.readStream.schema(frames.table(spark, sf, name).schema)
-    path = f"{sf}/{name}.parquet"
-    if frames.is_single_file(spark, path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/{name}.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    if status.isFile():
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-    return reader.parquet(path)
+    return reader.parquet(path.toString())
 
 
 def stop_stream(spark, sf: str):
     """The observation rows as a stream: order lines against the orders at rest."""
     orders = frames.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    lines = frames.spread_lines(spark, sf, table_stream(spark, sf, "lineitem"))
-    return frames.from_lines(lines, orders)
+    return frames.from_lines(table_stream(spark, sf, "lineitem"), orders)
 
 
 def land_lines(spark, sf: str, faults: bool = False) -> str:
@@ -156,15 +156,20 @@ def _poll_columns(events):
 
 @query("stream_change_filter", using("polls", body=CHANGE_SQL))
 def _stream_change_filter(spark, sf):
-    """Two runs on one checkpoint: days 0 to 14, then the rest, against the state between."""
+    """Two runs on one checkpoint, one file per micro-batch, dealt out by event: every cycle
+    is spread over many batches and both runs."""
     source, out, kept, state = (
         scratch_dir(spark, n) for n in ("polls", "changed", "kept", "state"))
     rows = _poll_columns(frames.table(spark, sf, "events"))
+    cycles = scratch_dir(spark, "cycles")
+    rows.groupBy("cycle").agg(F.count("*").alias("rows")).write.parquet(cycles)
     schema = "key BIGINT, cycle INT, position BIGINT, content STRING, digest STRING, part INT"
-    for number, part in enumerate((F.col("cycle") < 15, F.col("cycle") >= 15)):
-        rows.filter(part).write.parquet(f"{source}/part={number}")
-        stream = spark.readStream.schema(schema).parquet(source).drop("part")
-        changes.filter_changes(stream, out, kept, state)
+    for number in range(2):
+        rows.filter(F.col("position") % 2 == number).repartition(2, "position") \
+            .write.parquet(f"{source}/part={number}")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1") \
+            .parquet(source).drop("part")
+        changes.filter_changes(stream, cycles, out, kept, state)
     return spark.read.parquet(out).select(
         F.col("key").cast("long").alias("key"), "cycle", "position", "content")
 
@@ -189,11 +194,15 @@ def _stream_empty_cycle(spark, sf):
     filled = rows.filter("day % 5 <> 0").join(numbered, "day")
     source, out, kept, state = (
         scratch_dir(spark, n) for n in ("polls", "changed", "kept", "state"))
-    filled.write.parquet(source)
+    filled.repartition(3, "position").write.parquet(source)
+    cycles = scratch_dir(spark, "cycles")
+    numbered.join(filled.groupBy("cycle").agg(F.count("*").alias("rows")), "cycle", "left") \
+        .select("cycle", F.coalesce("rows", F.lit(0)).cast("long").alias("rows")) \
+        .write.parquet(cycles)
     stream = spark.readStream.schema(
         "day INT, key BIGINT, position BIGINT, content STRING, digest STRING, cycle INT"
-    ).parquet(source)
-    changes.filter_changes(stream, out, kept, state)
+    ).option("maxFilesPerTrigger", "1").parquet(source)
+    changes.filter_changes(stream, cycles, out, kept, state)
     return spark.read.parquet(out).select(
         F.col("key").cast("long").alias("key"), "day", "cycle", "position")
 

@@ -1,11 +1,13 @@
-"""The change filter as a stream: state is the previous cycle, kept as a table.
+"""The change filter as a stream: only whole cycles are compared.
 
-Each micro-batch compares its rows with the state the batch before it left behind and writes
-the state for the batch after it. That is the batch operator with one more input, so a key
-that dominates is handled by aggregation and joins and never walks through one task.
+How micro-batches cut the rows must not matter. The cycles table says how many rows each cycle
+has; rows are staged until all rows of their cycle, and of all cycles before it, are there.
+Closed cycles then go through the batch operator, once, against the state that the last closed
+cycle left behind. A key that dominates is handled by aggregation and joins and never walks
+through one task.
 
-Output and state of a batch carry its number: a batch that is run again after a crash reads
-the same state and overwrites its own results.
+Output, state and staged rows carry the number of the micro-batch: a batch that is run again
+after a crash reads what the one before it left and overwrites its own results.
 """
 
 from __future__ import annotations
@@ -25,28 +27,64 @@ def _slot(path: str, batch: int) -> str:
     return f"{path}/slot={batch % 2}"
 
 
-def filter_changes(rows: DataFrame, out: str, state: str, checkpoint: str) -> StreamingQuery:
+def _closed_upto(staged: DataFrame, cycles: DataFrame, last: int | None) -> int | None:
+    """The last cycle up to which every cycle has all its rows."""
+    there = staged.groupBy("cycle").agg(F.count(F.lit(1)).alias("there"))
+    known = cycles.select(F.col("cycle").cast("int").alias("cycle"), "rows")
+    if last is not None:
+        known = known.filter(F.col("cycle") > last)
+    status = known.join(there, "cycle", "full").select(
+        "cycle", (F.col("rows").isNull() | (F.coalesce("there", F.lit(0)) < F.col("rows")))
+        .alias("open"))
+    first_open, final = status.agg(
+        F.min(F.when(F.col("open"), F.col("cycle"))), F.max("cycle")).first()
+    if first_open is not None:
+        return max(first_open - 1, last) if last is not None else first_open - 1
+    return final if final is not None else last
+
+
+def filter_changes(rows: DataFrame, cycles: str, out: str, state: str,
+                   checkpoint: str) -> StreamingQuery:
     """Drain `rows` (key, cycle, position, digest, …) and append what changed to `out`.
 
-    Cycles have to arrive in order; one may be spread over several batches. The state keeps
-    the newest two cycles. Each batch writes `out/batch=<n>`.
+    `cycles` is the path of a Parquet table (cycle, rows): the successful polls, empty ones
+    included, and how many rows each has. Rows may arrive in any order and any cut; those of a
+    cycle that is not complete, or not in the table, wait under `state`. Rows of a cycle that
+    is closed already are more than the table announced: they are written to
+    `state/surplus/batch=<n>` and change nothing. Each batch writes `out/batch=<n>`.
     """
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        previous = spark.read.schema(_STATE).parquet(_slot(state, number - 1)) if number else None
-        # Read by the state, the comparison and the output: parse and join the batch once.
-        # Blocks of a lost executor are computed again from the source's files.
+        before = _slot(state, number - 1)
+        # Read several times below: parse and join the batch once. Blocks of a lost executor
+        # are computed again from the source's files.
         current = batch.withColumn("key", F.col("key").cast("string")) \
             .withColumn("cycle", F.col("cycle").cast("int")) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            emitted = changed_since_previous(current, previous)
-            emitted.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            previous, last, staged = None, None, current
+            if number:
+                previous = spark.read.schema(_STATE).parquet(f"{before}/state")
+                last = spark.read.schema("upto INT").parquet(f"{before}/upto").first()["upto"]
+                staged = current.unionByName(
+                    spark.read.schema(current.schema).parquet(f"{before}/staged"))
+            if last is not None:
+                surplus = staged.filter(F.col("cycle") <= last)
+                surplus.write.mode("overwrite").parquet(f"{state}/surplus/batch={number}")
+                staged = staged.filter(F.col("cycle") > last)
+            upto = _closed_upto(staged, spark.read.parquet(cycles), last)
+            closed = staged.filter(F.col("cycle") <= F.lit(upto))
+            changed_since_previous(closed, previous) \
+                .write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-            known = merge_state(cycle_state(current), previous).drop("current")
-            newest = known.agg(F.max("cycle")).scalar()
-            known.filter(F.col("cycle") >= newest - 1) \
-                .write.mode("overwrite").parquet(_slot(state, number))
+            after = _slot(state, number)
+            merge_state(cycle_state(closed), previous).drop("current") \
+                .filter(F.col("cycle") == F.lit(upto)) \
+                .write.mode("overwrite").parquet(f"{after}/state")
+            waiting = staged if upto is None else staged.filter(F.col("cycle") > upto)
+            waiting.write.mode("overwrite").parquet(f"{after}/staged")
+            spark.range(1).select(F.lit(upto).cast("int").alias("upto")) \
+                .write.mode("overwrite").parquet(f"{after}/upto")
         finally:
             current.unpersist()
 

@@ -82,32 +82,66 @@ def test_counters(spark):
     assert got == [(1, 2, 2, 0), (2, 2, 1, 1)]
 
 
-@pytest.mark.parametrize("cuts", [[2, 4], [1, 2, 3, 4, 5], []])
-def test_stream_survives_restarts(spark, tmp_path, cuts):
-    """Each run is a new query on the same checkpoint."""
-    rng = random.Random(3)
-    data = [(f"k{rng.randrange(6)}", cycle, f"d{rng.randrange(2)}")
-            for cycle in range(6) for _ in range(8)]
-    source = str(tmp_path / "in")
-    table = frame(spark, data)
-    bounds = [0, *cuts, 6]
-    for number, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        table.filter(f"cycle >= {lo} AND cycle < {hi}").write.parquet(f"{source}/part={number}")
-        stream = spark.readStream.schema(SCHEMA + ", part INT").parquet(source).drop("part")
-        filter_changes(stream, str(tmp_path / "out"), str(tmp_path / "state"),
-                       str(tmp_path / "checkpoint"))
-    got = rows(spark.read.parquet(str(tmp_path / "out")), "key", "cycle", "position", "digest")
-    assert got == expected(data)
+def drain(spark, tmp_path, parts, cycles, max_files=None):
+    """Deliver `parts` one after the other, each as a run of its own on the same checkpoint."""
+    source, table = str(tmp_path / "in"), str(tmp_path / "cycles")
+    spark.createDataFrame(cycles, "cycle INT, rows LONG").write.parquet(table)
+    for number, part in enumerate(parts):
+        spark.createDataFrame(part, SCHEMA).repartition(max(1, len(part)) if max_files else 1) \
+            .write.parquet(f"{source}/part={number}")
+        reader = spark.readStream.schema(SCHEMA + ", part INT")
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", str(max_files))
+        filter_changes(reader.parquet(source).drop("part"), table, str(tmp_path / "out"),
+                       str(tmp_path / "state"), str(tmp_path / "checkpoint"))
+    return rows(spark.read.parquet(str(tmp_path / "out")), "key", "cycle", "position", "digest")
 
 
-def test_a_cycle_may_be_spread_over_two_batches(spark, tmp_path):
-    source = str(tmp_path / "in")
-    parts = [[("a", 1, "x"), ("b", 1, "x")], [("c", 1, "x")],
-             [("a", 2, "x"), ("b", 2, "y"), ("c", 2, "x")]]
-    for number, part in enumerate(parts):
-        frame(spark, part).write.parquet(f"{source}/part={number}")
-        stream = spark.readStream.schema(SCHEMA + ", part INT").parquet(source).drop("part")
-        filter_changes(stream, str(tmp_path / "out"), str(tmp_path / "state"),
-                       str(tmp_path / "checkpoint"))
-    got = rows(spark.read.parquet(str(tmp_path / "out")), "key", "cycle")
-    assert got == [("a", 1), ("b", 1), ("b", 2), ("c", 1)]
+def numbered(data):
+    return [(k, c, i, d) for i, (k, c, d) in enumerate(data)]
+
+
+def sizes(data):
+    return [(c, sum(1 for _, x, _ in data if x == c))
+            for c in range(min(c for _, c, _ in data), max(c for _, c, _ in data) + 1)]
+
+
+# One key with several rows in a cycle, keys that come and go, an empty cycle.
+REPEATED = [("p", 1, "m"), ("q", 1, "m"), ("p", 2, "n"), ("p", 2, "m"), ("q", 2, "m"),
+            ("q", 4, "m"), ("q", 5, "k"), ("q", 5, "m"), ("p", 5, "m"), ("p", 6, "m"),
+            ("p", 6, "n")]
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2, 3])
+def test_any_cut_gives_the_batch_result(spark, tmp_path, seed):
+    """As they come, or shuffled and cut at random places."""
+    data = numbered(REPEATED)
+    parts = [data]
+    if seed is not None:
+        rng = random.Random(seed)
+        rng.shuffle(data)
+        cut = sorted(rng.sample(range(1, len(data)), 3))
+        parts = [data[a:b] for a, b in zip([0, *cut], [*cut, len(data)], strict=True)]
+    got = drain(spark, tmp_path, parts, sizes(REPEATED))
+    assert got == expected(REPEATED)
+
+
+def test_one_row_per_file_and_one_file_per_batch(spark, tmp_path):
+    data = numbered(REPEATED)
+    got = drain(spark, tmp_path, [data[::-1]], sizes(REPEATED), max_files=1)
+    assert got == expected(REPEATED)
+
+
+def test_rows_of_an_open_cycle_wait(spark, tmp_path):
+    data = numbered(REPEATED)
+    got = drain(spark, tmp_path, [data], [(c, n) for c, n in sizes(REPEATED) if c != 4])
+    assert got == expected([r for r in REPEATED if r[1] < 4][:5])
+
+
+def test_surplus_rows_are_set_aside(spark, tmp_path):
+    data = numbered(REPEATED)
+    extra = [("p", 1, 99, "late")]
+    got = drain(spark, tmp_path, [data, extra], sizes(REPEATED))
+    assert got == expected(REPEATED)
+    aside = spark.read.parquet(str(tmp_path / "state" / "surplus"))
+    assert rows(aside, "position") == [(99,)]
