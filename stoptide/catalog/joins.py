@@ -306,24 +306,26 @@ def _change_filter_batch(spark, sf):
 
 
 @query("plan_slot_worklist", """
-WITH w AS (SELECT s_suppkey AS eva, cast(unnest(range(-9, 9)) AS bigint) AS "offset" FROM supplier),
-slots AS (SELECT *, strftime(TIMESTAMP '2026-05-10 12:00:00' + to_hours("offset"), '%y%m%d%H')
-  AS slot FROM w),
+WITH now AS (SELECT timezone('Europe/Berlin', TIMESTAMPTZ '2026-05-10 12:00:00+00') AS t),
+w AS (SELECT s_suppkey AS eva, cast(unnest(range(-9, 9)) AS bigint) AS "offset" FROM supplier),
+slots AS (SELECT w.*, strftime(t + to_hours("offset"), '%y%m%d%H') AS slot FROM w, now),
 fetched AS (SELECT DISTINCT l_suppkey AS eva,
-  strftime(TIMESTAMP '2026-05-10 12:00:00' + to_hours(l_partkey % 25 - 12), '%y%m%d%H') AS slot
-  FROM lineitem WHERE l_quantity < 3)
+  strftime(t + to_hours(l_partkey % 997 - 498), '%y%m%d%H') AS slot FROM lineitem, now),
+kept AS (SELECT f.* FROM fetched f, now
+  WHERE slot[1:6] >= strftime(t - INTERVAL 2 DAY, '%y%m%d'))
 SELECT eva, "offset", slot FROM slots s
 WHERE "offset" IN (0, 1) OR NOT EXISTS (
-  SELECT 1 FROM fetched f WHERE f.eva = s.eva AND f.slot = s.slot)
+  SELECT 1 FROM kept f WHERE f.eva = s.eva AND f.slot = s.slot)
 """)
 def _plan_slot_worklist(spark, sf):
     """Hours still to read; hours that the order lines stand for were read before."""
-    now = F.lit("2026-05-10 12:00:00").cast("timestamp")
+    now = F.lit("2026-05-10T12:00:00Z").cast("timestamp")
     targets = frames.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("eva"))
-    hour = F.timestamp_seconds(F.unix_timestamp(now) + (F.col("l_partkey") % 25 - 12) * 3600)
-    fetched = frames.table(spark, sf, "lineitem").filter("l_quantity < 3").select(
+    local = F.unix_timestamp(F.from_utc_timestamp(now, "Europe/Berlin"))
+    hour = F.timestamp_seconds(local + (F.col("l_partkey") % 997 - 498) * 3600)
+    fetched = frames.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("eva"), F.date_format(hour, "yyMMddHH").alias("slot"))
-    return ingest.plan_worklist(targets, now, fetched)
+    return ingest.plan_worklist(targets, now, ingest.recent_slots(fetched, now))
 
 
 @query("poll_targets", """

@@ -1,9 +1,9 @@
 """Running totals and exact order statistics without a one-task window.
 
-Both work on integer keys of at most 32 bits. The key is split into its upper and lower 16
-bits, so a running total is a total over the upper halves (at most 65,536 rows) plus one
-inside each half (at most 65,536 rows). Rows are counted per key first, so the data itself
-never meets in one task.
+Both work on integer keys. A key is read as digits of 16 bits, from the highest: the running
+total of a key is that of its higher digits, plus one among the keys that share them. No window
+holds more than 65,536 rows, whatever the keys. Rows are counted per key first, so the data
+itself never meets in one task.
 """
 
 from __future__ import annotations
@@ -12,33 +12,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import share
 
-_HALF = 65_536
+_DIGIT = 16
 
 
 def running_total(counts: DataFrame, key: str, count: str = "n",
                   out: str = "running") -> DataFrame:
     """Add the running sum of `count` in the order of an integer key.
 
-    `counts` has one row per key. A NULL key comes last.
+    `counts` has one row per key. A NULL key comes last. Keys of other types are refused.
     """
-    key_range = F.when(
-        F.col(key).isNull(), F.lit(_HALF)
-    ).otherwise(F.floor(F.col(key).cast("long") / _HALF)).alias("_upper")
-    rows = counts.withColumn("_upper", key_range)
-    uppers = rows.groupBy("_upper").agg(F.sum(count).alias("_sum"))
-    before = Window.orderBy("_upper").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = uppers.select(
-        "_upper", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_upper").orderBy(key).rowsBetween(
+    kind = counts.schema[key].dataType
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"running totals need an integer key, {key} is {kind.simpleString()}")
+    shifts = (48, 32, 16) if isinstance(kind, T.LongType) else (16,)
+    known = counts.filter(F.col(key).isNotNull())
+    number = F.col(key).cast("long")
+    offsets = None
+    for shift in shifts:
+        sums = known.groupBy(F.shiftright(number, shift).alias("_high")).agg(
+            F.sum(count).alias("_sum"))
+        if offsets is None:
+            order = Window.orderBy("_high")
+            sums = sums.withColumn("_before", F.lit(0).cast("long"))
+        else:
+            order = Window.partitionBy("_parent").orderBy("_high")
+            sums = sums.withColumn("_parent", F.shiftright("_high", _DIGIT)).join(
+                offsets.select(F.col("_high").alias("_parent"),
+                               F.col("_offset").alias("_before")), "_parent")
+        earlier = F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        offsets = sums.select("_high", (F.col("_before") + F.coalesce(earlier, F.lit(0)))
+                              .alias("_offset"))
+    inside = Window.partitionBy("_high").orderBy(key).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return (
-        rows.join(offsets, "_upper")
-        .withColumn(out, F.col("_offset") + F.sum(count).over(inside))
-        .drop("_upper", "_offset")
-    )
+    totals = known.withColumn("_high", F.shiftright(number, _DIGIT)).join(offsets, "_high") \
+        .withColumn(out, F.col("_offset") + F.sum(count).over(inside)).drop("_high", "_offset")
+    everything = F.coalesce(known.agg(F.sum(count)).scalar(), F.lit(0))
+    return totals.unionByName(counts.filter(F.col(key).isNull()).withColumn(
+        out, (everything + F.col(count)).cast(totals.schema[out].dataType)))
 
 
 def discrete_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:

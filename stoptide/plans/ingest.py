@@ -13,12 +13,16 @@ from ..functions import (
     share,
     split_stop_id,
 )
+from ..functions.times import BERLIN
+from ..session import require_utc
 from ..sources.documents import change_stops, parsed
 
 # The plan window in hours around now; offsets that are always read again.
 PLAN_HOURS_BACK = 9
 PLAN_HOURS_FORWARD = 8
 ALWAYS_REFETCHED = [0, 1]
+# Days for which read plan hours and plan entries are kept.
+KEEP_DAYS = 2
 
 
 def with_stop_key(changes: DataFrame) -> DataFrame:
@@ -109,16 +113,32 @@ def match_rate(changes: DataFrame, plan: DataFrame) -> DataFrame:
     return counts.withColumn("pct_matched", share(F.col("matched"), F.col("total")))
 
 
+def _berlin_hour(now: Column, hours: Column) -> Column:
+    """The local hour `hours` after the one of the instant `now`, as YYMMDDHH.
+
+    Hours are counted on the local clock, as the timetable is: after the change in spring
+    there is an hour without trains, and none is read twice in autumn.
+    """
+    local = F.from_utc_timestamp(now, BERLIN)
+    return F.date_format(F.timestamp_seconds(F.unix_timestamp(local) + hours * 3600), "yyMMddHH")
+
+
+def recent_slots(fetched: DataFrame, now: Column, keep_days: int = KEEP_DAYS) -> DataFrame:
+    """The fetched plan hours (eva, slot) worth remembering; the list would only grow."""
+    first = F.substring(_berlin_hour(now, F.lit(-24 * keep_days)), 1, 6)
+    return fetched.filter(F.substring("slot", 1, 6) >= first)
+
+
 def plan_worklist(stations: DataFrame, now: Column, fetched: DataFrame) -> DataFrame:
-    """Plan hours to read: the window around `now`, without hours read before.
+    """Plan hours to read: the window around the instant `now`, without hours read before.
 
     The current and the next hour can still gain entries and are always read. Each station
-    unfolds into its 18 hours; `fetched` is (eva, slot) with slot YYMMDDHH.
+    unfolds into its 18 hours; `fetched` is (eva, slot) with slot YYMMDDHH in Berlin time.
     """
+    require_utc(stations.sparkSession)
     hours = F.sequence(F.lit(-PLAN_HOURS_BACK), F.lit(PLAN_HOURS_FORWARD))
     slots = stations.select("eva", F.explode(hours).alias("offset")).withColumn(
-        "slot", F.date_format(
-            F.timestamp_seconds(F.unix_timestamp(now) + F.col("offset") * 3600), "yyMMddHH"))
+        "slot", _berlin_hour(now, F.col("offset")))
     known = fetched.select("eva", "slot").distinct().withColumn("known", F.lit(True))
     return (
         slots.join(known, ["eva", "slot"], "left")

@@ -36,26 +36,27 @@ def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-PLAN_XML = """<timetable station='Ulm Hbf'>
- <s id="5200-2603141205-4">
-   <tl f="F" t="p" o="80" c="ICE" n="591"/>
-   <ar pt="2603141431" pp="2a" ppth="Berlin Hbf|Leipzig Hbf"/>
-   <dp pt="2603141434" pp="2a" ppth="Augsburg Hbf|München Hbf"/>
- </s>
- <s id="61-2603141350-1">
-   <tl f="N" t="p" o="8007" c="RE" n="17003"/>
-   <dp pt="2603141350" pp="4"/>
- </s>
+# A plan of five stops: one that ends here, one that begins here, a night train under a negative
+# id and without platforms, one without any train, and one that only says where it goes.
+PLAN_XML = """<timetable station="Kassel-Wilhelmsh&#246;he">
+<s id="771042-2607040518-9"><tl c="EC" n="115" o="80" f="F" t="p"/>
+<ar pt="2607041022" pp="7" ppth="Hamburg-Altona|Hannover Hbf|G&#246;ttingen"/></s>
+<s id="20415-2607041030-1"><tl n="31520" c="S" o="R1" f="S"/><dp pt="2607041030" pp="11 D-F" ppth="Zierenberg"/></s>
+<s id="-3390125517-2607032040-12"><tl c="NJ" n="470" f="F" o="81"/>
+<dp pt="2607040351"/><ar pt="2607040347"/></s>
+<s id="8811-2607040544-3"><ar pt="2607040601"/><dp pt="2607040602"/></s>
+<s id="5-2607042355-2"><tl c="RB" n="5" o="CAN" f="N"/><dp ppth="Melsungen"/></s>
 </timetable>"""
-CHANGE_XML = """<timetable station='Ulm Hbf' eva="8000170">
- <s id="5200-2603141205-4" eva="8000170">
-   <ar ct="2603141440" cp="3"/>
-   <dp ct="2603141442"/>
-   <m id="x" t="f" c="80"/>
-   <m id="y" t="q" cat="Bauarbeiten"/>
- </s>
- <s id="61-2603141350-1" eva="8000170"><dp ct="2603141356"/></s>
- <s id="-88-2603140610-6" eva="8000170"><ar ct="2603141502"/></s>
+NIGHT, EAST, NO_TRAIN = "-3390125517-2607032040-12", "771042-2607040518-9", "8811-2607040544-3"
+LOST = "940-2607040100-7"
+# Changes of four of them, of one stop that no plan has, and of one without an id.
+CHANGE_XML = """<timetable station="Kassel-Wilhelmsh&#246;he" eva="8003200">
+<s id="-3390125517-2607032040-12"><dp ct="2607040404" cpth="Fulda|W&#252;rzburg Hbf"/></s>
+<s id="20415-2607041030-1"><m t="d" cat="Information"/><dp ct="2607041031" cp="12"/></s>
+<s id="940-2607040100-7"><dp ct="2607040233" cs="a" fb="EN 40"/><m c="36"/></s>
+<s><ar ct="2607041100"/></s>
+<s id="771042-2607040518-9"><ar cs="c" clt="2607040915" fb="EC 115"/></s>
+<s id="8811-2607040544-3"><ar cp="3"/><m t="h" c="43" cat="St&#246;rung"/><m t="f" c="2"/></s>
 </timetable>"""
 
 
@@ -69,6 +70,6 @@ def poll(spark, *texts):
     from stoptide.sources.documents import change_stops
 
     return change_stops(documents(spark, *texts)).select(
-        "*", F.lit(8000170).cast("long").alias("station_eva"),
-        F.lit("Ulm Hbf").alias("station_name"),
-        F.lit("2026-03-14T14:05:00+01:00").alias("observed_at"))
+        "*", F.lit(8003200).cast("long").alias("station_eva"),
+        F.lit("Kassel-Wilhelmshöhe").alias("station_name"),
+        F.lit("2026-07-04T10:25:30+02:00").alias("observed_at"))

@@ -10,13 +10,20 @@ from stoptide.sources.documents import (
     is_timetable,
     plan_stops,
     split_failed,
-    stored_document_stream,
     stored_documents,
 )
-from stoptide.streaming.changes import filter_changes
-from tests.conftest import CHANGE_XML, PLAN_XML, documents, one, poll, rows
-
-ICE = "5200-2603141205-4"
+from tests.conftest import (
+    CHANGE_XML,
+    EAST,
+    LOST,
+    NIGHT,
+    NO_TRAIN,
+    PLAN_XML,
+    documents,
+    one,
+    poll,
+    rows,
+)
 
 
 @pytest.fixture(scope="module")
@@ -24,123 +31,126 @@ def plan(spark):
     return plan_stops(documents(spark, PLAN_XML))
 
 
-def test_plan_stop_carries_identity_and_both_paths(plan):
-    stop = {r.stop_id: r for r in plan.collect()}[ICE]
-    assert (stop.train_category, stop.train_number, stop.train_operator, stop.train_filter) == \
-        ("ICE", "591", "80", "F")
-    assert (stop.planned_arrival, stop.planned_departure) == ("2603141431", "2603141434")
-    assert stop.planned_arrival_platform == "2a"
-    assert stop.planned_path_from == "Berlin Hbf|Leipzig Hbf"
-    assert stop.planned_path_to == "Augsburg Hbf|München Hbf"
-
-
-def test_plan_stop_without_arrival(plan):
-    stop = {r.stop_id: r for r in plan.collect()}["61-2603141350-1"]
-    assert stop.planned_arrival is None and stop.planned_departure == "2603141350"
-
-
-def test_change_stop_values_and_messages(spark):
-    stop = {r.stop_id: r for r in change_stops(documents(spark, CHANGE_XML)).collect()}[ICE]
-    assert (stop.changed_arrival, stop.changed_departure) == ("2603141440", "2603141442")
-    assert stop.changed_arrival_platform == "3"
-    assert stop.messages == [["f", "80", None], ["q", None, "Bauarbeiten"]]
-
-
-def test_change_stop_without_changes(spark):
-    stop = one(change_stops(documents(spark, "<timetable><s id='x'/></timetable>")))
-    assert stop.changed_arrival is None and stop.messages == []
-
-
-def test_cancellation_falls_back_to_the_departure(spark):
-    text = ('<timetable><s id="1-2605101000-1"><ar cs="c" clt=""/>'
-            '<dp cs="c" clt="2603141655" fb="IC 7"/></s></timetable>')
+def by_id(df):
+    return {r.stop_id: r for r in df.collect()}
+
+
+def test_plan_stops(plan):
+    stops = by_id(plan)
+    assert len(stops) == 5
+    east, night, none = stops[EAST], stops[NIGHT], stops[NO_TRAIN]
+    assert east.planned_path_from.split("|") == ["Hamburg-Altona", "Hannover Hbf", "Göttingen"]
+    assert (east.planned_path_to, east.planned_departure, east.planned_departure_platform) == \
+        (None, None, None)
+    assert (east.train_category, east.train_number, east.train_operator, east.train_filter,
+            east.planned_arrival_platform) == ("EC", "115", "80", "F", "7")
+    # the order of the elements does not matter
+    assert (night.planned_arrival, night.planned_departure) == ("2607040347", "2607040351")
+    assert night.planned_arrival_platform is None and night.planned_path_from is None
+    assert (none.train_category, none.train_filter, none.planned_arrival) == \
+        (None, None, "2607040601")
+    assert stops["20415-2607041030-1"].planned_departure_platform == "11 D-F"
+    assert stops["5-2607042355-2"].planned_departure is None
+
+
+def test_change_stops(spark):
+    stops = by_id(change_stops(documents(spark, CHANGE_XML)))
+    assert len(stops) == 6 and None in stops
+    night, lost, none = stops[NIGHT], stops[LOST], stops[NO_TRAIN]
+    assert (night.changed_departure, night.changed_path_to) == \
+        ("2607040404", "Fulda|Würzburg Hbf")
+    assert night.changed_arrival is None and night.messages == []
+    assert (lost.departure_status, lost.arrival_status, lost.brand) == ("a", None, "EN 40")
+    assert lost.messages == [[None, "36", None]]
+    assert none.messages == [["h", "43", "Störung"], ["f", "2", None]]
+    assert stops["20415-2607041030-1"].messages == [["d", None, "Information"]]
+
+
+@pytest.mark.parametrize("arrival, departure, want", [
+    ('clt="2607040915" fb="A"', "", ("2607040915", "A")),
+    ("", 'clt="2607040916" fb="D"', ("2607040916", "D")),
+    ('clt="1" fb="A"', 'clt="2" fb="D"', ("1", "A")),
+    ('clt="" fb=""', 'clt="3"', ("3", None)),
+])
+def test_time_of_cancellation_and_brand_of_either_leg(spark, arrival, departure, want):
+    text = f"<timetable><s id='4-2607040000-2'><dp {departure}/><ar {arrival}/></s></timetable>"
     stop = one(change_stops(documents(spark, text)))
-    assert (stop.arrival_status, stop.departure_status) == ("c", "c")
-    assert (stop.cancelled_at, stop.brand) == ("2603141655", "IC 7")
+    assert (stop.cancelled_at, stop.brand or None) == want
 
 
-def test_an_html_page_is_not_an_empty_timetable(spark):
-    docs = documents(spark, "<html>too many requests</html>", "<timetable/>", PLAN_XML, "",
-                     "<timetables/>", "<?xml version='1.0'?><timetable></timetable>", "junk",
-                     None)
+def test_only_timetables_are_documents(spark):
+    sound = [PLAN_XML, CHANGE_XML, " <timetable/>", "<?xml version='1.0'?>\n<timetable />"]
+    faulty = ["<p>502 bad gateway</p>", "", None, "timetable", "<timetablex/>",
+              "{}", "<html><timetable/></html>"]
+    docs = documents(spark, *sound, *faulty)
     good, bad = split_failed(docs)
-    assert (good.count(), bad.count()) == (3, 5)
-    assert docs.filter(is_timetable(F.col("document"))).count() == 3
+    assert (good.count(), bad.count()) == (len(sound), len(faulty))
+    assert docs.filter(is_timetable(F.col("document"))).count() == len(sound)
     assert change_stops(bad).count() == 0
 
 
-def test_a_document_that_breaks_off_is_a_failure(spark):
-    docs = documents(spark, CHANGE_XML, CHANGE_XML[:-15], "<timetable>", "<timetable/>")
-    outcome = one(ingest.poll_outcomes(docs.withColumn("cycle", F.lit(1)), "cycle"))
-    assert (outcome.stations_polled, outcome.stations_failed) == (2, 2)
-    assert change_stops(docs).count() == 3
+@pytest.mark.parametrize("cut", [20, 200, 500, len(CHANGE_XML) - 3])
+def test_a_document_that_breaks_off_is_a_failure(spark, cut):
+    docs = documents(spark, CHANGE_XML[:cut], CHANGE_XML).withColumn("cycle", F.lit(7))
+    outcome = one(ingest.poll_outcomes(docs, "cycle"))
+    assert (outcome.stations_polled, outcome.stations_failed) == (1, 1)
+    assert change_stops(docs).count() == 6
 
 
-def test_values_are_kept_as_they_are(spark):
-    text = '<timetable>\n <s id="1-2-3">\n  <ar cpth=" A|B " cp="07"/>\n </s>\n</timetable>'
+def test_texts_keep_their_blanks_and_zeros(spark):
+    text = "<timetable><s id='7-2607040000-1'><dp cp=' 08 ' cpth='|A || B'/></s></timetable>"
     stop = one(change_stops(documents(spark, text)))
-    assert (stop.changed_path_from, stop.changed_arrival_platform) == (" A|B ", "07")
+    assert (stop.changed_departure_platform, stop.changed_path_to) == (" 08 ", "|A || B")
 
 
-def test_unmatched_changes_are_kept(spark, plan):
-    observed = {r.stop_id: r for r in
-                ingest.observations(poll(spark, CHANGE_XML), plan).collect()}
-    assert set(observed) == {ICE, "-88-2603140610-6"}
-    assert observed[ICE].train_number == "591"
-    assert observed[ICE].changed_arrival == "2603141440"
-    orphan = observed["-88-2603140610-6"]
-    assert (orphan.trip_id, orphan.stop_index, orphan.train_category) == ("-88", 6, None)
-    assert orphan.changed_arrival == "2603141502"
-    assert orphan.observed_at == "2026-03-14T14:05:00+01:00"
+def test_observations_join_the_plan(spark, plan):
+    seen = by_id(ingest.observations(poll(spark, CHANGE_XML), plan))
+    # the suburban train is out of scope, the stop without an id has no key
+    assert set(seen) == {NIGHT, EAST, LOST, NO_TRAIN}
+    night = seen[NIGHT]
+    assert (night.trip_id, night.start_datetime, night.stop_index) == \
+        ("-3390125517", "2607032040", 12)
+    assert (night.train_number, night.planned_departure, night.changed_departure) == \
+        ("470", "2607040351", "2607040404")
+    assert (night.station_eva, night.observed_at) == (8003200, "2026-07-04T10:25:30+02:00")
+    lost = seen[LOST]
+    assert (lost.train_category, lost.planned_departure, lost.brand) == (None, None, "EN 40")
+    assert seen[EAST].cancelled_at == "2607040915"
 
 
-def test_scope_can_be_switched_off(spark, plan):
+def test_scopes(spark, plan):
     changes = poll(spark, CHANGE_XML)
-    assert ingest.observations(changes, plan, only_long_distance=False).count() == 3
-    strict = ingest.strict_long_distance(ingest.observations(changes, plan))
-    assert rows(strict, "train_number") == [("591",)]
-
-
-def test_counters_come_before_the_scope(spark, plan):
-    counters = one(ingest.poll_counters(poll(spark, CHANGE_XML), plan, "station_eva"))
-    assert (counters.changed_stops, counters.identified, counters.unidentified,
-            counters.observations) == (3, 2, 1, 2)
-
+    every = ingest.observations(changes, plan, only_long_distance=False)
+    assert every.count() == 5
+    strict = ingest.strict_long_distance(every)
+    assert rows(strict, "train_number") == [("115",), ("470",)]
 
-def test_a_stop_without_an_id_is_skipped_but_counted(spark, plan):
-    changes = poll(spark, "<timetable><s/><s id='1-2605101000-2'/></timetable>")
-    assert one(ingest.poll_counters(changes, plan, "station_eva")).changed_stops == 2
-    assert ingest.observations(changes, plan).count() == 1
 
+@pytest.mark.parametrize("flag, kept", [("F", True), ("N", False), ("S", False), (None, True)])
+def test_scope_follows_the_flag_of_the_plan(spark, flag, kept):
+    attribute = f"f='{flag}'" if flag else ""
+    one_stop = plan_stops(documents(spark, f"<timetable><s id='9-2607041200-4'><tl {attribute} "
+                                           "c='WB' n='962'/></s></timetable>"))
+    changes = poll(spark, "<timetable><s id='9-2607041200-4'><ar ct='2607041500'/></s>"
+                          "</timetable>")
+    assert ingest.observations(changes, one_stop).count() == int(kept)
 
-def test_unflagged_operators_are_kept(spark):
-    plan = plan_stops(documents(spark, """<timetable>
-     <s id="1-2605101000-1"><tl o="FLX10" c="FLX" n="1248"/><dp pt="2605101010"/></s>
-     <s id="2-2605101000-1"><tl o="NX" c="NX" n="26011"/><dp pt="2605101020"/></s>
-     <s id="3-2605101000-1"><tl f="N" o="80" c="RE" n="1"/><dp pt="2605101030"/></s>
-    </timetable>"""))
-    changes = poll(spark, "<timetable>" + "".join(
-        f'<s id="{i}-2605101000-1"><dp ct="2605101015"/></s>' for i in (1, 2, 3))
-        + "</timetable>")
-    assert rows(ingest.observations(changes, plan), "train_category") == [("FLX",), ("NX",)]
 
-
-def test_brand_names_a_train_without_plan(spark, plan):
-    changes = poll(spark, '<timetable><s id="-12-2603140610-3">'
-                          '<ar ct="2603141502" fb="ICE 1507"/></s></timetable>')
-    row = one(ingest.observations(changes, plan))
-    assert (row.train_category, row.brand) == (None, "ICE 1507")
+def test_counters(spark, plan):
+    counters = one(ingest.poll_counters(poll(spark, CHANGE_XML), plan, "station_eva"))
+    # without a train: the unknown stop and the one whose plan names none
+    assert (counters.changed_stops, counters.identified, counters.unidentified,
+            counters.observations) == (6, 3, 2, 4)
 
 
 def test_match_rate(spark, plan):
     row = one(ingest.match_rate(poll(spark, CHANGE_XML), plan))
-    assert (row.matched, row.unmatched, row.total) == (2, 1, 3)
+    assert (row.matched, row.unmatched, row.total) == (4, 2, 6)
 
 
-def _work(spark, fetched):
+def _work(spark, fetched, now="2026-07-04T21:40:00Z"):
     stations = spark.createDataFrame([(1,)], "eva BIGINT")
-    now = F.lit("2026-05-10 12:00:00").cast("timestamp")
-    return ingest.plan_worklist(stations, now, fetched)
+    return ingest.plan_worklist(stations, F.lit(now).cast("timestamp"), fetched)
 
 
 def test_worklist_cold_and_warm(spark):
@@ -148,15 +158,36 @@ def test_worklist_cold_and_warm(spark):
     cold = _work(spark, nothing)
     assert cold.count() == 18
     warm = _work(spark, cold.select("eva", "slot"))
-    assert rows(warm, "offset", "slot") == [(0, "26051012"), (1, "26051013")]
+    # 21:40 UTC is 23:40 in Berlin; the next hour is another day
+    assert rows(warm, "offset", "slot") == [(0, "26070423"), (1, "26070500")]
 
 
-def test_later_plan_wins_and_old_trips_go(spark):
+@pytest.mark.parametrize("now, slots", [
+    # last Sunday of March, before and after two o'clock; last Sunday of October
+    ("2026-03-29T00:30:00Z", ["26032901", "26032902"]),
+    ("2026-03-29T01:30:00Z", ["26032903", "26032904"]),
+    ("2026-10-25T00:30:00Z", ["26102502", "26102503"]),
+    ("2026-10-25T01:30:00Z", ["26102502", "26102503"]),
+])
+def test_worklist_around_the_change_of_the_clock(spark, now, slots):
+    every = _work(spark, spark.createDataFrame([], "eva BIGINT, slot STRING"), now)
+    assert [s for _, s in rows(every.filter("offset IN (0, 1)"), "offset", "slot")] == slots
+
+
+def test_old_plan_hours_are_forgotten(spark):
+    fetched = spark.createDataFrame(
+        [(1, "26070123"), (1, "26070200"), (2, "26070423"), (2, "25123123")],
+        "eva BIGINT, slot STRING")
+    now = F.lit("2026-07-03T22:30:00Z").cast("timestamp")       # half past midnight on the 4th
+    assert rows(ingest.recent_slots(fetched, now), "slot") == [("26070200",), ("26070423",)]
+
+
+def test_newest_plan_and_cutoff(spark):
     plan = spark.createDataFrame(
-        [("1-2605100800-1", 1, "old"), ("1-2605100800-1", 2, "new"), ("2-2605070800-1", 1, "x"),
-         ("-3-2605080800-1", 1, "negative")],
+        [("31-2607021955-2", 5, "second"), ("31-2607021955-2", 3, "first"),
+         ("32-2606302359-1", 9, "June"), ("-8-2607010000-1", 1, "edge"), ("bad id", 2, "none")],
         "stop_id STRING, fetched_at INT, v STRING")
-    assert rows(latest_plan(plan, F.lit("260508")), "v") == [("negative",), ("new",)]
+    assert rows(latest_plan(plan, F.lit("260701")), "v") == [("edge",), ("second",)]
 
 
 def _put(folder, name, text):
@@ -164,26 +195,6 @@ def _put(folder, name, text):
     (folder / name).write_text(text, encoding="utf-8")
 
 
-def test_stored_documents_to_emitted_changes(spark, plan, tmp_path):
-    """Three polls as files, each run a new query: all, nothing but the change, all again
-    after an empty poll."""
-    moved = CHANGE_XML.replace('ct="2603141440"', 'ct="2603141517"')
-    polls = {1: CHANGE_XML, 2: moved, 3: "<timetable/>", 4: moved}
-    emitted = {}
-    for cycle, text in polls.items():
-        _put(tmp_path / "in", f"{cycle}.xml", text)
-        documents_in = stored_document_stream(spark, str(tmp_path / "in")).select(
-            "document", F.lit(8000170).alias("station_eva"), F.lit("X").alias("station_name"),
-            F.lit("2026-03-14T14:05:00+01:00").alias("observed_at"),
-            F.regexp_extract("_source_file", r"(\d+)\.xml$", 1).alias("cycle"))
-        filter_changes(ingest.poll_rows(documents_in, plan), str(tmp_path / "out"),
-                       str(tmp_path / "state"), str(tmp_path / "checkpoint"))
-        out = spark.read.parquet(str(tmp_path / "out"))
-        emitted[cycle] = [r[0] for r in rows(out.filter(f"cycle = {cycle}"), "stop_id")]
-    both = ["-88-2603140610-6", ICE]
-    assert emitted == {1: both, 2: [ICE], 3: [], 4: both}
-
-
 def test_stored_documents_are_whole_files(spark, tmp_path):
     _put(tmp_path, "a.xml", PLAN_XML)
     assert one(stored_documents(spark, str(tmp_path))).document == PLAN_XML
