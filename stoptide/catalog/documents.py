@@ -223,12 +223,15 @@ def _coverage_by_state(spark, sf):
 
 
 @query("coverage_by_agency", _COVERAGE + """
-SELECT agency_id, cast(count(*) FILTER (WHERE covered) AS bigint) AS covered, count(*) AS total,
+SELECT agency_id, coalesce(n_name, '?') AS agency_name,
+  cast(count(*) FILTER (WHERE covered) AS bigint) AS covered, count(*) AS total,
   100 * cast(count(*) FILTER (WHERE covered) AS double) / count(*) AS pct
-FROM coverage WHERE state = 'running' GROUP BY agency_id
+FROM coverage LEFT JOIN nation ON n_nationkey = agency_id AND n_nationkey % 6 <> 0
+WHERE state = 'running' GROUP BY agency_id, n_name
 """)
 def _coverage_by_agency(spark, sf):
-    return timetable.running_by_agency(_coverage(spark, sf))
+    _, _, agency = timetable_tables(spark, sf)
+    return timetable.running_by_agency(_coverage(spark, sf), agency)
 
 
 @query("src_gtfs_static", """

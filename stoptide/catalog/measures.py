@@ -62,23 +62,32 @@ ALERT_SQL = """
 WITH alerts AS (
   SELECT event_type AS cause, concat('E', user_id % 4) AS effect,
     concat('V', user_id % 3) AS severity, event_id % 2 = 0 AS has_informed_entity,
-    event_id % 3 = 0 AS has_active_period, event_id % 5 = 0 AS has_header, false AS has_url,
-    event_id, user_id FROM events),
+    event_id % 3 = 0 AS has_active_period, event_id % 5 = 0 AS has_header,
+    event_id % 11 <> 0 AS has_description, false AS has_url, event_id, user_id FROM events),
+presence AS (
+  SELECT 'presence' AS section, label, count(*) FILTER (WHERE given) AS n,
+    100 * cast(count(*) FILTER (WHERE given) AS double) / count(*) AS pct
+  FROM (UNPIVOT (SELECT has_informed_entity, has_active_period, has_header, has_description,
+    has_url FROM alerts) ON COLUMNS(*) INTO NAME label VALUE given) GROUP BY label),
+selectors AS (
+  SELECT 'selector' AS section, unnest([CASE WHEN user_id % 4 = 0 THEN 'agency_id' END,
+    CASE WHEN user_id % 5 = 0 THEN 'trip without id' ELSE 'trip_id' END]) AS label
+  FROM alerts WHERE has_informed_entity),
 counts AS (
   SELECT section, label, count(*) AS n FROM (
-    SELECT 'presence' AS section, 'has_informed_entity' AS label FROM alerts WHERE has_informed_entity
-    UNION ALL SELECT 'presence', 'has_active_period' FROM alerts WHERE has_active_period
-    UNION ALL SELECT 'presence', 'has_header' FROM alerts WHERE has_header
-    UNION ALL SELECT 'cause', cause FROM alerts UNION ALL SELECT 'effect', effect FROM alerts
+    SELECT 'cause' AS section, cause AS label FROM alerts
+    UNION ALL SELECT 'effect', effect FROM alerts
     UNION ALL SELECT 'severity', severity FROM alerts
-    UNION ALL SELECT 'selector', 'agency_id' FROM alerts WHERE event_id % 2 = 0 AND user_id % 4 = 0
-    UNION ALL SELECT 'selector', 'trip_id' FROM alerts WHERE event_id % 2 = 0
-    UNION ALL SELECT 'text', concat('T', event_id % 7) FROM alerts WHERE event_id % 11 <> 0)
+    UNION ALL SELECT 'text', concat('T', event_id % 7) FROM alerts WHERE has_description)
   GROUP BY 1, 2)
-SELECT section, label, n FROM (
+SELECT section, label, n, pct FROM presence
+UNION ALL
+SELECT section, label, count(*), NULL FROM selectors WHERE label IS NOT NULL GROUP BY 1, 2
+UNION ALL
+SELECT section, label, n, NULL FROM (
   SELECT *, row_number() OVER (PARTITION BY section ORDER BY n DESC, label) AS rank FROM counts)
 WHERE rank <= CASE WHEN section = 'text' THEN 3 ELSE 5 END
-UNION ALL SELECT 'distinct_texts', '', count(*) FROM counts WHERE section = 'text'
+UNION ALL SELECT 'distinct_texts', '', count(*), NULL FROM counts WHERE section = 'text'
 """
 
 
@@ -89,14 +98,16 @@ def _alert_profile(spark, sf):
     none = F.lit(None).cast("string")
     entity = F.struct(
         F.when(u % 4 == 0, F.concat(F.lit("A"), u)).otherwise(F.lit("")).alias("agency_id"),
-        none.alias("route_id"), none.alias("stop_id"), u.cast("string").alias("trip_id"))
+        none.alias("route_id"), none.alias("stop_id"),
+        F.when(u % 5 == 0, "").otherwise(u.cast("string")).alias("trip_id"))
     no_entities = F.array().cast(
         "array<struct<agency_id:string,route_id:string,stop_id:string,trip_id:string>>")
     alerts = frames.table(spark, sf, "events").select(
         F.col("event_type").alias("cause"), F.concat(F.lit("E"), u % 4).alias("effect"),
         F.concat(F.lit("V"), u % 3).alias("severity"),
         (e % 2 == 0).alias("has_informed_entity"), (e % 3 == 0).alias("has_active_period"),
-        (e % 5 == 0).alias("has_header"), F.lit(False).alias("has_url"),
+        (e % 5 == 0).alias("has_header"), (e % 11 != 0).alias("has_description"),
+        F.lit(False).alias("has_url"),
         F.when(e % 2 == 0, F.array(entity)).otherwise(no_entities).alias("entities"),
         F.when(e % 11 != 0, F.array(F.concat(F.lit("T"), e % 7))).alias("texts"))
     return feed.alert_profile(alerts)
@@ -241,10 +252,13 @@ def _discrete_quantiles(spark, sf):
 
 @query("identity_profile", """
 WITH t AS (SELECT l_suppkey AS trip_id, strftime(l_shipdate, '%Y%m%d') AS start_date FROM lineitem),
-ids AS (SELECT trip_id, count(DISTINCT start_date) AS dates, count(*) AS n FROM t GROUP BY 1)
+ids AS (SELECT trip_id, count(DISTINCT start_date) AS dates, count(*) AS n FROM t GROUP BY 1),
+days AS (SELECT start_date, count(*) AS n FROM t GROUP BY 1)
 SELECT count(*) AS unique_trip_ids, cast(sum(dates) AS bigint) AS unique_pairs,
   cast(count(*) FILTER (WHERE dates > 1) AS bigint) AS ids_on_several_dates,
-  cast(count(*) FILTER (WHERE n > 1) AS bigint) AS ids_repeated
+  cast(count(*) FILTER (WHERE n > 1) AS bigint) AS ids_repeated,
+  (SELECT string_agg(concat(start_date, '=', n), ',' ORDER BY start_date) FROM days)
+    AS start_dates
 FROM ids
 """)
 def _identity_profile(spark, sf):

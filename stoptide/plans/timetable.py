@@ -129,8 +129,10 @@ def coverage_by_state(coverage: DataFrame, agency_id: str) -> DataFrame:
         share(F.col("agency_covered"), F.col("agency_total")).alias("agency_pct"))
 
 
-def running_by_agency(coverage: DataFrame) -> DataFrame:
-    """Covered and all trips running at the feed's time, per agency."""
+def running_by_agency(coverage: DataFrame, agency: DataFrame) -> DataFrame:
+    """Covered and all trips running at the feed's time, per agency with its name."""
     counts = coverage.filter("state = 'running'").groupBy("agency_id").agg(
         F.count_if("covered").alias("covered"), F.count(F.lit(1)).alias("total"))
-    return counts.withColumn("pct", share(F.col("covered"), F.col("total")))
+    return counts.join(agency.select("agency_id", "agency_name"), "agency_id", "left").select(
+        "agency_id", F.coalesce("agency_name", F.lit("?")).alias("agency_name"), "covered",
+        "total", share(F.col("covered"), F.col("total")).alias("pct"))

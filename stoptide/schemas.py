@@ -137,7 +137,7 @@ STOP_UPDATE = """
 ALERT = """
     cause STRING, effect STRING, severity STRING,
     has_informed_entity BOOLEAN, has_active_period BOOLEAN, has_header BOOLEAN,
-    has_url BOOLEAN,
+    has_description BOOLEAN, has_url BOOLEAN,
     entities ARRAY<STRUCT<agency_id: STRING, route_id: STRING, stop_id: STRING,
                           trip_id: STRING>>,
     texts ARRAY<STRING>

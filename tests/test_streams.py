@@ -14,25 +14,27 @@ from stoptide.streaming import batches, medallion
 from tests.conftest import one, rows
 
 
-def payload(stop_id="1-2605101000-3", **over):
-    base = {f.name: None for f in S.PAYLOAD}
-    base |= {
-        "stop_id": stop_id, "station_eva": 8000170, "station_name": "Ulm Hbf",
-        "trip_id": "1", "start_datetime": "2605101000", "stop_index": 3,
-        "train_category": "ICE", "train_number": "591", "train_operator": "80",
-        "train_filter": "F", "planned_arrival": "2605101114", "changed_arrival": "2605101120",
-        "planned_departure": "2605101120", "planned_path_from": "Berlin Hbf|Leipzig Hbf",
-        "planned_path_to": "Augsburg Hbf|München Hbf", "brand": "ICE 591",
-        "messages": [["f", "80", None]], "observed_at": "2026-05-10T12:00:00+02:00",
+STOP = "-66021-2611300455-14"
+
+
+def payload(stop_id=STOP, **over):
+    """A stop of a night train that leaves later than planned; most fields are unknown."""
+    given = {
+        "stop_id": stop_id, "stop_index": 14, "trip_id": "-66021", "start_datetime": "2611300455",
+        "station_eva": 8002041, "station_name": "Frankfurt (Main) Süd", "train_number": "40421",
+        "train_category": "NJ", "planned_departure": "2611301858",
+        "changed_departure": "2611301911", "planned_departure_platform": "9 A-C",
+        "planned_path_from": "Aschaffenburg Hbf|Hanau Hbf", "departure_status": "a",
+        "messages": [["q", "59", None], ["h", None, "Information"]],
+        "observed_at": "2026-11-30T18:40:12+01:00",
     }
-    return {**base, **over}
+    return {f.name: None for f in S.PAYLOAD} | given | over
 
 
 def line(offset, value=None, partition=0, **over):
-    record = {"topic": "t", "partition": partition, "offset": offset,
-              "timestamp": 1790000000000, "key": "1-2605101000-3",
-              "value": value if isinstance(value, str) else json.dumps(value or payload())}
-    return json.dumps({**record, **over}, ensure_ascii=False)
+    text = value if isinstance(value, str) else json.dumps(value or payload())
+    return json.dumps({"value": text, "key": None, "timestamp": 1796060412000,
+                       "offset": offset, "partition": partition, "topic": "calls"} | over)
 
 
 def put(folder: Path, name: str, *lines: str) -> None:
@@ -55,15 +57,15 @@ def run(spark, paths, **kw):
 
 
 def test_landing_to_silver(spark, paths):
-    put(paths["landing"], "t-p0-000000000001-000000000001.jsonl.gz", line(1))
+    put(paths["landing"], "first.jsonl.gz", line(1))
     run(spark, paths)
     row = one(spark.read.parquet(str(paths["silver"])))
-    assert (row.kafka_partition, row.kafka_offset, row.train_number) == (0, 1, "591")
-    assert row._source_file.endswith("000000000001.jsonl.gz") and row._bronze_ingested_at
-    assert (row.arrival_delay_minutes, row.departure_delay_minutes) == (6, None)
+    assert (row.kafka_partition, row.kafka_offset, row.train_number) == (0, 1, "40421")
+    assert row._source_file.endswith("first.jsonl.gz") and row._bronze_ingested_at
+    assert (row.arrival_delay_minutes, row.departure_delay_minutes) == (None, 13)
     assert row.is_cancelled is False
-    assert row.path_from == ["Berlin Hbf", "Leipzig Hbf"]
-    assert row.messages == [["f", "80", None]]
+    assert row.path_from == ["Aschaffenburg Hbf", "Hanau Hbf"]
+    assert row.messages == [["q", "59", None], ["h", None, "Information"]]
     assert not {"planned_arrival", "start_datetime", "changed_path_to"} & set(row.asDict())
 
 
@@ -71,7 +73,7 @@ def test_each_file_is_read_once_over_restarts(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths)
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload(observed_at="2026-05-10T13:00:00+02:00")))
+        line(2, payload(observed_at="2026-11-30T19:40:12+01:00")))
     run(spark, paths)
     run(spark, paths)
     assert rows(spark.read.parquet(str(paths["bronze"])), "offset") == [(1,), (2,)]
@@ -113,8 +115,8 @@ def test_late_rows_are_dropped_and_reported(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths, watermark="1 day")
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload("2-2605101000-1", observed_at="2026-05-08T12:00:00+02:00")),
-        line(3, payload("3-2605101000-1", observed_at="2026-05-10T11:00:00+02:00")))
+        line(2, payload("17-2611281000-1", observed_at="2026-11-28T18:00:00+01:00")),
+        line(3, payload("18-2611300900-1", observed_at="2026-11-30T11:00:00+01:00")))
     query = run(spark, paths, watermark="1 day")
     assert rows(spark.read.parquet(str(paths["silver"])), "kafka_offset") == [(1,), (3,)]
     assert medallion.late_rows(query) == 1
@@ -124,17 +126,17 @@ def test_the_default_watermark_outlasts_a_full_replay(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1))
     run(spark, paths)
     put(paths["landing"], "b.jsonl.gz",
-        line(2, payload("2-2605101000-1", observed_at="2026-05-07T12:30:00+02:00")))
+        line(2, payload("17-2611270900-1", observed_at="2026-11-27T19:00:00+01:00")))
     assert medallion.late_rows(run(spark, paths)) == 0
     assert spark.read.parquet(str(paths["silver"])).count() == 2
 
 
 def test_silver_by_day(spark, paths):
     put(paths["landing"], "a.jsonl.gz", line(1),
-        line(2, payload(observed_at="2026-05-11T12:00:00+02:00")))
+        line(2, payload(observed_at="2026-12-01T12:00:00+01:00")))
     run(spark, paths, by_date=True)
     assert sorted(p.name for p in paths["silver"].glob("observed_date=*")) == [
-        "observed_date=2026-05-10", "observed_date=2026-05-11"]
+        "observed_date=2026-11-30", "observed_date=2026-12-01"]
 
 
 def test_bounded_batches(spark, paths):
@@ -155,10 +157,14 @@ def records(spark, *pairs):
         [("t", p, o, 1790000000000, None, f'{{"o":{o}}}') for p, o in pairs], RECORDS)
 
 
-def test_batch_names_come_from_offsets(spark):
-    df = spark.range(1).select(
-        sinks.batch_name(F.lit("t"), F.lit(0), F.lit(7300), F.lit(7411)).alias("n"))
-    assert one(df).n == "t-p0-000000007300-000000007411"
+@pytest.mark.parametrize("topic, partition, first, last, name", [
+    ("calls", 11, 0, 0, "calls-p11-000000000000-000000000000"),
+    ("c", 2, 999_999_999_999, 1_000_000_000_000, "c-p2-999999999999-1000000000000"),
+])
+def test_batch_names_come_from_offsets(spark, topic, partition, first, last, name):
+    df = spark.range(1).select(sinks.batch_name(
+        F.lit(topic), F.lit(partition), F.lit(first), F.lit(last)).alias("n"))
+    assert one(df).n == name
 
 
 def test_each_partition_has_its_batches_of_bounded_size(spark, tmp_path):
@@ -232,7 +238,7 @@ def test_daily_json_lines(spark, tmp_path):
 def test_messages_for_the_broker(spark):
     df = spark.createDataFrame([payload()], S.PAYLOAD)
     row = one(kafka.as_messages(df))
-    assert bytes(row.key) == b"1-2605101000-3"
+    assert bytes(row.key) == STOP.encode()
     assert json.loads(bytes(row.value)) == payload()
     assert [(h.key, bytes(h.value)) for h in row.headers] == [("schema_version", b"1")]
 

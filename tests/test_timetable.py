@@ -20,8 +20,12 @@ from stoptide.plans import feed, stations, timetable
 from stoptide.sources import files
 from tests.conftest import one, rows
 
-STOP_TIMES = [("t1", "7", "B", "10:10:00", "10:12:00"), ("t1", "3", "A", "09:05:00", "09:06:00"),
-              ("t2", "1", "Z", "23:30:00", "23:31:00"), ("t3", "0", "Q", "", "")]
+# Trips "n1" over midnight with stops out of order, "k4" with one stop, "w2" without times.
+STOP_TIMES = [
+    ("n1", "30", "C", "25:05:00", "25:05:00"), ("n1", "4", "A", "22:58:30", "23:00:00"),
+    ("n1", "12", "B", "23:44:00", "23:46:00"), ("k4", "1", "D", "06:15:00", "06:20:00"),
+    ("w2", "1", "A", None, None), ("w2", "2", "B", "", ""),
+    ("m7", "5", "B", "06:40:00", ""), ("m7", "2", "A", "", "05:30:00")]
 
 
 def stop_times(spark):
@@ -30,19 +34,23 @@ def stop_times(spark):
 
 @pytest.fixture(scope="module")
 def calendar(spark):
-    week = ["1"] * 7
+    """Weekdays in June, weekends in June, and a service that only has exceptions."""
+    work, rest = [*["1"] * 5, "0", "0"], [*["0"] * 5, "1", "1"]
     base = spark.createDataFrame(
-        [("s1", "20260301", "20260331", *week), ("s2", "20260301", "20260331", *["0"] * 7)],
+        [("work", "20270601", "20270630", *work), ("rest", "20270601", "20270630", *rest)],
         S.GTFS["calendar"])
     dates = spark.createDataFrame(
-        [("s1", "20260318", "2", 1), ("s2", "20260318", "1", 2), ("s1", "20260320", "2", 3),
-         ("s1", "20260320", "1", 4), ("s2", "20260320", "1", 5), ("s2", "20260320", "3", 6)],
+        [("work", "20270617", "2", 1), ("rest", "20270617", "1", 2),        # a holiday
+         ("extra", "20270612", "1", 3), ("extra", "20270705", "1", 4),
+         ("work", "20270621", "1", 5), ("work", "20270621", "2", 6),        # the last one counts
+         ("rest", "20270621", "7", 7)],                                     # no such type
         "service_id STRING, date STRING, exception_type STRING, line INT")
     return base, dates
 
 
 @pytest.mark.parametrize("date, services", [
-    ("20260318", ["s2"]), ("20260319", ["s1"]), ("20260320", ["s1"]), ("20260401", [])])
+    ("20270616", ["work"]), ("20270617", ["rest"]), ("20270612", ["extra", "rest"]),
+    ("20270621", []), ("20270705", ["extra"]), ("20270531", []), ("20270630", ["work"])])
 def test_active_services(calendar, date, services):
     got = timetable.active_services(*calendar, date, order="line")
     assert [r[0] for r in rows(got)] == services
@@ -51,12 +59,15 @@ def test_active_services(calendar, date, services):
 def test_stop_order_comes_from_the_sequence(spark):
     numbered = stop_times(spark).withColumn("stop_sequence", F.col("stop_sequence").cast("int"))
     got = {r.trip_id: r.stops for r in stop_sequences(numbered).collect()}
-    assert got["t1"] == ["A", "B"]
+    assert (got["n1"], got["m7"]) == (["A", "B", "C"], ["A", "B"])
 
 
 def test_time_spans(spark):
-    assert rows(timetable.trip_time_spans(stop_times(spark))) == [
-        ("t1", "09:06:00", "10:12:00"), ("t2", "23:31:00", "23:31:00")]
+    got = {r[0]: tuple(r)[1:] for r in timetable.trip_time_spans(stop_times(spark)).collect()}
+    assert got["n1"] == ("23:00:00", "25:05:00")
+    assert got["k4"] == ("06:20:00", "06:20:00")
+    assert got["m7"] == ("05:30:00", "06:40:00")
+    assert got.get("w2", (None, None)) == (None, None)
 
 
 @pytest.mark.parametrize("span, now, overnight, state", [
@@ -76,23 +87,24 @@ def test_trip_state(spark, span, now, overnight, state):
 
 def test_coverage(spark, calendar):
     trips = spark.createDataFrame(
-        [("r1", "s1", "t1"), ("r1", "s1", "t2"), ("r2", "s1", "t3"), ("r2", "s2", "t4")],
-        S.GTFS["trips"])
-    routes = spark.createDataFrame([("r1", "9", "ICE"), ("r2", "7", "IC")], S.GTFS["routes"])
-    agency = spark.createDataFrame([("9", "DB")], S.GTFS["agency"])
-    feed_ids = spark.createDataFrame([("t1",), ("t3",), ("x",), ("t1",)], "trip_id STRING")
-    active = timetable.active_services(*calendar, "20260319", order="line")
+        [("L1", "work", "n1"), ("L1", "work", "k4"), ("L2", "work", "m7"), ("L2", "rest", "w2"),
+         ("L3", "extra", "zz")], S.GTFS["trips"])
+    routes = spark.createDataFrame(
+        [("L1", "north", "NJ"), ("L2", "coast", "RE"), ("L3", "north", "EC")], S.GTFS["routes"])
+    agency = spark.createDataFrame([("north", "Northern Nights")], S.GTFS["agency"])
+    feed_ids = spark.createDataFrame([("k4",), ("m7",), ("gone",), ("m7",)], "trip_id STRING")
+    active = timetable.active_services(*calendar, "20270616", order="line")
     coverage = timetable.trip_coverage(
         trips, routes, timetable.trip_time_spans(stop_times(spark)), active, feed_ids,
-        F.lit("09:30:00"))
+        F.lit("06:20:00"))
     got = {r.state: (r.covered, r.total, r.agency_covered, r.agency_total)
-           for r in timetable.coverage_by_state(coverage, "9").collect()}
-    assert got == {"running": (1, 1, 1, 1), "not yet started": (0, 1, 0, 1),
-                   "already finished": (1, 1, 0, 0)}
-    assert rows(timetable.running_by_agency(coverage), "agency_id", "covered", "total") == \
-        [("9", 1, 1)]
+           for r in timetable.coverage_by_state(coverage, "north").collect()}
+    assert got == {"running": (2, 2, 1, 1), "not yet started": (0, 1, 0, 1)}
+    assert rows(timetable.running_by_agency(coverage, agency), "agency_id", "agency_name",
+                "covered", "total") == [
+        ("coast", "?", 1, 1), ("north", "Northern Nights", 1, 1)]
     assert rows(timetable.matched_breakdown(trips, routes, agency, feed_ids)) == [
-        ("7", "?", "IC", "r2", 1), ("9", "DB", "ICE", "r1", 1)]
+        ("coast", "?", "RE", "L2", 1), ("north", "Northern Nights", "NJ", "L1", 1)]
 
 
 def test_match_classes_and_fingerprints(spark):
@@ -130,6 +142,21 @@ def test_running_total_over_the_whole_integer_range(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("base", [0, 2**32, 2**40, -2**63])
+def test_running_total_of_wide_keys(spark, base):
+    keys = [None, *(base + k for k in (0, 1, 5, 65_536, 2**32, 2**33 + 5, 2**48))]
+    df = spark.createDataFrame([(k, 2 * i + 1) for i, k in enumerate(keys)], "k BIGINT, n BIGINT")
+    got = {r.k: r.running for r in running_total(df, "k").collect()}
+    assert [got[k] for k in keys[1:]] == [3, 8, 15, 24, 35, 48, 63]
+    assert got[None] == 64
+
+
+def test_running_total_refuses_other_keys(spark):
+    for kind in ("DOUBLE", "STRING", "DECIMAL(10,0)"):
+        with pytest.raises(TypeError, match="integer key"):
+            running_total(spark.createDataFrame([], f"k {kind}, n BIGINT"), "k")
+
+
 def test_discrete_quantiles_against_the_sorted_list(spark):
     values = [((i * 7919) % 4001 - 2000) * (1 if i % 3 else 50) for i in range(997)]
     values += [17] * 500
@@ -158,23 +185,47 @@ def test_presence_counts_empty_text_as_absent(spark):
 
 def test_identity(spark):
     df = spark.createDataFrame(
-        [("a", "1"), ("a", "2"), ("b", "1"), ("b", "1"), ("c", "1")],
-        "trip_id STRING, start_date STRING")
-    assert tuple(one(feed.identity_profile(df))) == (3, 4, 1, 2)
+        [("u", "20270102"), ("u", "20270101"), ("v", "20270101"), ("v", "20270101"),
+         ("w", None)], "trip_id STRING, start_date STRING")
+    row = one(feed.identity_profile(df))
+    assert tuple(row)[:4] == (3, 4, 1, 2)
+    assert row.start_dates == ["20270101=3", "20270102=1", "=1"] or \
+        row.start_dates == ["=1", "20270101=3", "20270102=1"]
+    assert one(feed.identity_profile(df.limit(0))).start_dates == []
 
 
 def test_alerts(spark):
-    entity = {"agency_id": "", "route_id": None, "stop_id": "s", "trip_id": "t"}
-    base = ("UNKNOWN_CAUSE", "UNKNOWN_EFFECT", "INFO", True, False, True, False)
-    df = spark.createDataFrame(
-        [(*base, [entity, entity], ["x", "x", "y"]), (*base, None, None),
-         ("STRIKE", *base[1:], [], ["z", "w"])], S.ALERT)
-    got = {(r.section, r.label): r.n for r in feed.alert_profile(df).collect()}
-    assert got[("cause", "UNKNOWN_CAUSE")] == 2 and got[("cause", "STRIKE")] == 1
-    assert got[("selector", "stop_id")] == 2 and ("selector", "agency_id") not in got
-    assert got[("presence", "has_header")] == 3 and ("presence", "has_url") not in got
-    assert {k[1]: v for k, v in got.items() if k[0] == "text"} == {"x": 2, "w": 1, "y": 1}
-    assert got[("distinct_texts", "")] == 4
+    def entity(**given):
+        return {"agency_id": None, "route_id": None, "stop_id": None, "trip_id": None} | given
+
+    def alert(cause, flags, entities, texts):
+        return (cause, "DETOUR", None, *flags, entities, texts)
+
+    df = spark.createDataFrame([
+        alert("WEATHER", (True, True, None, True, False),
+              [entity(route_id="r", trip_id=""), entity(trip_id="t"), entity(agency_id="")],
+              ["fog", "ice"]),
+        alert("WEATHER", (True, False, False, False, False), [entity(route_id="q")], None),
+        alert("POLICE", (False, False, False, True, False), None, ["ice"]),
+        alert(None, (None,) * 5, [], [])], S.ALERT)
+    got = {(r.section, r.label): (r.n, r.pct) for r in feed.alert_profile(df).collect()}
+    assert got[("presence", "has_informed_entity")] == (2, 50.0)
+    assert got[("presence", "has_header")] == (0, 0.0) == got[("presence", "has_url")]
+    assert got[("presence", "has_description")] == (2, 50.0)
+    assert {k[1]: v[0] for k, v in got.items() if k[0] == "selector"} == {
+        "route_id": 2, "trip_id": 1, "trip without id": 1}
+    assert got[("cause", "WEATHER")] == (2, None) and got[("cause", None)][0] == 1
+    assert got[("text", "ice")][0] == 2 and got[("distinct_texts", "")][0] == 2
+
+
+def test_alert_limits_leave_flags_and_selectors_alone(spark):
+    rows_ = [(f"C{i}", "E", "S", *[True] * 5,
+              [dict.fromkeys(("agency_id", "route_id", "stop_id", "trip_id"), "x")],
+              [f"t{i}"]) for i in range(9)]
+    listed = feed.alert_profile(spark.createDataFrame(rows_, S.ALERT), top_values=2, top_texts=1)
+    n = {r["section"]: r["count"] for r in listed.groupBy("section").count().collect()}
+    assert n == {"presence": 5, "selector": 4, "cause": 2, "effect": 1, "severity": 1, "text": 1,
+                 "distinct_texts": 1}
 
 
 def test_route_calls(spark):
