@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..plans import gold, ingest, timetable
+from ..operators.stacking import stack
+from ..plans import gold, ingest, poll, timetable
 from ..session import scratch_dir
 from ..sources import documents, files, frames, kafka, sinks
 from .derived import geometry, last, stops
@@ -143,6 +146,64 @@ def _poll_outcomes(spark, sf):
         mixed_documents(spark, sf).withColumn("cycle", F.col("page_id") % 24), "cycle")
 
 
+def poll_documents(spark, sf):
+    """The events of a user and day as one document of its stop; every fourth cycle also has a
+    document that is none."""
+    events = frames.as_polls(frames.table(spark, sf, "events"))
+    stop = F.concat(F.lit("<s"), _attribute("id", F.concat("key", F.lit("-2601010000-1"))),
+                    F.lit("><ar"), _attribute("cp", F.col("content")), F.lit("/></s>"))
+    stops = F.transform(F.array_sort(F.collect_list(F.struct("position", stop.alias("s")))),
+                        lambda x: x["s"])
+    sound = events.groupBy("key", "cycle").agg(F.concat(
+        F.lit("<timetable>"), F.array_join(stops, ""), F.lit("</timetable>")).alias("document"))
+    faulty = events.filter("cycle % 4 = 0").select("cycle").distinct().select(
+        F.lit(0).cast("long").alias("key"), "cycle", F.lit("<html/>").alias("document"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("cycle"))
+    return sound.unionByName(faulty).select(
+        "document", "cycle", F.col("key").alias("station_eva"), F.lit("X").alias("station_name"),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T12:00:00+00:00"))
+        .alias("observed_at"))
+
+
+@query("poll_job", using("polls", body="""
+WITH seen AS (SELECT * FROM polls WHERE key % 3 <> 1),
+state AS (SELECT key, cycle, arg_max(content, position) AS content FROM seen GROUP BY 1, 2),
+changed AS (SELECT s.key, s.cycle FROM state s LEFT JOIN state p
+  ON p.key = s.key AND p.cycle = s.cycle - 1 AND p.content = s.content WHERE p.key IS NULL),
+written AS (SELECT cycle, count(*) AS n FROM seen JOIN changed USING (key, cycle) GROUP BY 1)
+SELECT cycle, count(DISTINCT key) AS stations_polled,
+  cast(CASE WHEN cycle % 4 = 0 THEN 1 ELSE 0 END AS bigint) AS stations_failed,
+  count(*) AS changed_stops,
+  cast(count(*) FILTER (WHERE key % 3 <> 2) AS bigint) AS identified,
+  cast(count(*) FILTER (WHERE key % 3 = 2) AS bigint) AS unidentified,
+  cast(count(*) FILTER (WHERE key % 3 <> 1) AS bigint) AS observations,
+  cast(count(*) FILTER (WHERE key % 3 <> 1) AS bigint) AS seen,
+  coalesce(any_value(w.n), 0) AS written,
+  cast(count(*) FILTER (WHERE key % 3 <> 1) - coalesce(any_value(w.n), 0) AS bigint)
+    AS suppressed, coalesce(any_value(w.n), 0) AS lines
+FROM polls LEFT JOIN written w USING (cycle) GROUP BY cycle
+"""))
+def _poll_job(spark, sf):
+    """All polls in two runs, the second from the state of the first; lines as written.
+
+    A third of the stops is planned, a third is planned but out of scope, a third unknown.
+    """
+    docs, out = poll_documents(spark, sf), scratch_dir(spark, "emitted")
+    key = F.col("station_eva")
+    wanted = docs.filter((key % 3 != 2) & F.col("document").startswith("<timetable")).select(
+        F.concat(key, F.lit("-2601010000-1")).alias("stop_id"),
+        F.when(key % 3 == 0, "F").otherwise("N").alias("train_filter")).distinct()
+    plan = wanted.select("stop_id", *[
+        F.col(c) if c == "train_filter" else F.lit("IC" if c == "train_category" else None)
+        .cast("string").alias(c) for c in files.S.PLAN_FIELDS])
+    first, state = poll.run(docs.filter("cycle < 11"), plan, out)
+    second, _ = poll.run(docs.filter("cycle >= 11"), plan, out, state)
+    day = F.date_diff(F.col("dt").cast("date"), F.lit("2024-01-01").cast("date"))
+    lines = spark.read.schema("stop_id STRING, dt STRING").json(out).groupBy(
+        day.alias("cycle")).agg(F.count(F.lit(1)).alias("lines"))
+    return first.unionByName(second).join(lines, "cycle", "left").fillna(0)
+
+
 def _calendar(spark, sf):
     """Parts as weekly services, events as dated exceptions in event order."""
     part = frames.table(spark, sf, "part")
@@ -262,13 +323,13 @@ SELECT 9000000 + s_suppkey, false, s_suppkey, s_name, cast(s_suppkey % 7 AS bigi
   concat('L', s_nationkey), NULL, NULL FROM supplier
 """)
 def _src_station_master(spark, sf):
-    """Nested station files written as JSON, one station per document, and read back."""
+    """Nested station files, a thousand stations in each, written as JSON and read back."""
     path = scratch_dir(spark, "master")
     entries = master_entries(frames.table(spark, sf, "supplier"))
-    entries.select(F.array(F.struct(*entries.columns)).alias("result")).write.json(path)
-    stations = spark.read.schema(files.S.STATION_MASTER).json(path) \
-        .select(F.explode("result").alias("station")).select("station.*")
-    return files.explode_eva_numbers(stations)
+    entries.groupBy(F.expr("number div 1000").alias("file")).agg(
+        F.collect_list(F.struct(*entries.columns)).alias("result")).select("result") \
+        .write.option("maxRecordsPerFile", 1).json(path)
+    return files.station_master(spark, path)
 
 
 @query("src_reference_json", using("stations", "geometry", body=f"""
@@ -301,15 +362,19 @@ SELECT stop_id, trip_id, stop_index, {joined("full_route")} AS full_route, servi
 """))
 def _sink_gold_overwrite(spark, sf):
     """The stop table written twice; the second write replaces the first and its schema."""
-    path = scratch_dir(spark, "gold")
+    database = _database(spark)
     table = stops(spark, sf).withColumn("year", F.year("service_date"))
-    sinks.overwrite_path(table.select("stop_id", "service_date"), path)
-    sinks.overwrite_path(
+    sinks.overwrite_table(table.select("stop_id", "service_date"), f"{database}.stop")
+    sinks.overwrite_table(
         table.select("stop_id", "trip_id", "stop_index", "full_route", "service_date", "year"),
-        path, partition_by=["year"])
-    return spark.read.schema(
-        "stop_id STRING, trip_id STRING, stop_index INT, full_route ARRAY<STRING>, "
-        "service_date DATE, year INT").parquet(path)
+        f"{database}.stop", partition_by=["year"])
+    return spark.table(f"{database}.stop")
+
+
+def _database(spark) -> str:
+    name = f"gold_{uuid.uuid4().hex}"
+    sinks.create_database(spark, name)
+    return name
 
 
 @query("sink_jsonl_daily", """
@@ -355,9 +420,47 @@ FROM trips GROUP BY 1, 2
 """))
 def _gold_tables(spark, sf):
     """Trips from a stop table stored by trip hash: read without a shuffle up to the sums."""
-    path = scratch_dir(spark, "stops")
-    sinks.overwrite_path(stops(spark, sf), path)
-    return gold.trip_table(spark.read.parquet(path)) \
+    table = f"{_database(spark)}.stop"
+    gold.save_stops(stops(spark, sf), table, buckets=8)
+    return gold.trip_table(spark.table(table)) \
         .groupBy("service_date", "is_long_distance").agg(
             F.count(F.lit(1)).alias("trips"), F.sum("observed_stop_count").alias("stops"),
             F.count_if("any_stop_cancelled").alias("cancelled"))
+
+
+# Rows of each Gold table, and the sum of one of its numbers.
+_GOLD_SUMS = {
+    "stop": "stop_index", "trip": "observed_stop_count", "daily_route": "trips_observed",
+    "station": "route_calls", "segment": "trips", "station_pair": "direct_trains",
+    "segment_geometry": "geometry_points", "segment_point": "point_index",
+}
+
+
+@query("gold_build", using("trips", "segments", "pairs", "geometry", "stations", body="""
+WITH daily AS (SELECT count(*) AS n FROM trips WHERE is_long_distance
+  GROUP BY service_date, origin, destination),
+tracks AS (SELECT len(coordinates) AS points FROM geometry g JOIN segments s
+  ON s.from_station = g.from_station AND s.to_station = g.to_station AND s.hops = 1),
+sampled AS (SELECT cast(ceil(points / greatest(1, floor(points / 60))) AS bigint) AS k FROM tracks)
+SELECT 'stop' AS name, count(*) AS rows, cast(sum(stop_index) AS bigint) AS total FROM stops
+UNION ALL SELECT 'trip', count(*), cast(sum(observed_stop_count) AS bigint) FROM trips
+UNION ALL SELECT 'daily_route', count(*), cast(sum(n) AS bigint) FROM daily
+UNION ALL SELECT 'station', count(*), cast(sum(s_suppkey % 50) AS bigint) FROM supplier
+UNION ALL SELECT 'segment', count(*), cast(sum(trips) AS bigint) FROM segments
+UNION ALL SELECT 'station_pair', count(*), cast(sum(direct_trains) AS bigint) FROM pairs
+UNION ALL SELECT 'segment_geometry', count(*), cast(coalesce(sum(points), 0) AS bigint) FROM tracks
+UNION ALL SELECT 'segment_point', cast(coalesce(sum(k), 0) AS bigint),
+  cast(coalesce(sum(k * (k - 1) // 2), 0) AS bigint) FROM sampled
+"""))
+def _gold_build(spark, sf):
+    """All eight tables in one build, with its rules enforced; some rows here are round trips."""
+    database = f"gold_{uuid.uuid4().hex}"
+    tracks = geometry(spark, sf).withColumn("track_km", F.round(F.col("metres") / 1000, 1))
+    gold.build_gold(frames.observations(spark, sf), frames.stations(spark, sf), database,
+                    buckets=8, tracks=tracks, circular=False)
+    return stack([
+        spark.table(f"{database}.{name}").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(number), F.lit(0)).cast("long").alias("total"))
+        .select(F.lit(name).alias("name"), "rows", "total")
+        for name, number in _GOLD_SUMS.items()])

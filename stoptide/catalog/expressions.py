@@ -29,7 +29,7 @@ from ..functions import (
 )
 from ..plans.gold import consecutive_stops
 from ..plans.ingest import strict_long_distance
-from ..plans.silver import silver
+from ..plans.silver import flatten, silver
 from ..sources import frames
 from .derived import geometry, last, stops
 from .oracle import LONG, count_if, joined, rounded, route, text, using
@@ -308,15 +308,15 @@ def _planned_minutes(spark, sf):
         .alias("minutes"))
 
 
-@query("json_flatten", """
-SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k,
-  json_extract_string(props, '$.absent') AS absent
-FROM events
-""")
+@query("json_flatten", using("f", body="""
+SELECT kafka_partition, kafka_offset, stop_id, station_eva, stop_index, brand,
+  planned_path_from, changed_path_to, arrival_status FROM f
+"""))
 def _json_flatten(spark, sf):
-    parsed = F.from_json("props", "k INT, absent STRING")
-    return frames.table(spark, sf, "events").select("event_id", parsed.alias("obs")) \
-        .select("event_id", "obs.*")
+    """Fields of the JSON payload next to the place of its record."""
+    return flatten(frames.records(frames.payloads(spark, sf))).select(
+        "kafka_partition", "kafka_offset", "stop_id", "station_eva", "stop_index", "brand",
+        "planned_path_from", "changed_path_to", "arrival_status")
 
 
 def _silver_sql() -> str:

@@ -80,9 +80,8 @@ def _trip_endpoints(spark, sf):
 
 
 @query("segment_lag", using("consecutive", body="""
-SELECT trip_id, from_station, to_station, from_eva, to_eva, hops, delay_gained, delay_at_from,
-  delay_at_to, cast(planned_minutes AS double) AS planned_minutes, train_category,
-  service_date, either_cancelled
+SELECT trip_id, from_station, to_station, hops, delay_gained, delay_at_from, delay_at_to,
+  cast(planned_minutes AS double) AS planned_minutes, either_cancelled
 FROM consecutive
 """))
 def _segment_lag(spark, sf):

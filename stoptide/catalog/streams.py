@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import content_digest
 from ..operators.changes import number_cycles
-from ..plans import silver as silver_plan
 from ..session import scratch_dir
 from ..sources import files, frames
 from ..streaming import batches, changes, medallion
@@ -39,12 +38,19 @@ def stop_stream(spark, sf: str):
 
 
 def land_lines(spark, sf: str, faults: bool = False) -> str:
-    """Records as gzip JSON lines; with `faults`, some cut off and some of another shape."""
+    """Records as gzip JSON lines; with `faults`, some are cut off, of another shape or blank,
+    and some payloads lack the stop id or have no readable time."""
     path = scratch_dir(spark, "landing")
     records = frames.records(frames.payloads(spark, sf))
+    number = F.pmod(F.col("offset"), F.lit(53))
+    if faults:
+        value = F.col("value")
+        records = records.withColumn("value", F.when(
+            number == 3, F.regexp_replace(value, '"stop_id":"[^"]*"', '"stop_id":null')).when(
+            number == 4, F.regexp_replace(value, '"observed_at":"[^"]*"', '"observed_at":"noon"'))
+            .otherwise(value))
     line = F.to_json(F.struct(*S.RECORD_COLUMNS), {"ignoreNullFields": "false"})
     if faults:
-        number = F.pmod(F.col("offset"), F.lit(53))
         line = (F.when(number == 0, F.concat(F.lit('{"topic": "'), F.col("key")))
                 .when(number == 1, F.to_json(F.struct(F.col("key").alias("probe"))))
                 .when(number == 2, F.lit("")).otherwise(line))
@@ -52,14 +58,23 @@ def land_lines(spark, sf: str, faults: bool = False) -> str:
     return path
 
 
-@query("src_landing_stream", _sql["silver_parse"])
+@query("src_landing_stream",
+       f"SELECT *, true AS from_landing, true AS stamped FROM ({_sql['silver_parse']})")
 def _src_landing_stream(spark, sf):
-    """Landing files -> Bronze -> Silver, as three streams that drain and stop."""
+    """Landing files -> Bronze -> Silver, as three streams that drain and stop.
+
+    Few files per batch; the watermark covers the seven years that the rows span.
+    """
     landing = land_lines(spark, sf)
     bronze, silver, state = (scratch_dir(spark, n) for n in ("bronze", "silver", "state"))
-    medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
-    medallion.write_silver(medallion.bronze_stream(spark, bronze), silver, f"{state}/silver")
-    return spark.read.parquet(silver).select(*SILVER_COLUMNS)
+    medallion.write_bronze(files.landed_stream(spark, landing, max_files=2), bronze,
+                           f"{state}/bronze")
+    medallion.write_silver(medallion.bronze_stream(spark, bronze, max_files=2), silver,
+                           f"{state}/silver", watermark="4000 days")
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(silver)
+    return rows.select(
+        *SILVER_COLUMNS, F.col("_source_file").contains(landing.rpartition("/")[2])
+        .alias("from_landing"), F.col("_bronze_ingested_at").isNotNull().alias("stamped"))
 
 
 @query("src_corrupt_capture", using("f", body="""
@@ -68,17 +83,33 @@ SELECT kind, count(*) AS lines FROM (SELECT CASE kafka_offset % 53 WHEN 0 THEN '
 WHERE kind <> 'blank' GROUP BY kind
 """))
 def _src_corrupt_capture(spark, sf):
-    """Bronze keeps every line that is not blank; the faulty ones go to quarantine."""
+    """Bronze keeps every line that is not blank, the corrupt text in a column of its own."""
     landing = land_lines(spark, sf, faults=True)
     bronze, state = scratch_dir(spark, "bronze"), scratch_dir(spark, "state")
     medallion.write_bronze(files.landed_stream(spark, landing), bronze, state)
     table = spark.read.schema(S.BRONZE).parquet(bronze)
-    sound, faulty = silver_plan.split_bronze(table)
     kind = F.when(F.col("_corrupt_record").isNotNull(), F.lit("corrupt")) \
-        .otherwise(F.lit("other shape"))
-    return sound.select(F.lit("sound").alias("kind")).unionByName(
-        faulty.select(kind.alias("kind"))).groupBy("kind").agg(
-        F.count(F.lit(1)).alias("lines"))
+        .when(files.record_fault(), F.lit("other shape")).otherwise(F.lit("sound"))
+    return table.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("silver_quarantine", using("f", body="""
+SELECT kind, count(*) AS records FROM (SELECT CASE kafka_offset % 53 WHEN 0 THEN 'not JSON'
+  WHEN 1 THEN 'not a record' WHEN 2 THEN 'blank' WHEN 3 THEN 'no stop id'
+  WHEN 4 THEN 'no observation time' ELSE 'observation' END AS kind FROM f)
+WHERE kind <> 'blank' GROUP BY kind
+"""))
+def _silver_quarantine(spark, sf):
+    """Silver and what it leaves out: together all of Bronze."""
+    landing = land_lines(spark, sf, faults=True)
+    bronze, silver, aside, state = (
+        scratch_dir(spark, n) for n in ("bronze", "silver", "quarantine", "state"))
+    medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
+    medallion.write_silver(medallion.bronze_stream(spark, bronze), silver, f"{state}/silver",
+                           watermark="4000 days", quarantine=aside)
+    kept = spark.read.parquet(silver).select(F.lit("observation").alias("kind"))
+    return kept.unionByName(spark.read.parquet(aside).select(F.col("reason").alias("kind"))) \
+        .groupBy("kind").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("stream_dedup", using("f", body=f"""

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import (
     brand_fallback,
     is_long_distance,
@@ -30,7 +31,8 @@ from ..functions import (
     usable_length,
 )
 from ..operators.latest import last_observation
-from ..sources.sinks import overwrite_table
+from ..sources.sinks import create_database, overwrite_table
+from . import checks, geometry
 
 TRIP = ["trip_id", "start_at"]
 _STOP_ORDER = ["stop_index", "stop_id"]
@@ -182,8 +184,6 @@ def consecutive_stops(stops: DataFrame) -> DataFrame:
         *TRIP,
         before("station_name").alias("from_station"),
         F.col("station_name").alias("to_station"),
-        before("station_eva").alias("from_eva"),
-        F.col("station_eva").alias("to_eva"),
         (F.col("stop_index") - before("stop_index")).alias("hops"),
         (F.col("arrival_delay_minutes") - before("arrival_delay_minutes"))
         .alias("delay_gained"),
@@ -191,7 +191,6 @@ def consecutive_stops(stops: DataFrame) -> DataFrame:
         F.col("arrival_delay_minutes").alias("delay_at_to"),
         planned_minutes(F.col("planned_arrival_at"), before("planned_departure_at"))
         .alias("planned_minutes"),
-        "train_category", "service_date",
         (F.coalesce("is_cancelled", F.lit(False))
          | F.coalesce(before("is_cancelled"), F.lit(False))).alias("either_cancelled"),
     )
@@ -365,6 +364,7 @@ def top_pairs(pairs: DataFrame, limit: int = 15, min_trips: int = 5) -> DataFram
 
 
 def in_presentation_order(daily: DataFrame) -> DataFrame:
+    """Newest day first, then the busiest route; ties by name."""
     return daily.orderBy(F.col("service_date").desc(), F.col("trips_observed").desc(),
                          "origin", "destination")
 
@@ -377,16 +377,48 @@ def save_stops(stops: DataFrame, table: str, buckets: int) -> None:
     overwrite_table(stops, table, bucket_by=TRIP, sort_by=_STOP_ORDER, buckets=buckets)
 
 
+def in_days(observations: DataFrame, first: str, last: str) -> DataFrame:
+    """Observations of the days from `first` to `last`.
+
+    Silver stored by `observed_date` reads only the folders of those days.
+    """
+    day = "observed_date" if "observed_date" in observations.columns else None
+    moment = F.col(day) if day else F.to_date("observed_at")
+    return observations.filter(moment.between(F.lit(first).cast("date"),
+                                              F.lit(last).cast("date")))
+
+
 def build_gold(observations: DataFrame, stations: DataFrame, database: str,
-               buckets: int = 200) -> None:
-    """Write all tables of the delay model, each once, later ones from the stored stops."""
+               buckets: int = 200, tracks: DataFrame | None = None,
+               days: tuple[str, str] | None = None, circular: bool = True) -> None:
+    """Write the eight tables of the delay model, each once, later ones from the stored stops.
+
+    The rules that later steps rest on are enforced before those steps: unique station names,
+    and trips no longer than a train can be before segments and pairs are formed. All rules are
+    enforced at the end. `tracks` are the resolved segment geometries, `days` the first and last
+    day of observation to build from. `circular` refuses routes that end where they begin.
+    """
     spark = observations.sparkSession
+    create_database(spark, database)
+    if days is not None:
+        observations = in_days(observations, *days)
+    checks.enforce(checks.check_station_names(stations))
+    overwrite_table(stations, f"{database}.station")
+    stations = spark.table(f"{database}.station")
     save_stops(stop_table(observations), f"{database}.stop", buckets)
     stops = spark.table(f"{database}.stop")
+    checks.enforce(checks.check_trip_length(stops))
+
     overwrite_table(trip_table(stops), f"{database}.trip")
     overwrite_table(daily_route_table(spark.table(f"{database}.trip")),
-                    f"{database}.daily_route")
-    overwrite_table(stations, f"{database}.station")
-    overwrite_table(segment_table(stops, spark.table(f"{database}.station")),
-                    f"{database}.segment")
+                    f"{database}.daily_route", partition_by=["service_date"])
+    overwrite_table(segment_table(stops, stations), f"{database}.segment")
     overwrite_table(station_pair_table(stops), f"{database}.station_pair")
+    if tracks is None:
+        tracks = spark.createDataFrame([], S.SEGMENT_GEOMETRY)
+    overwrite_table(geometry.segment_geometry_table(tracks, spark.table(f"{database}.segment")),
+                    f"{database}.segment_geometry")
+    overwrite_table(
+        geometry.geometry_points_table(spark.table(f"{database}.segment_geometry")),
+        f"{database}.segment_point")
+    checks.enforce_gold(observations, stops, stations, circular)

@@ -25,12 +25,6 @@ RAW_COLUMNS = [
 LINEAGE = ["_source_file", "_bronze_ingested_at"]
 
 
-def split_bronze(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sound records, quarantine)."""
-    fault = record_fault()
-    return records.filter(~fault), records.filter(fault)
-
-
 def flatten(records: DataFrame) -> DataFrame:
     """The record's origin next to the fields of its JSON payload."""
     lineage = [c for c in LINEAGE if c in records.columns]
@@ -72,7 +66,16 @@ def silver(records: DataFrame) -> DataFrame:
 
 
 def silver_quarantine(records: DataFrame) -> DataFrame:
-    """The records `silver` leaves out, unparsed."""
-    obs = F.from_json("value", S.PAYLOAD)
-    usable = obs["stop_id"].isNotNull() & iso_timestamp(obs["observed_at"]).isNotNull()
-    return records.filter(~F.coalesce(usable, F.lit(False)))
+    """The records that do not become observations, unparsed, each with the reason.
+
+    Faulty lines, payloads without a stop id, and payloads without a readable time: what is
+    here and what `silver` makes of the sound records add up to Bronze.
+    """
+    obs = computed_once(F.from_json("value", S.PAYLOAD))
+    tested = records.select("*", record_fault().alias("_fault"), obs.alias("_obs"))
+    reason = (
+        F.when(F.col("_fault") & F.col("_corrupt_record").isNotNull(), "not JSON")
+        .when(F.col("_fault"), "not a record")
+        .when(F.col("_obs.stop_id").isNull(), "no stop id")
+        .when(iso_timestamp(F.col("_obs.observed_at")).isNull(), "no observation time"))
+    return tested.withColumn("reason", reason).filter("reason IS NOT NULL").drop("_fault", "_obs")

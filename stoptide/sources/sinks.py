@@ -29,9 +29,11 @@ def overwrite_table(df: DataFrame, table: str, *, fmt: str = "parquet",
     """Replace a table together with its schema, in one write.
 
     With `buckets` the table is stored hashed by `bucket_by`, and later windows and joins on
-    those columns read it without a shuffle.
+    those columns read it without a shuffle. The rows are dealt out by the same hash first, so
+    that a bucket is one file.
     """
-    writer = by_partition(df, partition_by).write.mode("overwrite").format(fmt) \
+    rows = df.repartition(buckets, *bucket_by) if buckets else by_partition(df, partition_by)
+    writer = rows.write.mode("overwrite").format(fmt) \
         .option("overwriteSchema", "true") \
         .option("partitionOverwriteMode", "static")
     if partition_by:

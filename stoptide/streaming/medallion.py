@@ -2,18 +2,59 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from .. import schemas as S
-from ..plans.silver import silver
+from ..plans.silver import silver, silver_quarantine
 from ..sources.files import record_fault
 
 # Kafka keeps three days; a replay of all of it must not fall behind the watermark.
 DEFAULT_WATERMARK = "4 days"
 
 
+class _Dropped(StreamingQueryListener):
+    """Adds up what a query dropped for being late, over all of its batches.
+
+    A query itself remembers only its newest progress reports.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.rows[run] = self.rows.get(run, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def total(self, run: str) -> int:
+        with self.news:
+            self.news.wait_for(lambda: run in self.ended, timeout=60)
+        return self.rows.get(run, 0)
+
+
+_dropped: dict[str, int] = {}
+# Files that one batch of Silver writes for a day at most.
+DAY_SLICES = 8
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet",
           partition_by: list[str] | None = None, **options: str) -> StreamingQuery:
     """Append everything present to `path`, then stop. Returns the finished query."""
@@ -26,8 +67,15 @@ def drain(stream: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet"
         writer = writer.option(key, value)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(path)
-    query.awaitTermination()
+    listener = _Dropped()
+    streams = stream.sparkSession.streams
+    streams.addListener(listener)
+    try:
+        query = writer.start(path)
+        query.awaitTermination()
+        _dropped[str(query.runId)] = listener.total(str(query.runId))
+    finally:
+        streams.removeListener(listener)
     return query
 
 
@@ -35,10 +83,6 @@ def sound(records: DataFrame) -> DataFrame:
     return records.filter(~record_fault())
 
 
-def quarantine(records: DataFrame) -> DataFrame:
-    return records.filter(record_fault())
-
-
 def write_bronze(stream: DataFrame, path: str, checkpoint: str, **kw) -> StreamingQuery:
     """Append landed records unchanged, faulty ones included; Silver separates them."""
     return drain(stream, path, checkpoint, **kw)
@@ -63,22 +107,25 @@ def deduplicated(observations: DataFrame, watermark: str = DEFAULT_WATERMARK) ->
 
 def write_silver(bronze: DataFrame, path: str, checkpoint: str,
                  watermark: str = DEFAULT_WATERMARK, by_date: bool = False,
-                 **kw) -> StreamingQuery:
+                 quarantine: str | None = None, **kw) -> StreamingQuery:
     """Type, deduplicate and append.
 
     With `by_date` the table is partitioned by the day of the observation, so jobs over a
-    range of days read only those.
+    range of days read only those; the rows of a day are gathered in a few tasks before they
+    are written, else every task would write a file for every day. `quarantine` is the path that the records left
+    out are appended to, with the reason, by a stream of its own over the same Bronze table.
     """
+    if quarantine is not None:
+        drain(silver_quarantine(bronze), quarantine, f"{checkpoint}-quarantine")
     rows = deduplicated(silver(sound(bronze)), watermark)
     if by_date:
-        rows = rows.withColumn("observed_date", F.to_date("observed_at"))
+        slice_ = F.pmod(F.xxhash64("stop_id"), F.lit(DAY_SLICES))
+        rows = rows.withColumn("observed_date", F.to_date("observed_at")).repartition(
+            F.col("observed_date"), slice_)
         kw["partition_by"] = ["observed_date"]
     return drain(rows, path, checkpoint, **kw)
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped for being behind the watermark, over all its batches."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"])
+    """Rows a drained query dropped for being behind the watermark, over all its batches."""
+    return _dropped[str(query.runId)]

@@ -5,7 +5,9 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from stoptide import schemas as S
 from stoptide.operators.latest import last_observation
 from stoptide.plans import checks, geometry, gold
 from tests.conftest import one, plan_text, rows
@@ -207,6 +209,61 @@ def test_stored_stops_are_read_without_a_shuffle(spark):
     assert spark.table("gold_test.stop").count() == 3
 
 
+STATION = ("station_eva BIGINT, station_name STRING, stada_name STRING, latitude DOUBLE, "
+           "longitude DOUBLE, coordinate_source STRING, category INT, federal_state STRING, "
+           "route_calls BIGINT")
+
+
+def test_build_refuses_what_later_steps_rest_on(spark, monkeypatch):
+    data = observed(spark, stop("t", 1, "A", 2, 2, path_to=["B"]), stop("t", 2, "B", 5, 5),
+                    stop("t", 3, "C", 1, 1))
+    twice = spark.createDataFrame([(i, "A", "a", 1.0, 2.0, "x", 1, "L", 5) for i in (1, 2)],
+                                  STATION)
+    with pytest.raises(checks.DataQualityError, match="unique station names"):
+        gold.build_gold(data, twice, "gold_names", buckets=2)
+    assert not spark.catalog.tableExists("gold_names.stop")
+    monkeypatch.setattr(checks.check_trip_length, "__defaults__", (2,))
+    with pytest.raises(checks.DataQualityError, match="trip length"):
+        gold.build_gold(data, twice.limit(1), "gold_long", buckets=2)
+    assert not spark.catalog.tableExists("gold_long.station_pair")
+
+
+def test_build_writes_all_tables_and_one_file_per_bucket(spark):
+    points = [[float(i), 0.0] for i in range(130)]
+    tracks = spark.createDataFrame([("A", "B", 9.0, points)], S.SEGMENT_GEOMETRY)
+    stations = spark.createDataFrame([(1, "A", "a", 1.0, 2.0, "x", 1, "L", 5)], STATION)
+    rows_ = [stop(f"t{i}", k, name, 1, 2) for i in range(40) for k, name in enumerate("ABC", 1)]
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        gold.build_gold(observed(spark, *rows_), stations, "gold_all", buckets=5, tracks=tracks)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    found = {t.name: spark.table(f"gold_all.{t.name}").count()
+             for t in spark.catalog.listTables("gold_all")}
+    assert found == {"stop": 120, "trip": 40, "daily_route": 1, "station": 1, "segment": 2,
+                     "station_pair": 3, "segment_geometry": 1, "segment_point": 65}
+    assert len(spark.table("gold_all.stop").inputFiles()) == 5
+
+
+def test_build_of_some_days_reads_only_their_folders(spark, tmp_path):
+    data = observed(spark, stop("t", 1, "A", 2, 2)).withColumn(
+        "observed_date", F.explode(F.expr("sequence(date'2026-05-01', date'2026-05-09')")))
+    data.write.partitionBy("observed_date").parquet(str(tmp_path / "silver"))
+    some = gold.in_days(spark.read.parquet(str(tmp_path / "silver")), "2026-05-03", "2026-05-04")
+    assert some.count() == 2
+    filters = next(x for x in plan_text(some).split("\n") if "PartitionFilters" in x)
+    assert "observed_date" in filters.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_presentation_order(spark):
+    df = spark.createDataFrame(
+        [("2026-05-01", 9, "A", "B"), ("2026-05-02", 1, "A", "B"), ("2026-05-02", 3, "B", "A"),
+         ("2026-05-02", 3, "A", "C")],
+        "service_date STRING, trips_observed INT, origin STRING, destination STRING")
+    got = [tuple(r)[1:] for r in gold.in_presentation_order(df).collect()]
+    assert got == [(3, "A", "C"), (3, "B", "A"), (1, "A", "B"), (9, "A", "B")]
+
+
 def test_checks_pass_and_fail(spark):
     data = observed(spark, stop("t", 1, "A", 2, path_to=["B"]), stop("t", 2, "B", 5))
     table = gold.stop_table(data)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stoptide import schemas as S
-from stoptide.plans.silver import silver, silver_quarantine, split_bronze
+from stoptide.plans.silver import silver
 from stoptide.sources import files, kafka, sinks
 from stoptide.streaming import batches, medallion
 from tests.conftest import one, rows
@@ -88,18 +88,45 @@ def test_repeated_observations_are_dropped_within_and_across_runs(spark, paths):
     assert spark.read.parquet(str(paths["silver"])).count() == 1
 
 
-def test_faulty_lines_are_kept_in_bronze_and_stay_out_of_silver(spark, paths):
-    put(paths["landing"], "a.jsonl.gz", line(1), '{"topic": "t", "part', '{"probe": 1}',
-        line(4, "not a payload"), line(5, payload(observed_at="noon")),
-        line(6, payload(stop_id=None)))
-    run(spark, paths)
+def test_what_silver_leaves_out_is_in_quarantine(spark, paths):
+    put(paths["landing"], "a.jsonl.gz", line(10), '{"topic": "calls", "part', '{"other": true}',
+        line(13, "[1]"), line(14, payload(observed_at="soon")), line(15, payload(stop_id=None)),
+        line(16, payload("9-2611300000-1")), line(None))
+    aside = str(paths["silver"]) + "-aside"
+    run(spark, paths, quarantine=aside)
     bronze = spark.read.schema(S.BRONZE).parquet(str(paths["bronze"]))
-    sound, faulty = split_bronze(bronze)
-    assert (bronze.count(), sound.count(), faulty.count()) == (6, 4, 2)
-    assert [r[0] for r in faulty.filter("_corrupt_record IS NOT NULL")
-            .select("_corrupt_record").collect()] == ['{"topic": "t", "part']
-    assert rows(spark.read.parquet(str(paths["silver"])), "kafka_offset") == [(1,)]
-    assert rows(silver_quarantine(sound), "offset") == [(4,), (5,), (6,)]
+    kept = spark.read.parquet(str(paths["silver"]))
+    left_out = spark.read.parquet(aside)
+    assert rows(kept, "kafka_offset") == [(10,), (16,)]
+    assert sorted((r.reason, r.offset) for r in left_out.collect() if r.offset) == [
+        ("no observation time", 14), ("no stop id", 13), ("no stop id", 15)]
+    assert sorted(r.reason for r in left_out.collect() if not r.offset) == [
+        "not JSON", "not a record", "not a record"]
+    assert bronze.count() == kept.count() + left_out.count()
+    run(spark, paths, quarantine=aside)
+    assert spark.read.parquet(aside).count() == 6
+    assert [r[0] for r in left_out.filter("reason = 'not JSON'").select("_corrupt_record")
+            .collect()] == ['{"topic": "calls", "part']
+
+
+def test_late_rows_are_counted_over_all_batches(spark, paths):
+    """More batches than the query keeps progress reports of."""
+    put(paths["landing"], "a.jsonl.gz", line(0))
+    run(spark, paths, watermark="1 day")
+    for n in range(1, 13):
+        put(paths["landing"], f"b{n:02d}.jsonl.gz", line(
+            n, payload(f"{n}-2611010000-1", observed_at=f"2026-11-{n:02d}T12:00:00+01:00")))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        medallion.write_bronze(files.landed_stream(spark, str(paths["landing"]), max_files=1),
+                               str(paths["bronze"]), str(paths["cb"]))
+        query = medallion.write_silver(
+            medallion.bronze_stream(spark, str(paths["bronze"]), max_files=1),
+            str(paths["silver"]), str(paths["cs"]), watermark="1 day")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) <= 4
+    assert medallion.late_rows(query) == 12
 
 
 def test_bad_times_become_null_and_do_not_stop_the_stream(spark, paths):
