@@ -31,25 +31,39 @@ BRONZE = T.StructType([
     T.StructField("_bronze_ingested_at", T.TimestampType()),
 ])
 
-# The observation payload: texts, except for these.
-_PAYLOAD_TYPES = {
-    "station_eva": T.LongType(),
-    "stop_index": T.IntegerType(),
-    "messages": T.ArrayType(T.ArrayType(T.StringType())),
-}
+# The names and types of the observation payload are the producer's.
 PAYLOAD = T.StructType([
-    T.StructField(name, _PAYLOAD_TYPES.get(name, T.StringType()))
-    for name in """
-    stop_id station_eva station_name trip_id start_datetime stop_index
-    train_category train_number train_operator train_filter
-    planned_arrival changed_arrival planned_departure changed_departure
-    planned_arrival_platform planned_departure_platform
-    changed_arrival_platform changed_departure_platform
-    planned_path_from planned_path_to changed_path_from changed_path_to
-    arrival_status departure_status cancelled_at brand messages observed_at
-    """.split()
+    T.StructField("stop_id", T.StringType()),
+    T.StructField("station_eva", T.LongType()),
+    T.StructField("station_name", T.StringType()),
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("start_datetime", T.StringType()),
+    T.StructField("stop_index", T.IntegerType()),
+    T.StructField("train_category", T.StringType()),
+    T.StructField("train_number", T.StringType()),
+    T.StructField("train_operator", T.StringType()),
+    T.StructField("train_filter", T.StringType()),
+    T.StructField("planned_arrival", T.StringType()),
+    T.StructField("changed_arrival", T.StringType()),
+    T.StructField("planned_departure", T.StringType()),
+    T.StructField("changed_departure", T.StringType()),
+    T.StructField("planned_arrival_platform", T.StringType()),
+    T.StructField("planned_departure_platform", T.StringType()),
+    T.StructField("changed_arrival_platform", T.StringType()),
+    T.StructField("changed_departure_platform", T.StringType()),
+    T.StructField("planned_path_from", T.StringType()),
+    T.StructField("planned_path_to", T.StringType()),
+    T.StructField("changed_path_from", T.StringType()),
+    T.StructField("changed_path_to", T.StringType()),
+    T.StructField("arrival_status", T.StringType()),
+    T.StructField("departure_status", T.StringType()),
+    T.StructField("cancelled_at", T.StringType()),
+    T.StructField("brand", T.StringType()),
+    T.StructField("messages", T.ArrayType(T.ArrayType(T.StringType()))),
+    T.StructField("observed_at", T.StringType()),
 ])
 
+# Names of the plan's and the change's fields in the payload.
 PLAN_FIELDS = [
     "train_category", "train_number", "train_operator", "train_filter",
     "planned_arrival", "planned_departure",
@@ -63,7 +77,7 @@ CHANGE_FIELDS = [
     "arrival_status", "departure_status", "cancelled_at", "messages",
 ]
 
-# Timetable documents: attributes carry the prefix "_". The corrupt-record field tells a
+# Elements and attributes of timetable documents. Attributes carry the prefix "_". The corrupt-record field tells a
 # document that breaks off from one without stops.
 _MESSAGE = "STRUCT<_t: STRING, _c: STRING, _cat: STRING>"
 PLAN_DOCUMENT = """
@@ -92,10 +106,6 @@ STATION = """
     latitude DOUBLE, longitude DOUBLE, coordinate_source STRING,
     category INT, federal_state STRING, route_calls BIGINT
     """
-POLL_TARGET = """
-    eva BIGINT, name STRING, stada_name STRING, station_number BIGINT, category INT,
-    federal_state STRING, route_calls BIGINT, longitude DOUBLE, latitude DOUBLE
-    """
 _EVA = """STRUCT<number: BIGINT, isMain: BOOLEAN,
     geographicCoordinates: STRUCT<coordinates: ARRAY<DOUBLE>>>"""
 STATION_MASTER_ENTRY = f"""
@@ -108,32 +118,25 @@ SEGMENT_GEOMETRY = """
     coordinates ARRAY<ARRAY<DOUBLE>>
     """
 
-# Static timetable tables: every value is a text.
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+# Column names of static timetable tables, as the format has them; all texts.
 GTFS = {
-    name: T.StructType([T.StructField(c, T.StringType()) for c in columns.split()])
-    for name, columns in {
-        "calendar": "service_id start_date end_date monday tuesday wednesday thursday "
-                    "friday saturday sunday",
-        "calendar_dates": "service_id date exception_type",
-        "trips": "route_id service_id trip_id",
-        "routes": "route_id agency_id route_short_name",
-        "agency": "agency_id agency_name",
-        "stops": "stop_id",
-        "stop_times": "trip_id stop_sequence stop_id arrival_time departure_time",
-    }.items()
+    "calendar": _texts(
+        "service_id", "start_date", "end_date", "monday", "tuesday",
+        "wednesday", "thursday", "friday", "saturday", "sunday"),
+    "calendar_dates": _texts("service_id", "date", "exception_type"),
+    "trips": _texts("route_id", "service_id", "trip_id"),
+    "routes": _texts("route_id", "agency_id", "route_short_name"),
+    "agency": _texts("agency_id", "agency_name"),
+    "stops": _texts("stop_id"),
+    "stop_times": _texts(
+        "trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time",
+        ),
 }
 
-# Realtime feed, flattened.
-TRIP_UPDATE = """
-    trip_id STRING, route_id STRING, start_date STRING, start_time STRING,
-    direction_id INT, trip_relationship STRING, update_ts BIGINT, delay INT,
-    vehicle_id STRING, vehicle_label STRING, vehicle_plate STRING
-    """
-STOP_UPDATE = """
-    trip_id STRING, start_date STRING, stop_sequence INT, stop_id STRING,
-    arrival_delay INT, departure_delay INT, arrival_time BIGINT, departure_time BIGINT,
-    stop_relationship STRING
-    """
 ALERT = """
     cause STRING, effect STRING, severity STRING,
     has_informed_entity BOOLEAN, has_active_period BOOLEAN, has_header BOOLEAN,

@@ -25,7 +25,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.ui.enabled": "false",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -40,9 +39,11 @@ def build(master: str | None = None, shuffle_partitions: int | None = None,
     query keeps the number its checkpoint began with.
     """
     builder = SparkSession.builder.appName("stoptide")
+    settings = {**DEFAULTS, **extra}
     if master:
         builder = builder.master(master)
-    settings = {**DEFAULTS, **extra}
+        if master.startswith("local"):              # tests and the bench open no port
+            settings.setdefault("spark.ui.enabled", "false")
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in settings.items():
