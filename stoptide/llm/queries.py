@@ -19,6 +19,7 @@ from . import (
     urls,
     warc,
 )
+from .oracle import ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,8 +120,6 @@ QUERIES: dict[str, Query] = {
     "op9_urls": op9_urls,
     "op10_pivots": op10_pivots,
 }
-ORACLE_SQL: dict[str, str] = {}
-
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
