@@ -1,16 +1,11 @@
 """Near-duplicates by SimHash, found with balls of fingerprints that meet half-way.
 
-Fingerprints link at RADIUS = 3 differing bits. Half of three is one bit on one side and two on
-the other, and parity tells the sides apart: with three (or one) differing bits, one of the two
-fingerprints has an even number of ones and the other an odd one. Hence
-
-* an even fingerprint emits its 64 variants at one bit;
-* an odd one emits itself, its variants at one bit, and those at two bits of the same half of
-  the word (of three differing bits, two lie in the same half).
-
-Any two fingerprints within three bits have a variant in common, and any two that share one
-link: to the other through a member at one bit at most, so a star per variant keeps all links.
-A variant is emitted by at most 2,081 different fingerprints: no group grows with the data.
+Of at most RADIUS = 3 differing bits, one half of the word has one at most: half the radius. So
+every fingerprint emits, for each half, the half itself and its 32 variants at one bit. Variants
+are dealt out by value; where a fingerprint's own half meets another's variant, the other halves
+are compared, again by balls that meet: see `meet`. Links are stars around a fingerprint whose
+own half it is, so that no group becomes a list of pairs, and every link is verified by its
+differing bits. 66 variants of nine bytes are shuffled per different fingerprint.
 """
 
 from __future__ import annotations
@@ -28,9 +23,9 @@ from . import common
 SEED = 42
 SHINGLE = 3
 RADIUS = 3
-BLOCK = 8192                # fingerprints whose variants exist at a time
+BLOCK = 1 << 15             # fingerprints whose variants exist at a time
+_MET = 1 << 15              # fingerprints of whole groups that are compared at a time
 _COUNTED = 1 << 15          # hashes whose bits are counted at a time
-BLOB_NAMES = ["p", "prints", "owners", "at", "codes"]
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -64,91 +59,120 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
     return common.put(df, name, common.column(run, "long")(F.col(text)))
 
 
+# Codes of what a fingerprint emits: own low half, its variants, own high half, its variants.
+OWN_LOW, OWN_HIGH, CODES = 0, 33, 66
+_HALF = np.uint64(0xFFFFFFFF)
+_SHIFT = np.uint64(32)
+
+
 @functools.lru_cache(maxsize=1)
-def masks() -> np.ndarray:
-    """What a fingerprint is changed by: nothing, one bit (codes 1 to 64), two of a half."""
-    one = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    two = [one[i] | one[j] for i in range(64) for j in range(i) if i // 32 == j // 32]
-    return np.r_[np.uint64(0), one, np.array(two, np.uint64)]
+def _flips() -> np.ndarray:
+    """What each code changes in its half."""
+    one = np.uint64(1) << np.arange(32, dtype=np.uint64)
+    return np.r_[np.uint64(0), one, np.uint64(0), one]
 
 
-def variants(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the fingerprint, code of the mask) of all that the fingerprints emit."""
-    odd = np.bitwise_count(prints) % 2 == 1
-    even_codes = np.arange(1, 65, dtype=np.uint16)
-    odd_codes = np.arange(len(masks()), dtype=np.uint16)
-    a, b = np.flatnonzero(~odd).astype(np.uint16), np.flatnonzero(odd).astype(np.uint16)
-    return (np.r_[np.repeat(a, len(even_codes)), np.repeat(b, len(odd_codes))],
-            np.r_[np.tile(even_codes, len(a)), np.tile(odd_codes, len(b))])
+@functools.lru_cache(maxsize=1)
+def _pairs() -> np.ndarray:
+    """Two bits of the same quarter of the word: of any three bits, two share one."""
+    one = np.uint64(1) << np.arange(32, dtype=np.uint64)
+    return np.array([one[i] | one[j] for i in range(32) for j in range(i)
+                     if i // 16 == j // 16], np.uint64)
 
 
-def meet(prints: np.ndarray, codes: np.ndarray, owners: np.ndarray):
-    """Links among the owners of fingerprints that meet in a variant: a star per variant.
+def variant(prints: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The half that a code stands for, with the bit flipped; which half is in the 33rd bit."""
+    high = codes >= OWN_HIGH
+    half = np.where(high, prints >> _SHIFT, prints & _HALF)
+    return (half ^ _flips()[codes]) | (high.astype(np.uint64) << _SHIFT)
 
-    The centre is a fingerprint within one bit of the variant. The differing bits of every link
-    are counted all the same.
+
+def meet(prints: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) among fingerprints that emitted the same variant.
+
+    In the group of a variant, owners have it as their half and visitors are one bit away, so
+    an owner links with what is within three bits (owners) or two (visitors) in the other half.
+    Both put out that half with up to one bit flipped; owners with an odd number of ones also
+    with two bits flipped. An owner within one bit of such a point is the centre of a star with
+    all who are there: any two of them are as close as a link needs.
     """
-    variant = prints ^ masks()[codes]
-    sort = np.sort(variant)
-    twice = np.unique(sort[1:][sort[1:] == sort[:-1]])
-    if not len(twice):
-        return owners[:0], owners[:0]
-    at = np.searchsorted(twice, variant)
-    at[at == len(twice)] = 0
-    keep = np.flatnonzero(twice[at] == variant)
-    order = keep[np.lexsort((owners[keep], codes[keep] > 64, variant[keep]))]
-    variant = variant[order]
-    first = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]])
-    centre = order[np.repeat(first, np.diff(np.r_[first, len(order)]))]
-    good = (codes[centre] <= 64) & (np.bitwise_count(prints[centre] ^ prints[order]) <= RADIUS)
-    a, b = owners[centre[good]], owners[order[good]]
-    both = np.unique(np.stack([a, b])[:, a != b], axis=1)
+    key = variant(prints, codes)
+    order = np.argsort(key, kind="stable")
+    key, prints, codes = key[order], prints[order], codes[order]
+    owner = (codes == OWN_LOW) | (codes == OWN_HIGH)
+    if not len(key):
+        return prints, prints
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    sizes = np.diff(np.r_[first, len(key)])
+    owners = np.add.reduceat(owner.astype(np.int64), first)
+    keep = np.repeat((sizes > 1) & (owners > 0), sizes)
+    group = np.repeat(np.arange(len(first), dtype=np.int64), sizes)[keep]
+    prints, codes, owner = prints[keep], codes[keep], owner[keep]
+    found = [np.zeros((2, 0), np.uint64)]
+    # whole groups, so many at a time that their points stay few
+    ends = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1 if len(group) else []
+    a = 0
+    for k, b in enumerate(ends):
+        if b - a >= _MET or k == len(ends) - 1:
+            found.append(_stars(group[a:b], prints[a:b], codes[a:b], owner[a:b]))
+            a = b
+    both = np.unique(np.concatenate(found, axis=1), axis=1)
     return both[0], both[1]
 
 
+def _stars(group, prints, codes, owner) -> np.ndarray:
+    other = np.where(codes >= OWN_HIGH, prints & _HALF, prints >> _SHIFT)
+    n, one, two = len(prints), _flips()[:33], _pairs()
+    odd = np.flatnonzero(owner & (np.bitwise_count(other) % 2 == 1))
+    at = np.r_[np.repeat(np.arange(n), 33), np.repeat(odd, len(two))]
+    point = np.r_[(other[:, None] ^ one).ravel(), (other[odd, None] ^ two).ravel()]
+    near = np.r_[np.repeat(owner, 33), np.zeros(len(odd) * len(two), bool)]
+    order = np.lexsort((prints[at], ~near, point, group[at]))
+    at, point, near = at[order], point[order], near[order]
+    where = group[at]
+    first = np.flatnonzero(np.r_[True, (point[1:] != point[:-1]) | (where[1:] != where[:-1])])
+    centre = np.repeat(first, np.diff(np.r_[first, len(at)]))
+    x, y = prints[at[centre]], prints[at]
+    good = near[centre] & (x != y) & (np.bitwise_count(x ^ y) <= RADIUS)
+    return np.unique(np.stack([x[good], y[good]]), axis=1)
+
+
 def links(classes: DataFrame, partitions: int) -> DataFrame:
-    """Edges (a, b) among `owner`s whose different `print`s are within three bits.
+    """Edges (a, b) among the different fingerprints in `print` that are within three bits.
 
-    Variants travel as arrays, dealt out evenly by a hash of the variant: for every block of
-    fingerprints and partition the table of the block, and for each variant a place and a code.
+    Variants travel as arrays, nine bytes each, dealt out evenly by a hash of the variant.
     """
     def emit(batches):
         for batch in batches:
             table = batch.column("print").to_numpy(zero_copy_only=False).view(np.uint64)
-            owner = batch.column("owner").to_numpy(zero_copy_only=False)
             for k in range(0, len(table), BLOCK):
-                part = table[k:k + BLOCK]
-                place, code = variants(part)
-                to = ((part[place] ^ masks()[code]) * np.uint64(0x9E3779B97F4A7C15)
-                      >> np.uint64(33)) % np.uint64(partitions)
-                order = np.argsort(to.astype(np.uint32), kind="stable")
+                part = np.repeat(table[k:k + BLOCK], CODES)
+                code = np.tile(np.arange(CODES, dtype=np.uint8), len(part) // CODES)
+                to = (variant(part, code) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) \
+                    % np.uint64(partitions)
+                order = np.argsort(to, kind="stable")
                 ends = np.r_[0, np.cumsum(np.bincount(to.astype(np.int64),
                                                       minlength=partitions))]
                 for p in range(partitions):
                     mine = order[ends[p]:ends[p + 1]]
                     if len(mine):
-                        used, at = np.unique(place[mine], return_inverse=True)
                         yield pa.RecordBatch.from_arrays([
                             pa.array([p], pa.int32()),
-                            pa.array([part[used].tobytes()], pa.binary()),
-                            pa.array([owner[k:k + BLOCK][used].tobytes()], pa.binary()),
-                            pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
-                            pa.array([code[mine].tobytes()], pa.binary())], BLOB_NAMES)
+                            pa.array([part[mine].tobytes()], pa.binary()),
+                            pa.array([code[mine].tobytes()], pa.binary())],
+                            ["p", "prints", "codes"])
 
     def gather(batches):
-        prints, codes, owners = [], [], []
+        prints, codes = [], []
         for batch in batches:
-            for row in batch.to_pylist():
-                at = np.frombuffer(row["at"], np.uint16)
-                prints.append(np.frombuffer(row["prints"], np.uint64)[at])
-                owners.append(np.frombuffer(row["owners"], np.int64)[at])
-                codes.append(np.frombuffer(row["codes"], np.uint16))
+            prints += [np.frombuffer(x, np.uint64) for x in batch.column("prints").to_pylist()]
+            codes += [np.frombuffer(x, np.uint8) for x in batch.column("codes").to_pylist()]
         if prints:
-            a, b = meet(np.concatenate(prints), np.concatenate(codes), np.concatenate(owners))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            a, b = meet(np.concatenate(prints), np.concatenate(codes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    blobs = classes.select("print", "owner").mapInArrow(
-        emit, "p int, prints binary, owners binary, at binary, codes binary")
+    blobs = classes.select("print").mapInArrow(emit, "p int, prints binary, codes binary")
     return blobs.repartitionById(partitions, "p").mapInArrow(gather, "a long, b long")
 
 
@@ -166,7 +190,11 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         .select("doc_id", "print"), "prints")
     classes = common.store(prints.where("doc_id IS NOT NULL").groupBy("print").agg(
         F.min("doc_id").alias("owner")), "classes")
-    found = links(classes, common.shuffle_partitions(spark))
+    found = common.store(links(classes, common.shuffle_partitions(spark)).distinct(), "links")
+    for end in ("a", "b"):
+        names = classes.select(F.col("print").alias(end), F.col("owner").alias(f"{end}_owner"))
+        found = found.join(names, end)
+    found = found.select(F.col("a_owner").alias("a"), F.col("b_owner").alias("b"))
     same = prints.where("doc_id IS NOT NULL").join(classes, "print").where(
         "doc_id <> owner").select(F.col("doc_id").alias("a"), F.col("owner").alias("b"))
     repeated = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")

@@ -34,20 +34,54 @@ def test_fingerprint():
         assert simhash.fingerprint(text) == slow_print(text)
 
 
-@pytest.mark.parametrize("distance", [1, 2, 3, 4])
+def met(prints):
+    prints = np.array(prints, np.uint64)
+    every = np.repeat(prints, simhash.CODES)
+    codes = np.tile(np.arange(simhash.CODES, dtype=np.uint8), len(prints))
+    return {tuple(sorted(p)) for p in zip(*(x.tolist() for x in simhash.meet(every, codes)))}
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3, 4, 5])
 def test_balls_meet_exactly_within_three_bits(distance):
     rng = np.random.default_rng(distance)
-    masks = simhash.masks()
-    for _ in range(150):
-        x = rng.integers(0, 1 << 63, dtype=np.uint64)
+    for _ in range(200):
+        x = int(rng.integers(0, 1 << 63))
         y = x
         for b in rng.choice(64, distance, replace=False):
-            y = y ^ (np.uint64(1) << np.uint64(b))
-        pair = np.array([x, y])
-        place, code = simhash.variants(pair)
-        a, _ = simhash.meet(pair[place], code, place.astype(np.int64))
-        assert (len(a) > 0) == (distance <= 3)
-    assert len(np.unique(masks)) == len(masks) == 1 + 64 + 2 * 496
+            y ^= 1 << int(b)
+        assert met([x, y]) == ({(min(x, y), max(x, y))} if distance <= 3 else set())
+
+
+def test_three_bits_on_every_side():
+    x = 0x0123456789ABCDEF
+    for bits in ((0, 1, 2), (40, 50, 60), (0, 1, 63), (0, 62, 63), (15, 16, 31), (32, 47, 48)):
+        y = x
+        for b in bits:
+            y ^= 1 << b
+        assert len(met([x, y])) == 1 and len(met([y, x ^ (1 << 5)])) <= 1
+
+
+def test_a_large_group_stays_a_star():
+    """A thousand neighbours of one fingerprint: some links each, all in one component."""
+    rng = np.random.default_rng(8)
+    centre = int(rng.integers(0, 1 << 62))
+    prints = {centre}
+    while len(prints) < 1000:
+        bits = rng.choice(64, 2, replace=False)
+        prints.add(centre ^ (1 << int(bits[0])) ^ (1 << int(bits[1])))
+    pairs = met(sorted(prints))
+    assert all((a ^ b).bit_count() <= 3 for a, b in pairs)
+    seen, todo = {centre}, [centre]
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    while todo:
+        for b in near.get(todo.pop(), []):
+            if b not in seen:
+                seen.add(b)
+                todo.append(b)
+    assert seen == prints
 
 
 def test_documents(spark, docs):
@@ -71,18 +105,17 @@ def test_documents(spark, docs):
 
 def test_links_of_random_fingerprints(spark):
     rng = np.random.default_rng(3)
-    centres = rng.integers(0, 1 << 62, 40)
     prints = []
-    for c in centres.tolist():
+    for c in rng.integers(0, 1 << 62, 40).tolist():
         for _ in range(8):
             c ^= 1 << int(rng.integers(0, 63))
             c ^= 1 << int(rng.integers(0, 63))
             prints.append(c)
     prints = sorted(set(prints))
-    df = spark.createDataFrame([(p, i) for i, p in enumerate(prints)], "print LONG, owner LONG")
+    df = spark.createDataFrame([(p,) for p in prints], "print LONG")
     parts = {r["node"]: r["component"] for r in
              common.components(simhash.links(df, 4)).collect()}
-    want = slow_components(dict(enumerate(prints)))
+    want = slow_components(dict(zip(prints, prints)))
     assert {i: parts.get(i, i) for i in want} == want
 
 
