@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 PIECE_BYTES = 4 << 20
+BATCH_ROWS = 1024
 
 
 def column(fn: Callable[..., pa.Array], ddl: str):
@@ -19,6 +20,18 @@ def column(fn: Callable[..., pa.Array], ddl: str):
     return F.arrow_udf(fn, ddl).asNondeterministic()
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let Spark hand texts to Python in batches of at most BATCH_ROWS rows.
+
+    Its default of ten thousand rows is made for numbers; whole texts of that many rows would
+    lie in the memory of every task several times.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def put(df: DataFrame, name: str, value: Column) -> DataFrame:
     """`df` with the column `name`, which replaces one of that name."""
     return df.withColumn(name, value)

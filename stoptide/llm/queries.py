@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    common,
     decontaminate,
     extract,
     langid,
@@ -25,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return common.small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
