@@ -7,6 +7,8 @@ stage against a brute-force version.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = simhash.near_duplicates(docs)
     gone = common.store(found.where(F.col("component_id") != F.col("doc_id")).select(
         "doc_id").distinct(), "gone")
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    # the groups grow with the documents: dealt out by id at every size, never broadcast
+    kept = docs.select(*COLUMNS).join(gone.hint("merge"), "doc_id", "left_anti")
     # the join has dealt the rows out by id and sorted them already
     order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
     return kept.withColumn("__n", F.row_number().over(order)).where(
@@ -46,15 +49,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every credential masked."""
-    key = secrets.row_key(docs, "text", "doc_id", "source").alias("__row")
-    found = secrets.scan(docs).where(F.size("found") > 0).select("__row", "found")
-    rows = docs.select(*COLUMNS, key).join(common.store(found, "found"), "__row", "left")
-    text = secrets.masked(F.col("text"), F.col("found"))
-    return rows.select("doc_id", F.when(F.col("found").isNull(), F.col("text")).otherwise(text)
-                       .alias("text"), "lang", "source").select(
-        "doc_id", "text", "lang", "source",
-        F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
+    """All documents, with every credential masked.
+
+    Only texts in which a candidate pattern occurs meet the corpus-wide counts in a join; the
+    others are passed on as they are.
+    """
+    docs = docs.select(*COLUMNS)
+    may_hold = secrets.may_hold(F.coalesce("text", F.lit("")))
+    held, plain = docs.where(may_hold), docs.where(~may_hold)
+    key = secrets.row_key(held, "text", "doc_id", "source").alias("__row")
+    found = secrets.scan(held).where(F.size("found") > 0).select("__row", "found")
+    rows = held.select("*", key).join(common.store(found, "found"), "__row", "left")
+    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(
+        secrets.masked(F.col("text"), F.col("found")))
+    clean = rows.select("doc_id", text.alias("text"), "lang", "source").unionByName(
+        plain.drop("n_chars"))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,13 +74,22 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         "decoded_sha256")
 
 
-STAGES = [
+def _stage(function):
+    """The stage, with Arrow batches that suit whole texts."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(common.small_batches(spark), docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _stage(function)) for name, function in (
     ("language", language),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("secrets", secret_scan),
     ("tokens", tokens),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
