@@ -99,15 +99,15 @@ def _cancel_flag(spark, sf):
 
 
 @query("change_predicates", using("consecutive", body=f"""
-SELECT train_category, {count_if("delay_gained > 0")} AS losing,
+SELECT to_station, {count_if("delay_gained > 0")} AS losing,
   {count_if("delay_gained < 0")} AS recovering,
   {count_if("delay_gained IS NOT NULL")} AS known,
   {count_if("NOT either_cancelled")} AS running
-FROM consecutive GROUP BY train_category
+FROM consecutive GROUP BY to_station
 """))
 def _change_predicates(spark, sf):
     gained = F.col("delay_gained")
-    return consecutive_stops(stops(spark, sf)).groupBy("train_category").agg(
+    return consecutive_stops(stops(spark, sf)).groupBy("to_station").agg(
         F.count_if(gained > 0).alias("losing"), F.count_if(gained < 0).alias("recovering"),
         F.count_if(gained.isNotNull()).alias("known"),
         F.count_if(~F.col("either_cancelled")).alias("running"))
