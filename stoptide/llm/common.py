@@ -50,6 +50,18 @@ def pieces(values: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, in
         yield first, len(sizes)
 
 
+def hashed_sample(df: DataFrame, column: str, rows: int) -> list:
+    """About the `rows` rows with the least hashes of a column, all if there are fewer.
+
+    A threshold leaves about twice as many before they are ordered, so that what tasks send to
+    the driver is bounded together, not each by itself.
+    """
+    total = df.count()
+    place = F.pmod(F.xxhash64(column), F.lit(1 << 30))
+    some = df.where(place <= F.lit(int((1 << 30) * min(1.0, 2 * rows / max(total, 1)))))
+    return some.orderBy(F.xxhash64(column), column).limit(rows).collect()
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """`df`, written to the shared folder and read again: cuts the lineage."""
     path = scratch_dir(df.sparkSession, label)
