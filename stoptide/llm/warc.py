@@ -47,11 +47,11 @@ def record_id(page: int | None) -> str:
 
 def train(pages: DataFrame, html: str = "html") -> bytes:
     """A dictionary from a bounded sample of the pages; empty if they are too few or too alike."""
-    rows = pages.select(F.substring(F.col(html), 1, SAMPLE_BYTES).alias("t")).where(
-        F.length("t") > 0).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_PAGES).collect()
+    begins = pages.select(F.substring(F.col(html), 1, SAMPLE_BYTES).alias("t"))
+    rows = common.hashed_sample(begins, "t", SAMPLE_PAGES)
+    samples = [r["t"].encode() for r in rows if r["t"]]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES,
-                                          [r["t"].encode() for r in rows]).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b""
 
