@@ -12,8 +12,10 @@ import hashlib
 import heapq
 import itertools
 import json
+import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,14 +24,21 @@ from pyspark.sql import functions as F
 from . import common
 
 MODEL = "word_bpe_49k.json"
-CACHE_WORDS = 100_000
+CACHE_WORDS = 80_000
 CACHE_LENGTH = 64
+_ID_BITS, _PLACE_BITS = 32, 40
+_PLACE = (1 << _PLACE_BITS) - 1
 # White space of Unicode, as ranges (fixed values).
 SPACES = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
           (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
           (0x3000, 0x3000)]
+# The splitting pattern of the vocabulary (fixed value), and the same for texts without other
+# numbers than decimal digits, in the terms of a faster matcher.
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 SPACE = "".join(f"{chr(a)}-{chr(b)}" for a, b in SPACES)
 
+SIMPLE = rf"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w{SPACE}]|_)+"
+
 
 def byte_characters() -> dict[int, str]:
     """The printable stand-in of every byte in byte-level vocabularies."""
@@ -54,89 +63,124 @@ class Encoder:
         model, splitter = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
-        self.ranks = {tuple(pair): i for i, pair in enumerate(model["merges"])}
+        # the merges by the ids of their two symbols; ids beyond the vocabulary are unknown
+        self.ranks, self.merged = {}, []
+        for rank, (left, right) in enumerate(model["merges"]):
+            a, b = self.vocab[left], self.vocab[right]
+            self.ranks[a << _ID_BITS | b] = rank
+            self.merged.append(self.vocab[left + right])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {
             i: s for s, i in self.special.items()}
         self.cut = regex.compile("(" + "|".join(
             regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
-        self.words = regex.compile(splitter["pattern"]["Regex"].replace(r"\s", SPACE))
-        self.spaces = regex.compile(f"[{SPACE}]+")
+        pattern = splitter["pattern"]["Regex"]
+        self.words = regex.compile(pattern.replace(r"\s", SPACE)).findall
+        self.simple = re.compile(SIMPLE).findall if pattern == PATTERN else self.words
         self.bytes = byte_characters()
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        unknown = max(self.strings) + 1
+        self.inner, self.final = (
+            [self.vocab.get(self.bytes[b] + end, unknown) for b in range(256)]
+            for end in ("", self.suffix))
+        self.ids = _Words(lambda word: " ".join(map(str, self.merge(word))))
+        self.texts = _Words(lambda word: self.decode([int(i) for i in self.ids[word].split()]))
 
     def normalise(self, text: str) -> str:
-        text = self.spaces.sub(" ", unicodedata.normalize("NFC", text))
-        # lower case by single characters: no final sigma
-        return text.replace("Σ", "σ").lower()
+        """NFC and lower case, by single characters: no final sigma.
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of one piece of text."""
-        symbols = [self.bytes[b] for b in word.encode()]
-        if not symbols:
-            return []
-        symbols[-1] += self.suffix
-        n = len(symbols)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
+        White space is dropped by the splitting pattern, so it is not made uniform first.
+        """
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-        def offer(i: int) -> None:
-            j = after[i]
-            if j >= 0:
-                rank = self.ranks.get((symbols[i], symbols[j]))
-                if rank is not None:
-                    heapq.heappush(queue, (rank, i, symbols[i], symbols[j]))
+    def split(self, text: str) -> list[str]:
+        plain = text.isascii() or _other_numbers().isdisjoint(text)
+        return (self.simple if plain else self.words)(text)
 
-        for i in range(n - 1):
-            offer(i)
+    def merge(self, word: str) -> list[int]:
+        """Ids of one piece of text; symbols that the vocabulary lacks are left out."""
+        raw = word.encode()
+        n = len(raw)
+        if not n:
+            return []
+        inner = self.inner
+        ids = [inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        before, after = list(range(-1, n - 1)), [*range(1, n), n]
+        rank_of = self.ranks.get
+        # the rank of the pair that begins at each place; entries with another are stale
+        now = [rank_of(ids[i] << _ID_BITS | ids[i + 1], -1) for i in range(n - 1)]
+        now.append(-1)
+        queue = [rank << _PLACE_BITS | i for i, rank in enumerate(now) if rank >= 0]
+        heapq.heapify(queue)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            rank, i = entry >> _PLACE_BITS, entry & _PLACE
+            if now[i] != rank:
+                continue
             j = after[i]
-            if j < 0 or symbols[i] != left or symbols[j] != right:
-                continue                                     # stale
-            symbols[i], symbols[j], after[i] = left + right, "", after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            after[j] = -1
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
-        ids, i = [], 0
-        while i >= 0:
-            found = self.vocab.get(symbols[i])
-            if found is not None:
-                ids.append(found)
-            i = after[i]
-        return ids
-
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids and their strings, spaced."""
-        found = self.cache.get(word)
-        if found is None:
-            ids = self.merge(word)
-            found = len(ids), " ".join(map(str, ids)), self.decode(ids)
-            if len(word) <= CACHE_LENGTH:
-                if len(self.cache) >= CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[word] = found
-        return found
+            ids[i], ids[j], now[j] = self.merged[rank], -1, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                new = now[i] = rank_of(ids[i] << _ID_BITS | ids[k], -1)
+                if new >= 0:
+                    heapq.heappush(queue, new << _PLACE_BITS | i)
+            else:
+                now[i] = -1
+            h = before[i]
+            if h >= 0:
+                new = now[h] = rank_of(ids[h] << _ID_BITS | ids[i], -1)
+                if new >= 0:
+                    heapq.heappush(queue, new << _PLACE_BITS | h)
+        return [i for i in ids if i in self.strings]
 
     def decode(self, ids: list[int]) -> str:
         """The strings of the ids, joined by a space, as this file names no decoder."""
         return " ".join([self.strings[i] for i in ids])
 
-    def pieces(self, text: str):
-        """(number of ids, ids, strings) of each piece of the text."""
-        for k, part in enumerate(self.cut.split(text)):
+    def spaced(self, text: str) -> tuple[str, str]:
+        """The ids and the decoded text, each joined by a space."""
+        ids, texts = [], []
+        parts = self.cut.split(text) if "<" in text else [text]
+        for k, part in enumerate(parts):
             if k % 2:
-                yield 1, str(self.special[part]), part
+                ids.append(str(self.special[part]))
+                texts.append(part)
             elif part:
-                known = self.cache.get
-                for w in self.words.findall(self.normalise(part)):
-                    yield known(w) or self.word(w)
+                words = self.split(self.normalise(part))
+                ids.append(" ".join(filter(None, map(self.ids.__getitem__, words))))
+                texts.append(" ".join(filter(None, map(self.texts.__getitem__, words))))
+        return " ".join(filter(None, ids)), " ".join(filter(None, texts))
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
+        return [int(i) for i in self.spaced(text)[0].split()]
+
+
+class _Words(dict):
+    """What a function makes of words. Short ones are remembered in two generations of a
+    bounded size: words in use stay, others go with the older one."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str) -> str:
+        found = self.older.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
+@functools.lru_cache(maxsize=1)
+def _other_numbers() -> frozenset[str]:
+    """Numbers that are no decimal digits; the simple pattern would take them for letters."""
+    return frozenset(c for c in map(chr, range(0x110000))
+                     if unicodedata.category(c) in ("Nl", "No"))
 
 
 @functools.lru_cache(maxsize=2)
@@ -190,13 +234,12 @@ def digests(df: DataFrame, text: str = "text", path: str | None = None,
         coder = encoder(path)
         counts, ids, decoded, lists = [], [], [], []
         for scalar in values:
-            found = [x for x in coder.pieces(scalar.as_py() or "") if x[0]]
-            counts.append(sum([x[0] for x in found]))
-            spaced = " ".join([x[1] for x in found])
+            spaced, text = coder.spaced(scalar.as_py() or "")
+            counts.append(spaced.count(" ") + 1 if spaced else 0)
             ids.append(_sha(spaced))
-            decoded.append(_sha(" ".join([x[2] for x in found])))
+            decoded.append(_sha(text))
             if with_ids:
-                lists.append(pa.array([int(i) for i in spaced.split()], pa.int32()))
+                lists.append(pa.array(np.fromstring(spaced, np.int32, sep=" ")))
         columns = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
                    pa.array(decoded, pa.string())]
         if with_ids:
