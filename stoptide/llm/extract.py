@@ -56,8 +56,10 @@ login search pagination pager toolbar copyright disclaimer banner contentinfo co
 """.split())
 AREAS = frozenset(["article", "main"])
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,65536}"|'[^']{0,65536}')*+)>""")
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""=\s*+(["'])|>""")
+_ATTRIBUTE = re.compile(
+    r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[^\W\d_]+")
 _MARK = re.compile(r"[a-z]+")
 
@@ -70,6 +72,22 @@ class Block:
     good: bool | None = None
 
 
+def _tag_stop(page: str, at: int) -> int:
+    """The place of the `>` that ends a tag whose attributes begin at `at`; -1 if it is cut off.
+
+    A quote after `=` opens a value of any length. If it is never closed, the next `>` ends value
+    and tag. What was read is never read again, so that a page takes time linear in its length.
+    """
+    while m := _STOP.search(page, at):
+        if not m[1]:
+            return m.start()
+        stop = page.find(m[1], m.end())
+        if stop < 0:
+            return page.find(">", m.end())
+        at = stop + 1
+    return -1
+
+
 def _attributes(text: str) -> dict[str, str]:
     out = {}
     for m in _ATTRIBUTE.finditer(text):
@@ -137,7 +155,7 @@ def blocks(page: str) -> list[Block]:
             continue
         m = _TAG.match(page, start)
         if m is None:
-            if following == "/" or following.isalpha():     # cut off, or with a lone quote
+            if following == "/" or following.isalpha():
                 stop = page.find(">", start)
                 at = end if stop < 0 else stop + 1
             else:
@@ -145,8 +163,12 @@ def blocks(page: str) -> list[Block]:
                     parts.append("<")
                 at = start + 1
             continue
-        at, closing, tag = m.end(), bool(m[1]), m[2].lower()
-        if not closing and tag in RAW and not m[3].endswith("/"):
+        stop = _tag_stop(page, m.end())
+        if stop < 0:                                            # cut off
+            break
+        given, closing, tag = page[m.end():stop], bool(m[1]), m[2].lower()
+        at = stop + 1
+        if not closing and tag in RAW and not given.endswith("/"):
             low = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = low.end() if low else end
             if tag == "title":
@@ -159,8 +181,8 @@ def blocks(page: str) -> list[Block]:
             link_depth = max(0, link_depth + (-1 if closing else 1))
             continue
         own = tag in BLOCKS or tag in DROPPED
-        if not own and not closing and m[3] and tag not in VOID and not m[3].endswith("/") \
-                and _declared_out(tag, m[3], bool(area())):
+        if not own and not closing and given and tag not in VOID and not given.endswith("/") \
+                and _declared_out(tag, given, bool(area())):
             own = True                                      # a span that is hidden, say
         if not own and not (closing and any(x[0] == tag for x in open_)):
             continue
@@ -183,7 +205,7 @@ def blocks(page: str) -> list[Block]:
             if tag in AREAS:                                # a menu that was never closed
                 while open_ and open_[-1][1] and open_[-1][0] in ("nav", "header", "ul", "li"):
                     close(len(open_) - 1)
-        out_ = _declared_out(tag, m[3], bool(area()))
+        out_ = _declared_out(tag, given, bool(area()))
         here = area()
         if tag in AREAS and not here:
             areas += 1

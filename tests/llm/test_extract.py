@@ -56,6 +56,26 @@ def test_characters_and_broken_markup():
     assert extract.main_text("<article><p>No.</p></article>") == "No."
 
 
+LONG = "x > y; " * 10_000            # 70,000 characters
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attribute_values(quote):
+    value = f"{quote}data:{LONG}{quote}"
+    for around in (f"<script src={value}>code()</script>", f"<div class=ad data-x={value}>ad</div>",
+                   f"<img src={value}>", f"<span hidden title = {value}>gone</span>"):
+        page = f"<article><div>{around}<p>{PARAGRAPH}</p></div><p>{PARAGRAPH}</p></article>"
+        assert extract.main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}"
+
+
+def test_quotes_that_open_no_value_or_never_close():
+    page = f"<article><p don't>{PARAGRAPH}</p><p class=a'b>It's {PARAGRAPH}</p></article>"
+    assert extract.main_text(page) == f"{PARAGRAPH}\nIt's {PARAGRAPH}"
+    page = f"<article><p>{PARAGRAPH}</p><div title='x' class=\"ad>advert</div><p>{PARAGRAPH}</p>"
+    assert extract.main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}"
+    extract.main_text("<a b=\">=\" " * 200_000 + "c='>")      # linear, else this takes hours
+
+
 def test_ambiguous_blocks_take_the_nearest_label():
     def block(text, good=None, area=0):
         return extract.Block(text, 0, area, good)
