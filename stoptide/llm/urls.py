@@ -8,6 +8,9 @@ block blocks them.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +26,11 @@ RULES = [
 ]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ATTRIBUTE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-LINK = r"(?is)<(?:link|meta)\b[^>]*>"
+LINK = r"(?is)<(?:link|meta|base)\b[^>]*>"
+_SCHEME = "[A-Za-z][A-Za-z0-9+.-]*:"
+# scheme, user, host, path, query of a url without fragment
+_PARTS = rf"(?s)^({_SCHEME}//)((?:[^/?]*@)?)([^/?]*)([^?]*)(.*)$"
+_BLANK = " \t\n\f\r"
 
 
 def host(url: Column) -> Column:
@@ -53,34 +60,81 @@ def rule(host_: Column, path_: Column, rules: list[tuple[str, str, str]]) -> Col
 def declared_links(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (a, b) from a page's url to what its canonical link or refresh names.
 
-    Relative targets are completed by scheme and host; fragments are cut off on both sides.
+    Targets are resolved against the page's first `<base href>`, itself resolved against the
+    page's url, or else against that url. Empty targets and those that `resolve` gives no url
+    are left out. Both ends are in the form of `alias_of`.
     """
-    tags = df.where(F.col(url).isNotNull()).select(
-        F.col(url).alias("a"), F.explode(F.regexp_extract_all(
-            F.coalesce(F.col(html), F.lit("")), F.lit(LINK), F.lit(0))).alias("tag"))
+    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(LINK), F.lit(0))
+    is_base = lambda x: x.rlike(r"(?i)^<base")
+    pages = df.where(F.col(url).isNotNull()).select(F.col(url).alias("a"), tags.alias("tags"))
 
-    def attribute(name: str) -> Column:
-        found = [F.regexp_extract("tag", rf"(?is)[\s\"']{name}{_ATTRIBUTE}", k)
+    def attribute(name: str, tag: Column) -> Column:
+        found = [F.regexp_extract(tag, rf"(?is)[\s\"']{name}{_ATTRIBUTE}", k)
                  for k in (1, 2, 3)]
-        return F.concat(*found)
-
-    canonical = F.when(F.lower(attribute("rel")).rlike(r"(^|\s)canonical(\s|$)"),
-                       attribute("href"))
-    refresh = F.when(F.lower(attribute("http-equiv")) == "refresh", F.regexp_extract(
-        attribute("content"), r"(?i)url\s*=\s*['\"]?([^'\"]+)", 1))
-    target = F.trim(F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&")))
-    base = F.regexp_extract("a", r"(?s)^(.*?://[^/?#]*)", 1)
-    scheme = F.regexp_extract("a", r"(?s)^(.*?:)//", 1)
-    full = F.when(target.contains("://"), target).when(
-        target.startswith("//"), F.concat(scheme, target)).when(
-        target.startswith("/"), F.concat(base, target))
-    return tags.select(alias_of(F.col("a")).alias("a"), alias_of(full).alias("b")).where(
+        return F.trim(F.replace(F.concat(*found), F.lit("&amp;"), F.lit("&")), F.lit(_BLANK))
+
+    bases = F.filter(F.transform(F.filter("tags", is_base), lambda x: attribute("href", x)),
+                     lambda x: x != "")
+    each = pages.select("a", F.get(bases, F.lit(0)).alias("base"), F.explode(
+        F.filter("tags", lambda x: ~is_base(x))).alias("tag"))
+    tag = F.col("tag")
+    canonical = F.when(F.lower(attribute("rel", tag)).rlike(r"(^|\s)canonical(\s|$)"),
+                       attribute("href", tag))
+    refresh = F.when(F.lower(attribute("http-equiv", tag)) == "refresh", F.trim(F.regexp_extract(
+        attribute("content", tag), r"(?i)url\s*=\s*['\"]?([^'\"]+)", 1), F.lit(_BLANK)))
+    targets = each.select("a", "base", F.coalesce(canonical, refresh).alias("target")).where(
+        "target <> ''")
+
+    def run(names: pa.Array, given: pa.Array, own: pa.Array) -> pa.Array:
+        return pa.array([resolve(t, x if y is None else resolve(y, x) or x) for t, y, x in zip(
+            names.to_pylist(), given.to_pylist(), own.to_pylist(), strict=True)], pa.string())
+
+    # a function that is evaluated once: as an expression the base would be repeated many times
+    found = targets.select("a", common.column(run, "string")("target", "base", "a").alias("b"))
+    return found.select(alias_of(F.col("a")).alias("a"), alias_of(F.col("b")).alias("b")).where(
         "b IS NOT NULL AND b <> '' AND a <> b")
 
 
+def resolve(target: str, base: str) -> str | None:
+    """The url that `target` names on a page with the url `base`, by RFC 3986.
+
+    A target is absolute if it begins with a scheme and `://`. None for schemes without `//`
+    (mailto:, javascript:), which name no page, and for relative targets if `base` is not
+    absolute. Dot segments stay; `alias_of` resolves them.
+    """
+    scheme = re.match(f"{_SCHEME}(//)?", target)
+    if scheme:
+        return target if scheme[1] else None
+    base = base.partition("#")[0]
+    parts = re.match(_PARTS, base)
+    if not parts:
+        return None
+    root, path_ = "".join(parts.group(1, 2, 3)), parts[4]
+    if target.startswith("//"):
+        return parts[1][:-2] + target
+    if target.startswith("/"):
+        return root + target
+    if target.startswith("?"):
+        return root + path_ + target
+    if target.startswith("#"):
+        return base
+    return root + (path_[:path_.rfind("/") + 1] or "/") + target
+
+
 def alias_of(url: Column) -> Column:
-    """The url without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """The url without its fragment; scheme and host in lower case, dot segments resolved."""
+    url = F.regexp_replace(url, r"(?s)#.*$", "")
+    scheme, user, host_, path_, query = [F.regexp_extract(url, _PARTS, k) for k in range(1, 6)]
+    dots = path_.rlike(r"/\.\.?(/|$)")
+    none = F.array().cast("array<string>")
+    # a last dot segment leaves the `/` before it
+    segments = F.split(F.regexp_replace(path_, r"/(\.\.?)$", "/$1/"), "/", -1)
+    kept = F.aggregate(segments, none, lambda out, x: F.when(x == ".", out).when(
+        x == "..", F.slice(out, F.lit(1), F.greatest(F.lit(1), F.size(out) - 1))).otherwise(
+        F.concat(out, F.array(x))))
+    return F.when(url.rlike(_PARTS), F.concat(
+        F.translate(scheme, _UPPER, _LOWER), user, F.translate(host_, _UPPER, _LOWER),
+        F.when(dots, F.array_join(kept, "/")).otherwise(path_), query)).otherwise(url)
 
 
 def judge(df: DataFrame, rules: list[tuple[str, str, str]] | None = None,

@@ -49,6 +49,50 @@ def test_blocks_reach_aliases_and_allow_comes_first(spark):
     assert found[15] == ("allow", "default")
 
 
+PAGE = "http://Org.example/a/b/c;p?q=1#f"
+RESOLVED = {                # after RFC 3986, 5.4
+    "g": "/a/b/g", "./g": "/a/b/g", "g/": "/a/b/g/", "/g": "/g", "?y": "/a/b/c;p?y",
+    "g?y=./x": "/a/b/g?y=./x", ".": "/a/b/", "./": "/a/b/", "..": "/a/", "../g": "/a/g",
+    "../..": "/", "../../../g": "/g", "/./g": "/g", "/../g": "/g", "g.": "/a/b/g.", "..g": "/a/b/..g",
+    "./g/.": "/a/b/g/", "g/../h": "/a/b/h", "g;x=1/../y": "/a/b/y", "page-2.html#top": "/a/b/page-2.html",
+    "/go?u=http://x/y": "/go?u=http://x/y", "?u=http://x/y&amp;z": "/a/b/c;p?u=http://x/y&z",
+    " \n g ": "/a/b/g", "//G.example/x": "http://g.example/x",
+    "HTTPS://User@Other.Example/X/../Y?Z": "https://User@other.example/Y?Z", "#top": None, "": None,
+    "mailto:x@y": None, "javascript:go()": None}
+
+
+@pytest.mark.parametrize("page", [
+    '<link rel=canonical href="{}">', "<META http-equiv=refresh content='0; URL={}'>"])
+def test_every_form_of_a_target(spark, page):
+    forms = [(i, PAGE, page.format(t)) for i, t in enumerate(RESOLVED)]
+    want = [x if "://" in x.split("?")[0] else "http://org.example" + x
+            for x in RESOLVED.values() if x]
+    found = urls.declared_links(spark.createDataFrame(forms, KIND)).collect()
+    assert sorted(r["b"] for r in found) == sorted(want)
+    assert {r["a"] for r in found} == {"http://org.example/a/b/c;p?q=1"}
+
+
+def test_base_and_pages_without_path(spark):
+    base = "<base target=_top><base href='{}'><base href='/no/'>" + link("p")
+    rows = [(1, PAGE, base.format("../x/y")), (2, PAGE, base.format("//h.example/z/")),
+            (3, PAGE, base.format("")), (4, "http://bare.example?q", link("p")),
+            (5, "no scheme", link("p")), (6, "no scheme", base.format("http://h.example"))]
+    found = urls.declared_links(spark.createDataFrame(rows, KIND)).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == sorted([
+        ("http://org.example/a/b/c;p?q=1", "http://org.example/a/x/p"),
+        ("http://org.example/a/b/c;p?q=1", "http://h.example/z/p"),
+        ("http://org.example/a/b/c;p?q=1", "http://org.example/no/p"),
+        ("http://bare.example?q", "http://bare.example/p"), ("no scheme", "http://h.example/p")])
+
+
+def test_blocks_reach_aliases_by_relative_targets(spark):
+    rows = [(1, "http://a.org/d/1", link("2")), (2, "http://A.org/d/2", link("../e/3")),
+            (3, "http://a.org/e/./3", link("HTTP://B.net/fr/1")), (4, "http://a.org/d/9", "")]
+    found = {r["page_id"]: (r["verdict"], r["decided_by"])
+             for r in urls.judge(spark.createDataFrame(rows, KIND)).collect()}
+    assert found == {k: ("block", "alias") for k in (1, 2, 3)} | {4: ("allow", "default")}
+
+
 @pytest.mark.parametrize("html", ["html", None])
 def test_redirect_table_and_empty_input(spark, html):
     df = spark.createDataFrame([(1, "http://x.org/a", None)], KIND)
