@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-# Bound of the labelled sample: about so many documents of a language, chosen by a hash.
+# Bound of the labelled sample: about so many different texts of a language, chosen by a hash.
 SAMPLE_DOCUMENTS = 2000
 PROFILE_GRAMS = 400
 LENGTHS = (1, 2, 3)
@@ -76,19 +76,20 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang",
           sample: int = SAMPLE_DOCUMENTS, most: int = PROFILE_GRAMS) -> dict[str, list[int]]:
     """Profiles: the n-grams of each language, most frequent first.
 
-    Learnt from about `sample` documents of each language, chosen by a hash of the text; rows
-    with a null text or language teach nothing. What reaches the driver is `most` numbers for
+    Learnt from about `sample` different texts of each language, chosen by a hash of the text;
+    repeated texts count once, and rows with a null text or language teach nothing. What reaches the driver is `most` numbers for
     each language.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in
-              rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    hashed = F.xxhash64("text", "lang")
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", hashed.alias("h")).distinct()
+              .groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, sample / n)])
-    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.where(place < share[F.col("lang")])
+    place = F.pmod(hashed, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = rows.where(place < share[F.col("lang")]).distinct()
 
     def count(batches):
         for batch in batches:

@@ -63,6 +63,19 @@ def test_texts_without_letters_and_empty_tables(spark, docs):
     assert {r["lang_pred"] for r in langid.predict(docs(rows), {}).collect()} == {"und"}
 
 
+def test_repeated_texts_count_once(spark, docs):
+    """Copies neither fill the sample nor keep a language of few texts out of it."""
+    texts = [f"the cat number {i} and the dog" for i in range(40)]
+    few = [f"{c}und die Katze{c}" for c in "xyz"]
+    once = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(99, t, "de", "s") for t in few]
+    many = once + [(100 + i, texts[i // 500], "en", "s") for i in range(2000)] \
+        + [(5000 + i, t, "de", "s") for t in few for i in range(700)]
+    for sample in (3, 10, 1000):
+        want = langid.learn(docs(once), sample=sample)
+        assert "de" in want
+        assert langid.learn(docs(many), sample=sample) == want
+
+
 def test_equal_sums_take_the_first_name():
     model = langid.Model({"b": [ord("x")], "a": [ord("x")]})
     assert model.judge(["x"])[0] == ["a"]
