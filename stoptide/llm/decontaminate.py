@@ -191,7 +191,8 @@ def _merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
 def item_blocks(benchmark: DataFrame, text: str, item_id: str, limit: int):
     """Lists of (item, text) of about `limit` bytes at most; longer texts are cut, overlapping.
 
-    Sizes are added up by Spark first, so that each collected list is bounded.
+    Sizes are added up by Spark first, so that each collected list is bounded. Repeated pairs
+    are dropped before, as all copies would fall into one list.
     """
     cut = max(1024, limit // 8)
 
@@ -221,7 +222,7 @@ def item_blocks(benchmark: DataFrame, text: str, item_id: str, limit: int):
 
     rows = benchmark.select(F.col(item_id).cast("string").alias("item"),
                             F.col(text).alias("text")).where("text IS NOT NULL")
-    rows = common.store(rows.mapInArrow(run, "item string, text string"), "items")
+    rows = common.store(rows.mapInArrow(run, "item string, text string").distinct(), "items")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = 1 + int(2 * total // limit)
     for k in range(blocks):

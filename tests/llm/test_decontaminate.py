@@ -53,6 +53,15 @@ def test_documents_against_brute_force(spark, docs, limit):
         assert sum(b - a for a, b in s["spans"]) == s["n_hit"]
 
 
+def test_repeated_items_are_dealt_out_once(spark):
+    rows = [(str(i), f"item number {i} " + "word " * 8) for i in range(40)]
+    bench = spark.createDataFrame(rows + [rows[0]] * 400 + [(None, "nameless")] * 50,
+                                  "item_id STRING, text STRING")
+    blocks = list(decontaminate.item_blocks(bench, "text", "item_id", 2048))
+    assert sorted((x for b in blocks for x in b), key=str) == sorted(
+        [*rows, (None, "nameless")], key=str)
+
+
 def test_empty_tables(spark, docs):
     bench = spark.createDataFrame(ITEMS, "item_id STRING, text STRING")
     df = docs([(1, LONG, "en", "s")])
