@@ -69,6 +69,18 @@ def test_stages_in_order(spark):
         kept = rows
 
 
+def test_languages_that_were_never_learnt_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    texts = ["Привет, это документ на русском языке о погоде.", "这是一个关于天气的中文文档。",
+             "هذا نص باللغة العربية عن الطقس", "The weather of today and the news."]
+    rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(texts)]
+    found = corpus_pipeline.STAGES[0][1](
+        spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF)
+    assert {r["doc_id"] for r in found.where("doc_id < 0").collect()} == {-4}
+    labelled = docs.where("lang IS NOT NULL AND text RLIKE '[A-Za-z]'")
+    assert labelled.join(found, "doc_id", "left_anti").count() == 0
+
+
 def test_run_and_odd_rows(spark, tmp_path):
     base = " ".join(f"word{i}" for i in range(50))
     rows = [(1, base, "en", "s", 1), (2, base, "en", "s", 1), (2, base, "en", "s", 1),
