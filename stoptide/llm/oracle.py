@@ -130,7 +130,62 @@ SELECT vec_id, coalesce(counts.n, 0) AS n_links,
 FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
 """
 
+OP11 = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * cast(x AS double))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+  cast(list_dot_product(a.v, r.v) AS bigint) AS score
+  FROM r a JOIN r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+  ORDER BY score DESC, other) AS integer) AS rank, other AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 3
+"""
+
+# CRC-32 of a decimal number, bit by bit
+_BYTE = ("list_reduce(list_prepend(xor(c, b), list_transform(range(0, 8), lambda z: z)), "
+         "lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))")
+_CRC = ("xor(4294967295, list_reduce(list_prepend(cast(4294967295 AS bigint), list_transform("
+        "range(1, len(cast(conv_id AS varchar)) + 1), lambda i: "
+        "cast(ord(cast(conv_id AS varchar)[i]) AS bigint))), "
+        f"lambda c, b: {_BYTE}))")
+OP13 = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, 0 AS part, p, role, text FROM c JOIN t ON t.conv_id = base AND p <= h
+  UNION ALL SELECT conv_id, 1, p, role, text FROM c JOIN t USING (conv_id) WHERE p > h),
+q AS (SELECT conv_id, list([role, text] ORDER BY part, p) AS s FROM b GROUP BY conv_id),
+w AS (SELECT conv_id, coalesce(s, []) AS s FROM c LEFT JOIN q USING (conv_id)),
+m AS (SELECT conv_id, d AS depth, list_slice(s, 1, d) AS k, len(s) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM w)),
+n AS (SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (ends), '') AS e,
+  (count(*) - 1) * CASE WHEN depth > 0 THEN length(k[depth][2]) ELSE 0 END AS v
+  FROM m GROUP BY k, depth),
+kids AS (SELECT list_slice(k, 1, depth - 1) AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+full_n AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids USING (k)),
+sums AS (SELECT a.k, sum(b.v) AS saved, count(*) FILTER (b.n_children = 0) AS leaves
+  FROM full_n a JOIN full_n b ON b.depth >= a.depth AND list_slice(b.k, 1, a.depth) = a.k
+  GROUP BY a.k)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children,
+  cast(leaves AS bigint) AS n_leaves, cast(saved AS bigint) AS saved_tokens,
+  sha256(x.e) AS ends_sha256
+FROM full_n x JOIN sums USING (k)
+LEFT JOIN full_n p ON x.depth > 0 AND p.depth = x.depth - 1
+  AND p.k = list_slice(x.k, 1, x.depth - 1)
+"""
+
 ORACLE_SQL = {
     "op1_decontaminate": OP1, "op2_warc": OP2, "op3_suffixes": OP3, "op9_urls": OP9,
-    "op10_pivots": OP10,
+    "op10_pivots": OP10, "op11_negatives": OP11, "op13_prefixes": OP13,
 }

@@ -13,7 +13,10 @@ from . import (
     decontaminate,
     extract,
     langid,
+    negatives,
+    packing,
     pivots,
+    prefixes,
     secrets,
     simhash,
     suffixes,
@@ -109,6 +112,23 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor among the embeddings; some rows have the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 1,024 tokens."""
+    return packing.pack(packing.pieces(_table(spark, sf_dir, "documents")))
+
+
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    turns = prefixes.ordered(_table(spark, sf_dir, "conversations"))
+    return prefixes.trie(prefixes.rebuild(turns)).drop("a", "b")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
@@ -120,8 +140,12 @@ QUERIES: dict[str, Query] = {
     "op8_langid": op8_langid,
     "op9_urls": op9_urls,
     "op10_pivots": op10_pivots,
+    "op11_negatives": op11_negatives,
+    "op12_packing": op12_packing,
+    "op13_prefixes": op13_prefixes,
 }
 
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+from stoptide.llm import packing
+
+KIND = "doc_id LONG, text STRING, item STRING, offset STRING"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found.no_truncation()
+    return found
+
+
+def test_ids_equal_the_library(tokenizer):
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    rng = random.Random(4)
+    letters = "ab  \n\t'sél1²中文😀  ſß<|endoftext|>"
+    texts += ["".join(rng.choice(letters) for _ in range(60)) for _ in range(300)]
+    texts += ["", "<|endoftext|>", "a<|endoftext|> b", "x" * 5000, " " * 3000, "don't  we'LL"]
+    encode = packing.encoder()
+    for text in texts:
+        if text is not None:
+            assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def check(rows, want, capacity):
+    """Pieces lie in sequences without gaps; they are the given ones."""
+    by_sequence: dict[int, list] = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted((tuple(r[n] for n in names) for r in rows), key=str) == sorted(want, key=str)
+    return len(by_sequence)
+
+
+def pieces_of(rows, tokenizer, capacity=1024):
+    out = []
+    for doc, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        start, n = 0, 0
+        while start < len(ids):
+            size = len(ids) % capacity or capacity if n == 0 else capacity
+            part = np.array(ids[start:start + size], "<u4")
+            out.append((doc, n, start, size, zlib.crc32(part.tobytes())))
+            start, n = start + size, n + 1
+    return out
+
+
+@pytest.mark.parametrize("group", [40, 8192])
+def test_against_brute_force(spark, tokenizer, group):
+    rng = random.Random(7)
+    words = ["tree", "of", "rather", "unusual", "été", "42", "\n"]
+    rows = [(i, " ".join(rng.choices(words, k=int(1.5 ** rng.randint(1, 19)))))
+            for i in range(250)]
+    rows += [(3, None), (None, "nobody"), (None, None), (4, ""), *[(5, "copy of a text")] * 90]
+    df = spark.createDataFrame([(*r, "a", "b") for r in rows], KIND)
+    found = packing.pack(packing.pieces(df), group=group).collect()
+    n = check(found, pieces_of(rows, tokenizer), 1024)
+    total = sum(r["length"] for r in found)
+    assert n <= -(-total // 1024) + 2 + 0.01 * n
+
+
+def test_small_tables(spark):
+    df = spark.createDataFrame([], KIND)
+    assert packing.pack(packing.pieces(df)).count() == 0
+    row = packing.pack(packing.pieces(spark.createDataFrame([(1, None, "", "")], KIND))).first()
+    assert (row["doc_id"], row["length"], row["offset"], row["start"]) == (1, 1, 0, 0)
+    assert row["ids_crc32"] == zlib.crc32(np.array([2], "<u4").tobytes())
+
+
+def test_sequences(spark):
+    rows = [(i, "word " * (37 * i)) for i in range(1, 60)]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], KIND)
+    packed = packing.pack(packing.pieces(df, with_ids=True))
+    found = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    for r in packed.collect():
+        part = found[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]]
+        assert part == r["ids"]
+        assert zlib.crc32(np.array(part, "<u4").tobytes()) == r["ids_crc32"]
+    assert sum(map(len, found.values())) == packed.agg({"length": "sum"}).first()[0]
+
+
+def test_cuts():
+    assert packing.cuts(1) == [(0, 1)]
+    assert packing.cuts(1024) == [(0, 1024)]
+    assert packing.cuts(1025) == [(0, 1), (1, 1024)]
+    assert packing.cuts(2100) == [(0, 52), (52, 1024), (1076, 1024)]
+
+
+def whole(packing_, n):
+    return sorted(i for b in packing_.bins for i in b) == list(range(n))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_crossover_keeps_every_item_once(seed):
+    rng = random.Random(seed)
+    sizes = sorted((rng.randint(1, 100) for _ in range(300)), reverse=True)
+    goal = packing.least_bins(np.array(sizes), 100)
+    population = packing.found(sizes, 100, 4, 0, rng)
+    before = min(len(p.bins) for p in population)
+    assert goal <= before
+    for _ in range(30):
+        one, other = rng.sample(population, 2)
+        child = packing.crossover(one, other, sizes, 100, rng)
+        assert whole(child, 300)
+        assert child.fill == [sum(sizes[i] for i in b) for b in child.bins]
+        assert max(child.fill) <= 100
+        again = packing.Packing.of(child.genes(300), sizes)
+        assert sorted(map(sorted, again.bins)) == sorted(map(sorted, child.bins))
+    after = packing.evolve(population, sizes, 100, goal, 60, rng)
+    assert len(after[0].bins) <= before
+
+
+def test_evolution_beats_the_first_fit():
+    """Triples that fill a bin exactly, which best fit from the longest on does not find."""
+    rng = random.Random(1)
+    sizes = []
+    for _ in range(30):
+        a, b = rng.randint(260, 480), rng.randint(260, 400)
+        sizes += [a, b, 1024 - a - b]
+    sizes.sort(reverse=True)
+    first = packing.found(sizes, 1024, 1, 30, rng)
+    best = packing.found(sizes, 1024, 6, 30, rng)
+    for _ in range(20):
+        best = packing.evolve(best, sizes, 1024, 30, 200, rng)
+    assert len(best[0].bins) < len(first[0].bins)
+
+
+def test_least_bins():
+    assert packing.least_bins(np.array([], np.int64), 10) == 0
+    assert packing.least_bins(np.array([6, 6, 6]), 10) == 3
+    assert packing.least_bins(np.array([5, 5, 5]), 10) == 2
+    assert packing.least_bins(np.array([7, 7, 4, 4]), 10) == 3

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(driver.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
     assert "pipeline" in names
     assert set(queries.oracle_sql()) <= set(queries.queries())
