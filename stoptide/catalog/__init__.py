@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import documents, expressions, joins, measures, rows, sets, streams
+from . import documents, expressions, joins, measures, published, rows, sets, streams
 from .registry import oracle_sql, queries
 
-__all__ = ["documents", "expressions", "joins", "measures", "oracle_sql", "queries", "rows",
-           "sets", "streams"]
+__all__ = ["documents", "expressions", "joins", "measures", "oracle_sql", "published",
+           "queries", "rows", "sets", "streams"]

@@ -13,6 +13,8 @@ A trip's group is bounded: after the collapse it holds one row per stop index, a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from ..functions import (
     usable_length,
 )
 from ..operators.latest import last_observation
+from ..session import scratch_dir
 from ..sources.sinks import create_database, overwrite_table
 from . import checks, geometry
 
@@ -59,15 +62,13 @@ def _trip_key() -> Column:
     return F.coalesce("trip_id", parsed, "stop_id")
 
 
-def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
-    """One row per stop: the last observation, its route, and the change of delay against the
-    previous observed stop of the trip.
+def stop_rows(last: DataFrame, local_date: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Last observations as stops, with the route that each tells by itself (`route`).
 
-    A stop without a usable route takes the longest one of its trip; equally long routes are
-    told apart by their names. The longest route and the previous delay share one window
-    order, hence one sort.
+    `keep` names further columns to carry.
     """
-    base = last_observation(observations).select(
+    return last.select(
+        *keep,
         "stop_id", _trip_key().alias("trip_id"), "start_at", "train_category", "train_number", "train_operator",
         brand_fallback(F.col("brand"), F.col("train_operator")).alias("train_brand"),
         "station_eva", "station_name", "stop_index",
@@ -81,9 +82,18 @@ def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
         "observed_at",
         is_long_distance(F.col("train_category")).alias("is_long_distance"),
     )
+
+
+def along_trips(rows: DataFrame) -> DataFrame:
+    """Stops (`stop_rows`) with what their trip tells them: the route, the delay before.
+
+    A stop without a usable route takes the longest one of its trip; equally long routes are
+    told apart by their names. The longest route and the previous delay share one window
+    order, hence one sort.
+    """
     ranked = F.struct(usable_length(F.col("route")).alias("length"), F.col("route"))
     return (
-        base
+        rows
         .withColumns({
             "full_route": F.max(ranked).over(_whole_trip())["route"],
             "delay_change_vs_previous_observed_stop":
@@ -95,6 +105,12 @@ def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
     )
 
 
+def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
+    """One row per stop: the last observation, its route, and the change of delay against the
+    previous observed stop of the trip."""
+    return along_trips(stop_rows(last_observation(observations), local_date))
+
+
 def trip_table(stops: DataFrame, identity: str = "first") -> DataFrame:
     """One row per trip, built from its first and last observed stop.
 
@@ -170,7 +186,7 @@ def daily_route_table(trips: DataFrame, exclude_cancelled: bool = False) -> Data
     )
 
 
-def consecutive_stops(stops: DataFrame) -> DataFrame:
+def consecutive_stops(stops: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every long-distance stop next to the previous observed one of its trip.
 
     Other trains are dropped before the neighbours are looked up, as that changes them.
@@ -181,7 +197,7 @@ def consecutive_stops(stops: DataFrame) -> DataFrame:
         return F.lag(column).over(w)
 
     return stops.filter("is_long_distance").select(
-        *TRIP,
+        *TRIP, *keep,
         before("station_name").alias("from_station"),
         F.col("station_name").alias("to_station"),
         (F.col("stop_index") - before("stop_index")).alias("hops"),
@@ -213,13 +229,17 @@ def with_coordinates(segments: DataFrame, stations: DataFrame) -> DataFrame:
         .join(end("to"), "to_station", "left")
 
 
+def usable_sections(stops: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Consecutive stops that say how much delay was gained between them."""
+    return consecutive_stops(stops, keep).filter(
+        F.col("from_station").isNotNull() & F.col("delay_gained").isNotNull()
+        & ~F.col("either_cancelled"))
+
+
 def segment_table(stops: DataFrame, stations: DataFrame | None = None) -> DataFrame:
     """Delay gained between consecutive observed stops, per (from, to, hops)."""
     gained = F.col("delay_gained")
-    usable = consecutive_stops(stops).filter(
-        F.col("from_station").isNotNull() & gained.isNotNull()
-        & ~F.col("either_cancelled"))
-    segments = usable.groupBy("from_station", "to_station", "hops").agg(
+    segments = usable_sections(stops).groupBy("from_station", "to_station", "hops").agg(
         F.count(F.lit(1)).alias("trips"),
         F.round(F.avg(gained), 2).alias("avg_delay_gained_minutes"),
         percentile_array("delay_gained", [0.5, 0.9]).alias("p"),
@@ -240,7 +260,8 @@ def segment_table(stops: DataFrame, stations: DataFrame | None = None) -> DataFr
     return segments if stations is None else with_coordinates(segments, stations)
 
 
-def journeys(stops: DataFrame, usable_only: bool = False) -> DataFrame:
+def journeys(stops: DataFrame, usable_only: bool = False, keep: Sequence[str] = ()
+             ) -> DataFrame:
     """Every stop of a long-distance trip with every later one: what a traveller can ride.
 
     Each stop unfolds into the stops behind it, which the window over its trip hands it. A
@@ -259,14 +280,14 @@ def journeys(stops: DataFrame, usable_only: bool = False) -> DataFrame:
     behind = F.collect_list(end).over(
         _trip_order().rowsBetween(1, Window.unboundedFollowing))
     starts = rows.select(
-        "trip_id", "stop_index", "station_name", "train_category", "train_number",
+        *keep, "trip_id", "stop_index", "station_name", "train_category", "train_number",
         "service_date", "departure_delay_minutes", "planned_departure_at",
         cancelled.alias("is_cancelled"), behind.alias("behind"))
     if usable_only:
         starts = starts.filter("departure_delay_minutes IS NOT NULL")
     pairs = starts.withColumn("b", F.explode("behind")).filter("b.stop_index > stop_index")
     return pairs.select(
-        "trip_id",
+        *keep, "trip_id",
         F.col("stop_index").alias("from_index"), F.col("b.stop_index").alias("to_index"),
         F.col("station_name").alias("from_station"),
         F.col("b.station_name").alias("to_station"),
@@ -390,24 +411,28 @@ def in_days(observations: DataFrame, first: str, last: str) -> DataFrame:
 
 def build_gold(observations: DataFrame, stations: DataFrame, database: str,
                buckets: int = 200, tracks: DataFrame | None = None,
-               days: tuple[str, str] | None = None, circular: bool = True) -> None:
+               circular: bool = True) -> None:
     """Write the eight tables of the delay model, each once, later ones from the stored stops.
 
     The rules that later steps rest on are enforced before those steps: unique station names,
-    and trips no longer than a train can be before segments and pairs are formed. All rules are
-    enforced at the end. `tracks` are the resolved segment geometries, `days` the first and last
-    day of observation to build from. `circular` refuses routes that end where they begin.
+    and trips no longer than a train can be before any window over trips. The others are counted
+    while the stops are written (`checks.Counted`). `tracks` are the resolved segment geometries.
+    `circular` refuses routes that end where they begin. The tables hold what `observations`
+    holds, nothing else: `increment.update` adds to what is there.
     """
     spark = observations.sparkSession
     create_database(spark, database)
-    if days is not None:
-        observations = in_days(observations, *days)
     checks.enforce(checks.check_station_names(stations))
     overwrite_table(stations, f"{database}.station")
     stations = spark.table(f"{database}.station")
-    save_stops(stop_table(observations), f"{database}.stop", buckets)
+    counted = checks.Counted()
+    rows = scratch_dir(spark, "collapsed")
+    counted.collapsed(stop_rows(last_observation(observations))).write.parquet(rows)
+    rows = spark.read.parquet(rows)
+    checks.enforce(checks.check_trip_length(rows))
+    save_stops(counted.written(along_trips(rows)), f"{database}.stop", buckets)
+    checks.enforce(counted.report(spark, circular))
     stops = spark.table(f"{database}.stop")
-    checks.enforce(checks.check_trip_length(stops))
 
     overwrite_table(trip_table(stops), f"{database}.trip")
     overwrite_table(daily_route_table(spark.table(f"{database}.trip")),
@@ -421,4 +446,3 @@ def build_gold(observations: DataFrame, stations: DataFrame, database: str,
     overwrite_table(
         geometry.geometry_points_table(spark.table(f"{database}.segment_geometry")),
         f"{database}.segment_point")
-    checks.enforce_gold(observations, stops, stations, circular)

@@ -1,0 +1,227 @@
+"""Updates of the published Gold set, against one build from all rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from stoptide import schemas as S
+from stoptide.plans import checks, gold, increment
+from stoptide.sources import versions
+from tests.conftest import rows
+from tests.test_gold import STATION, T0, observed, stop
+
+
+@pytest.fixture
+def stations(spark):
+    return spark.createDataFrame(
+        [(i, n, n.lower(), 1.0 + i, 2.0, "x", 1, "L", 5) for i, n in enumerate("ABCDE")], STATION)
+
+
+def tracks(spark):
+    points = [[float(i), 0.0] for i in range(130)]
+    return spark.createDataFrame([("A", "B", 9.0, points), ("C", "D", 3.0, points[:4])],
+                                 S.SEGMENT_GEOMETRY)
+
+
+def random_rows(seed, trips=14):
+    """Observations of trips on four days; some stops are seen often, some change their day."""
+    rng = random.Random(seed)
+    out = []
+    for t in range(trips):
+        start = T0 + dt.timedelta(days=rng.randint(0, 3)) if t else None
+        for k in rng.sample(range(1, 6), rng.randint(1, 5)):
+            for seen in range(rng.randint(1, 3)):
+                row = list(stop(f"t{t}", k, "ABCDE"[k - 1], rng.choice([None, 1, 7, 30]),
+                                rng.choice([0, 2, 20]), seen=rng.randint(0, 9),
+                                offset=len(out), start=start,
+                                category=rng.choice(["ICE", "IC", "RE"]),
+                                cancelled=rng.random() < 0.1))
+                shift = dt.timedelta(days=rng.choice([0, 0, 0, 1]))
+                row[12], row[14] = row[12] + shift, row[14] + shift
+                out.append(tuple(row))
+    return out
+
+
+def compare(spark, root, data, stations, known=None):
+    database = "inc_" + str(abs(hash(root)))
+    gold.build_gold(observed(spark, *data), stations, database, buckets=2, tracks=known,
+                    circular=False)
+    for name in increment.TABLES:
+        found, want = increment.table(spark, root, name), spark.table(f"{database}.{name}")
+        assert sorted(found.columns) == sorted(want.columns), name
+        assert rows(found, *want.columns) == rows(want), name
+
+
+def test_any_cut_gives_the_tables_of_one_build(spark, stations, tmp_path):
+    seed = 2
+    data = random_rows(seed)
+    cut = random.Random(seed).choices(range(3), k=len(data))
+    root = str(tmp_path / "gold")
+    for k in range(3):
+        part = [r for r, c in zip(data, cut, strict=True) if c == k]
+        given = (stations, tracks(spark)) if k == 0 else ()
+        assert increment.update(observed(spark, *part), root, *given, circular=False) == k + 1
+    # rows that are there already, and no rows at all, change nothing
+    increment.update(observed(spark, *data[:5]), root, circular=False)
+    increment.update(observed(spark), root, circular=False)
+    compare(spark, root, data, stations, tracks(spark))
+
+
+def test_untouched_days_keep_their_files(spark, stations, tmp_path):
+    root = str(tmp_path / "gold")
+    other = T0 + dt.timedelta(days=1)
+    first = [stop("a", k, n, 1, 2) for k, n in enumerate("ABC", 1)]
+    later = [list(stop("b", k, n, 1, 2, start=other)) for k, n in enumerate("ABC", 1)]
+    for row in later:
+        row[0] = row[0].replace("260510", "260511")
+        row[12] += dt.timedelta(days=1)
+        row[14] += dt.timedelta(days=1)
+    increment.update(observed(spark, *first, *map(tuple, later)), root, stations)
+    before = {n: e["folders"] for n, e in versions.tables(spark, root).items()}
+    changed = list(later[0])
+    changed[16], changed[19] = 50, changed[19] + dt.timedelta(hours=1)
+    increment.update(observed(spark, tuple(changed)), root)
+    after = {n: e["folders"] for n, e in versions.tables(spark, root).items()}
+    for name in ("stop", "trip", "daily_route", "section", "journey", "journey_seen"):
+        assert [f for f in before[name] if "05-10" in f] == [f for f in after[name] if "05-10" in f]
+        assert [f for f in before[name] if "05-11" in f] != [f for f in after[name] if "05-11" in f]
+    compare(spark, root, [*first, *map(tuple, later), tuple(changed)], stations)
+
+
+def test_a_trip_that_changes_its_day_leaves_the_old_one(spark, stations, tmp_path):
+    root = str(tmp_path / "gold")
+    data = [stop("a", k, n, 1, 2) for k, n in enumerate("AB", 1)]
+    increment.update(observed(spark, *data), root, stations)
+    moved = list(stop("a", 1, "A", 1, 2, seen=5, offset=5))
+    moved[12] += dt.timedelta(days=2)
+    moved[14] += dt.timedelta(days=2)
+    increment.update(observed(spark, tuple(moved)), root)
+    assert rows(increment.table(spark, root, "daily_route"), "service_date") == [
+        (dt.date(2026, 5, 12),)]
+    compare(spark, root, [*data, tuple(moved)], stations)
+
+
+def test_broken_rules_leave_the_published_set(spark, stations, tmp_path, monkeypatch):
+    root = str(tmp_path / "gold")
+    data = [stop("a", k, n, 1, 2, path_to=["Z"]) for k, n in enumerate("ABC", 1)]
+    increment.update(observed(spark, *data), root, stations)
+    reader = increment.table(spark, root, "stop")
+    twice = stations.unionByName(stations.limit(1))
+    with pytest.raises(checks.DataQualityError, match="station names"):
+        increment.update(observed(spark, stop("b", 1, "A")), root, twice)
+    with pytest.raises(checks.DataQualityError, match="circular"):
+        increment.update(observed(spark, stop("b", 1, "A", path_to=["A"])), root)
+    late = list(stop("b", 1, "A", 5))
+    late[13] = None                                  # a delay without a changed time
+    with pytest.raises(checks.DataQualityError, match="null preserved"):
+        increment.update(observed(spark, tuple(late)), root)
+    monkeypatch.setattr(checks.check_trip_length, "__defaults__", (3,))
+    monkeypatch.setattr(gold, "along_trips", lambda rows: pytest.fail("a window over trips"))
+    with pytest.raises(checks.DataQualityError, match="trip length"):
+        increment.update(observed(spark, stop("a", 4, "D", 1, 1)), root)
+    assert versions.numbers(spark, root) == [1]
+    assert reader.count() == increment.table(spark, root, "stop").count() == 3
+    assert {p.name for p in (tmp_path / "gold" / "stop").iterdir()} == {
+        versions.tables(spark, root)["stop"]["folders"][0].partition("/")[0]}
+
+
+def test_counted_rules_see_lost_and_doubled_rows(spark):
+    stops = gold.stop_table(observed(spark, stop("t", 1, "A"), stop("t", 2, "B")))
+    for broken in (stops.limit(1), stops.unionByName(stops)):
+        counted = checks.Counted()
+        counted.collapsed(stops).write.format("noop").mode("overwrite").save()
+        counted.written(broken).write.format("noop").mode("overwrite").save()
+        with pytest.raises(checks.DataQualityError, match="collapse"):
+            checks.enforce(counted.report(spark))
+
+
+def test_first_build_needs_stations(spark, tmp_path):
+    with pytest.raises(ValueError, match="stations"):
+        increment.update(observed(spark, stop("a", 1, "A")), str(tmp_path / "gold"))
+
+
+def numbers(spark, n):
+    return spark.range(n).select("id", F.format_string("p%d", F.col("id") % 3).alias("p"))
+
+
+def publish(spark, root, n):
+    draft = versions.Draft(spark, root)
+    draft.replace("t", numbers(spark, n), partition="p")
+    draft.replace("u", spark.range(n))
+    return draft.publish()
+
+
+def test_readers_never_fail_while_versions_come(spark, tmp_path):
+    root, found, stop_reading = str(tmp_path / "set"), [], threading.Event()
+    publish(spark, root, 3)
+
+    def reader():
+        while not stop_reading.is_set():
+            number = versions.numbers(spark, root)[-1]
+            t, u = (versions.read(spark, root, n, number).count() for n in "tu")
+            found.append((number, t, u))
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    for n in (4, 5, 6, 7):
+        publish(spark, root, n)
+    stop_reading.set()
+    thread.join()
+    assert found and all(t == u == number + 2 for number, t, u in found)
+
+
+def test_a_write_that_breaks_off_leaves_the_old_version(spark, tmp_path):
+    root = str(tmp_path / "set")
+    publish(spark, root, 3)
+    draft = versions.Draft(spark, root)
+    draft.replace("u", spark.range(9))                      # and never published
+    assert versions.read(spark, root, "u").count() == 3
+    bad = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("broken")))
+                                .otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        versions.Draft(spark, root).replace("u", bad)
+    assert versions.read(spark, root, "u").count() == 3
+    assert publish(spark, root, 4) == 2
+
+
+def test_two_writers_conflict(spark, tmp_path):
+    root = str(tmp_path / "set")
+    publish(spark, root, 3)
+    one, other = versions.Draft(spark, root), versions.Draft(spark, root)
+    one.replace("u", spark.range(4))
+    other.replace("u", spark.range(5))
+    one.publish()
+    with pytest.raises(versions.Conflict):
+        other.publish()
+    assert versions.read(spark, root, "u").count() == 4
+    assert not [n for n in (tmp_path / "set" / "_versions").iterdir()
+                if n.name.startswith(".") and not n.name.endswith(".crc")]
+
+
+def test_partitions_are_replaced_and_old_versions_cleaned(spark, tmp_path):
+    root = str(tmp_path / "set")
+    publish(spark, root, 9)
+    draft = versions.Draft(spark, root)
+    draft.replace_partitions("t", numbers(spark, 3).filter("p = 'p1'"), "p", ["p1", "p2"])
+    draft.publish()
+    assert rows(versions.read(spark, root, "t"), "id") == [(0,), (1,), (3,), (6,)]
+    assert versions.read(spark, root, "t", 1).count() == 9
+    assert rows(versions.read(spark, root, "t", values=["p1"]), "id", "p") == [(1, "p1")]
+    with pytest.raises(ValueError, match="were to stay"):
+        versions.Draft(spark, root).replace_partitions("t", numbers(spark, 3), "p", ["p1"])
+    publish(spark, root, 2)
+    unfinished = versions.Draft(spark, root)
+    unfinished.replace("u", spark.range(1))
+    versions.clean(spark, root, keep=2)
+    assert versions.numbers(spark, root) == [2, 3]
+    assert rows(versions.read(spark, root, "t", 2), "id") == [(0,), (1,), (3,), (6,)]
+    assert versions.read(spark, root, "t").count() == 2
+    with pytest.raises(ValueError, match="no version 1"):
+        versions.read(spark, root, "t", 1)
+    assert unfinished.publish() == 4 and versions.read(spark, root, "u").count() == 1
+    assert versions.read(spark, root, "nothing") is None
