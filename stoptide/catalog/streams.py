@@ -112,6 +112,31 @@ def _silver_quarantine(spark, sf):
         .groupBy("kind").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query("silver_evolution", using("f", body=f"""
+SELECT stop_id, {text("observed_at - INTERVAL 2 HOUR")} AS observed_at,
+  CASE WHEN stop_index % 3 = 1 THEN brand END AS brand,
+  CASE WHEN stop_index % 3 = 1 THEN train_filter END AS train_filter,
+  train_number, stop_index
+FROM f
+"""))
+def _silver_evolution(spark, sf):
+    """Three runs on one checkpoint; only the second knows of the columns brand and filter."""
+    landing, bronze, silver, state = (
+        scratch_dir(spark, n) for n in ("landing", "bronze", "silver", "state"))
+    rows = frames.payloads(spark, sf)
+    early = S.T.StructType([f for f in S.PAYLOAD if f.name not in ("brand", "train_filter")])
+    for number, payload in enumerate((early, S.PAYLOAD, early)):
+        records = frames.records(rows.filter(F.col("stop_index") % 3 == number))
+        records.select(F.to_json(F.struct(*S.RECORD_COLUMNS)).alias("value")) \
+            .write.text(f"{landing}/delivery={number}")
+        medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
+        medallion.write_silver(medallion.bronze_stream(spark, bronze), silver,
+                               f"{state}/silver", watermark="4000 days", payload=payload)
+    return medallion.silver_table(spark, silver).select(
+        "stop_id", "observed_at", "brand", "train_filter", "train_number",
+        "stop_index")
+
+
 @query("stream_dedup", using("f", body=f"""
 SELECT DISTINCT stop_id, {text("observed_at")} AS observed_at, trip_id, station_name FROM f
 """))

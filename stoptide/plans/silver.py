@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import (
@@ -25,14 +26,14 @@ RAW_COLUMNS = [
 LINEAGE = ["_source_file", "_bronze_ingested_at"]
 
 
-def flatten(records: DataFrame) -> DataFrame:
+def flatten(records: DataFrame, payload: T.StructType = S.PAYLOAD) -> DataFrame:
     """The record's origin next to the fields of its JSON payload."""
     lineage = [c for c in LINEAGE if c in records.columns]
     return records.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         *lineage,
-        computed_once(F.from_json("value", S.PAYLOAD)).alias("obs"),
+        computed_once(F.from_json("value", payload)).alias("obs"),
     ).select("kafka_partition", "kafka_offset", *lineage, "obs.*")
 
 
@@ -59,9 +60,12 @@ def typed(flat: DataFrame) -> DataFrame:
     }).drop(*RAW_COLUMNS)
 
 
-def silver(records: DataFrame) -> DataFrame:
-    """Flatten and type; rows without a stop id or an observation time are left out."""
-    return typed(flatten(records)).filter(
+def silver(records: DataFrame, payload: T.StructType = S.PAYLOAD) -> DataFrame:
+    """Flatten and type; rows without a stop id or an observation time are left out.
+
+    Fields that `payload` has beyond the known ones are passed on as they are.
+    """
+    return typed(flatten(records, payload)).filter(
         "stop_id IS NOT NULL AND observed_at IS NOT NULL")
 
 

@@ -67,6 +67,20 @@ def append_jsonl_daily(observations: DataFrame, path: str, moment: str = "observ
     )
 
 
+def write_jsonl_run(observations: DataFrame, path: str, run: int, moment: str = "observed_at"
+                    ) -> None:
+    """JSON lines of one run under `path/run=<n>`, a directory per UTC day, NULLs written out.
+
+    The run's directory is replaced as a whole: repeated, a run leaves its lines once.
+    """
+    day = F.date_format(F.col(moment).cast("timestamp"), "yyyy-MM-dd")
+    (
+        by_partition(observations.withColumn("dt", day), ["dt"])
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .option("ignoreNullFields", "false").partitionBy("dt").json(f"{path}/run={run}")
+    )
+
+
 def batch_name(topic, partition, first, last):
     """Made of offsets, never of the clock, so a replay produces the same name."""
     return F.format_string("%s-p%d-%012d-%012d", topic, partition, first, last)

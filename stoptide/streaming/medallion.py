@@ -6,11 +6,13 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from .. import schemas as S
 from ..plans.silver import silver, silver_quarantine
+from ..sources import evolution
 from ..sources.files import record_fault
 
 # Kafka keeps three days; a replay of all of it must not fall behind the watermark.
@@ -51,7 +53,7 @@ class _Dropped(StreamingQueryListener):
 
 
 _dropped: dict[str, int] = {}
-# Files that one batch of Silver writes for a day at most.
+# Files that one batch of Silver writes for a day at most, if not told otherwise.
 DAY_SLICES = 8
 
 
@@ -107,25 +109,43 @@ def deduplicated(observations: DataFrame, watermark: str = DEFAULT_WATERMARK) ->
 
 def write_silver(bronze: DataFrame, path: str, checkpoint: str,
                  watermark: str = DEFAULT_WATERMARK, by_date: bool = False,
-                 quarantine: str | None = None, **kw) -> StreamingQuery:
+                 quarantine: str | None = None, payload: T.StructType = S.PAYLOAD,
+                 day_slices: int = DAY_SLICES, **kw) -> StreamingQuery:
     """Type, deduplicate and append.
 
+    The columns that come of `payload` are declared first (`sources.evolution`): a run may bring
+    new ones or lack some that the table has, on the same checkpoint; a column of another type
+    stops it before it writes. `silver_table` reads all rows with all columns.
+
     With `by_date` the table is partitioned by the day of the observation, so jobs over a
-    range of days read only those; the rows of a day are gathered in a few tasks before they
-    are written, else every task would write a file for every day. `quarantine` is the path that the records left
+    range of days read only those; the rows of a day are gathered in `day_slices` tasks before
+    they are written, else every task would write a file for every day. A replay of few days
+    needs as many slices as it has cores for each. `quarantine` is the path that the records left
     out are appended to, with the reason, by a stream of its own over the same Bronze table.
     """
+    spark = bronze.sparkSession
     if quarantine is not None:
         drain(silver_quarantine(bronze), quarantine, f"{checkpoint}-quarantine")
-    rows = deduplicated(silver(sound(bronze)), watermark)
+    rows = deduplicated(silver(sound(bronze), payload), watermark)
     if by_date:
-        slice_ = F.pmod(F.xxhash64("stop_id"), F.lit(DAY_SLICES))
+        slice_ = F.pmod(F.xxhash64("stop_id"), F.lit(day_slices))
         rows = rows.withColumn("observed_date", F.to_date("observed_at")).repartition(
             F.col("observed_date"), slice_)
         kw["partition_by"] = ["observed_date"]
+    evolution.declare(spark, path, rows.schema)
     return drain(rows, path, checkpoint, **kw)
 
 
+def silver_table(spark: SparkSession, path: str) -> DataFrame:
+    """Silver with all columns that any run has written."""
+    return evolution.read(spark, path)
+
+
+def silver_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same as a stream."""
+    return evolution.stream(spark, path, max_files)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows a drained query dropped for being behind the watermark, over all its batches."""
     return _dropped[str(query.runId)]
