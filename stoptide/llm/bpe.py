@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from . import common
 
 MODEL = "word_bpe_49k.json"
-CACHE_WORDS = 80_000
-CACHE_LENGTH = 64
-_ID_BITS, _PLACE_BITS = 32, 40
-_PLACE = (1 << _PLACE_BITS) - 1
+CACHE_BYTES = 128 << 20     # of remembered words, in each of two generations
+_ENTRY_BYTES = 360          # of one of them, besides its letters
+_ID_BITS = 32
+# Bits of a place in a queue's entries; with few, an entry is a number that is quick to compare.
+_FEW, _MANY = 14, 40
 # White space of Unicode, as ranges (fixed values).
 SPACES = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
           (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
@@ -78,12 +79,11 @@ class Encoder:
         self.words = regex.compile(pattern.replace(r"\s", SPACE)).findall
         self.simple = re.compile(SIMPLE).findall if pattern == PATTERN else self.words
         self.bytes = byte_characters()
-        unknown = max(self.strings) + 1
+        self.unknown = max(self.strings) + 1
         self.inner, self.final = (
-            [self.vocab.get(self.bytes[b] + end, unknown) for b in range(256)]
+            [self.vocab.get(self.bytes[b] + end, self.unknown) for b in range(256)]
             for end in ("", self.suffix))
-        self.ids = _Words(lambda word: " ".join(map(str, self.merge(word))))
-        self.texts = _Words(lambda word: self.decode([int(i) for i in self.ids[word].split()]))
+        self.remembered = _Words(self.word)
 
     def normalise(self, text: str) -> str:
         """NFC and lower case, by single characters: no final sigma.
@@ -102,42 +102,50 @@ class Encoder:
         n = len(raw)
         if not n:
             return []
-        inner = self.inner
-        ids = [inner[b] for b in raw]
-        ids[-1] = self.final[raw[-1]]
-        before, after = list(range(-1, n - 1)), [*range(1, n), n]
-        rank_of = self.ranks.get
+        ids = [*map(self.inner.__getitem__, raw[:-1]), self.final[raw[-1]]]
+        rank_of, merged = self.ranks.get, self.merged
         # the rank of the pair that begins at each place; entries with another are stale
-        now = [rank_of(ids[i] << _ID_BITS | ids[i + 1], -1) for i in range(n - 1)]
+        now = [rank_of(a << _ID_BITS | b, -1) for a, b in itertools.pairwise(ids)]
         now.append(-1)
-        queue = [rank << _PLACE_BITS | i for i, rank in enumerate(now) if rank >= 0]
+        bits = _FEW if n < 1 << _FEW else _MANY
+        places = (1 << bits) - 1
+        queue = [rank << bits | i for i, rank in enumerate(now) if rank >= 0]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            entry = heapq.heappop(queue)
-            rank, i = entry >> _PLACE_BITS, entry & _PLACE
+            entry = pop(queue)
+            rank, i = entry >> bits, entry & places
             if now[i] != rank:
                 continue
             j = after[i]
-            ids[i], ids[j], now[j] = self.merged[rank], -1, -1
+            mine = ids[i] = merged[rank]
+            ids[j] = now[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                new = now[i] = rank_of(ids[i] << _ID_BITS | ids[k], -1)
+                new = now[i] = rank_of(mine << _ID_BITS | ids[k], -1)
                 if new >= 0:
-                    heapq.heappush(queue, new << _PLACE_BITS | i)
+                    push(queue, new << bits | i)
             else:
                 now[i] = -1
             h = before[i]
             if h >= 0:
-                new = now[h] = rank_of(ids[h] << _ID_BITS | ids[i], -1)
+                new = now[h] = rank_of(ids[h] << _ID_BITS | mine, -1)
                 if new >= 0:
-                    heapq.heappush(queue, new << _PLACE_BITS | h)
-        return [i for i in ids if i in self.strings]
+                    push(queue, new << bits | h)
+        unknown = self.unknown
+        return [i for i in ids if 0 <= i < unknown]
 
     def decode(self, ids: list[int]) -> str:
         """The strings of the ids, joined by a space, as this file names no decoder."""
         return " ".join([self.strings[i] for i in ids])
 
+    def word(self, word: str) -> tuple[str, str]:
+        """The ids of one piece of text, and what they decode to, joined by spaces."""
+        ids = self.merge(word)
+        return " ".join(map(str, ids)), self.decode(ids)
+
     def spaced(self, text: str) -> tuple[str, str]:
         """The ids and the decoded text, each joined by a space."""
         ids, texts = [], []
@@ -147,34 +155,41 @@ class Encoder:
                 ids.append(str(self.special[part]))
                 texts.append(part)
             elif part:
-                words = self.split(self.normalise(part))
-                ids.append(" ".join(filter(None, map(self.ids.__getitem__, words))))
-                texts.append(" ".join(filter(None, map(self.texts.__getitem__, words))))
-        return " ".join(filter(None, ids)), " ".join(filter(None, texts))
+                found = [*map(self.remembered.__getitem__, self.split(self.normalise(part)))]
+                ids += [i for i, _ in found if i]
+                texts += [t for i, t in found if i]
+        self.remembered.trim()
+        return " ".join(ids), " ".join(texts)
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in self.spaced(text)[0].split()]
 
 
 class _Words(dict):
-    """What a function makes of words. Short ones are remembered in two generations of a
-    bounded size: words in use stay, others go with the older one."""
+    """What a function makes of words: ids and decoded text, in one entry.
+
+    Two generations, each bounded by its bytes: words in use stay, others go with the older one.
+    `trim` is called between texts, so the words of one text may be held beyond the bound.
+    """
 
-    def __init__(self, make):
+    def __init__(self, make, limit: int | None = None):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.held = make, {}, 0
+        self.limit = CACHE_BYTES if limit is None else limit
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[str, str]:
         found = self.older.get(word)
         if found is None:
             found = self.make(word)
-        if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
+        self[word] = found
+        self.held += len(word) + len(found[0]) + len(found[1]) + _ENTRY_BYTES
         return found
 
+    def trim(self) -> None:
+        if self.held > self.limit:
+            self.older, self.held = dict(self), 0
+            self.clear()
+
 
 @functools.lru_cache(maxsize=1)
 def _other_numbers() -> frozenset[str]:

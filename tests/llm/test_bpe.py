@@ -80,3 +80,26 @@ def test_digests_of_rows(spark, docs, library):
 def test_round_trip_of_columns(docs):
     df = bpe.decode(bpe.encode(docs([(1, "lower case", "en", "s"), (2, None, "en", "s")])))
     assert [r["decoded"] for r in df.orderBy("doc_id").collect()] == ["lower</w> case</w>", ""]
+
+
+def test_words_are_remembered_within_bounds():
+    made = []
+
+    def make(word):
+        made.append(word)
+        return word, word
+
+    words = bpe._Words(make, limit=3 * bpe._ENTRY_BYTES)
+    for text in (["a", "b", "a"], ["c", "d"], ["a", "e"], ["f", "g", "h"], ["i"]):
+        assert [words[w] for w in text] == [(w, w) for w in text]
+        words.trim()
+        assert len(words) <= 4 and len(words.older) <= 7
+    assert made[:5] == ["a", "b", "c", "d", "e"]      # a was in the older generation
+
+
+def test_few_and_many_places_agree(monkeypatch):
+    coder = bpe.encoder(bpe.model_path())
+    words = ["overwhelmingly", "naïveté", "x" * 300, "zzzz", "a", "électroencéphalographie"]
+    want = [coder.merge(w) for w in words]
+    monkeypatch.setattr(bpe, "_FEW", 1)
+    assert [coder.merge(w) for w in words] == want
