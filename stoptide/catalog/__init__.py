@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
-from . import documents, expressions, joins, measures, published, rows, sets, streams
+from . import (
+    documents,
+    expressions,
+    joins,
+    measures,
+    published,
+    rows,
+    sets,
+    stateful,
+    streams,
+)
 from .registry import oracle_sql, queries
 
 __all__ = ["documents", "expressions", "joins", "measures", "oracle_sql", "published",
-           "queries", "rows", "sets", "streams"]
+           "queries", "rows", "sets", "stateful", "streams"]
