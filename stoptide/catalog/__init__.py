@@ -12,8 +12,10 @@ from . import (
     sets,
     stateful,
     streams,
+    summaries,
 )
 from .registry import oracle_sql, queries
 
 __all__ = ["documents", "expressions", "joins", "measures", "oracle_sql", "published",
-           "queries", "rows", "sets", "stateful", "streams"]
+           "queries", "rows", "sets", "stateful", "streams",
+           "summaries"]

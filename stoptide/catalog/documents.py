@@ -241,7 +241,31 @@ def _active_services(spark, sf):
     return timetable.active_services(calendar, exceptions, "20240110", order="line")
 
 
-def _coverage(spark, sf):
+# Ninety days: two words of bits.
+_FIRST, _LAST = "20231215", "20240313"
+
+
+@query("active_services_range", f"""
+WITH days AS (SELECT cast(d AS date) AS d FROM range(strptime('{_FIRST}', '%Y%m%d'),
+  strptime('{_LAST}', '%Y%m%d') + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)),
+exceptions AS (SELECT concat('V', user_id) AS service_id, cast(ts AS date) AS d,
+  arg_max(event_type, event_id) AS e FROM events GROUP BY 1, 2),
+weekly AS (SELECT concat('V', p_partkey) AS service_id, d FROM part, days
+  WHERE strftime(d, '%Y%m%d') BETWEEN printf('202401%02d', p_partkey % 15 + 1)
+    AND printf('202401%02d', p_partkey % 16 + 15) AND (p_partkey + isodow(d) - 1) % 3 = 0)
+SELECT service_id, strftime(d, '%Y%m%d') AS date FROM (
+  SELECT * FROM weekly ANTI JOIN exceptions USING (service_id, d)
+  UNION ALL SELECT service_id, d FROM exceptions SEMI JOIN days USING (d)
+  WHERE e IN ('click', 'view'))
+""")
+def _active_services_range(spark, sf):
+    """Every day of a quarter at once, from bit sets per service."""
+    calendar, exceptions = _calendar(spark, sf)
+    return timetable.running_days(
+        timetable.service_days(calendar, exceptions, _FIRST, _LAST, order="line"), _FIRST)
+
+
+def _timetable(spark, sf):
     trips, routes, _ = timetable_tables(spark, sf)
     calendar, exceptions = _calendar(spark, sf)
     active = timetable.active_services(calendar, exceptions, "20240110", order="line")
@@ -253,7 +277,11 @@ def _coverage(spark, sf):
         F.lit("").alias("arrival_time")))
     in_feed = lines.filter("l_returnflag = 'R'").select(
         F.col("l_orderkey").cast("string").alias("trip_id"))
-    return timetable.trip_coverage(trips, routes, spans, active, in_feed, F.lit("15:30:00"))
+    return trips, routes, spans, active, in_feed
+
+
+def _coverage(spark, sf):
+    return timetable.trip_coverage(*_timetable(spark, sf), F.lit("15:30:00"))
 
 
 _COVERAGE = f"""
@@ -296,6 +324,27 @@ def _coverage_by_agency(spark, sf):
     return timetable.running_by_agency(_coverage(spark, sf), agency)
 
 
+@query("coverage_by_minute", _COVERAGE.rpartition("coverage AS (")[0] + """
+minutes AS (SELECT printf('%02d:%02d', m // 60, m % 60) AS minute FROM range(1440) t(m)),
+known AS (SELECT coalesce(lo, '') AS lo, coalesce(hi, '') AS hi,
+    o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AS covered
+  FROM orders LEFT JOIN spans ON l_orderkey = o_orderkey
+  WHERE concat('V', o_orderkey % 200) IN (SELECT service_id FROM active)),
+states AS (SELECT minute, covered, CASE WHEN minute || ':00' BETWEEN lo AND hi THEN 'running'
+    WHEN lo > minute || ':00' THEN 'not yet started' ELSE 'already finished' END AS state
+  FROM minutes, known),
+grid AS (SELECT minute, unnest(['running', 'not yet started', 'already finished']) AS state
+  FROM minutes)
+SELECT g.minute, g.state, cast(count(*) FILTER (WHERE covered) AS bigint) AS covered,
+  count(s.state) AS total
+FROM grid g LEFT JOIN states s ON s.minute = g.minute AND s.state = g.state
+GROUP BY g.minute, g.state
+""")
+def _coverage_by_minute(spark, sf):
+    """Coverage by state at each of 1,440 minutes, from one pass over the trips."""
+    return timetable.coverage_by_minute(timetable.active_trips(*_timetable(spark, sf)))
+
+
 @query("src_gtfs_static", """
 SELECT service_id, date, exception_type, count(*) AS n FROM (
   SELECT concat('V', user_id) AS service_id, strftime(ts, '%Y%m%d') AS date,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import share
@@ -38,6 +38,71 @@ def active_services(calendar: DataFrame, exceptions: DataFrame, date: str,
     return merged.filter(runs).select("service_id")
 
 
+def service_days(calendar: DataFrame, exceptions: DataFrame, first: str, last: str,
+                 order: str | None = None) -> DataFrame:
+    """(service_id, w0, w1, …): the days from `first` to `last` (YYYYMMDD) as bits, 64 a word.
+
+    The weekly calendar sets bits by weekday and range; dated exceptions are masks, of which the
+    last one of a service and day counts. `active_services` for every day, from one pass over
+    each table.
+    """
+    start = datetime.datetime.strptime(first, "%Y%m%d").date()
+    days = [start + datetime.timedelta(days=i) for i in range(
+        (datetime.datetime.strptime(last, "%Y%m%d").date() - start).days + 1)]
+    words = [days[i:i + 64] for i in range(0, len(days), 64)]
+
+    def weekly(part: list[datetime.date]) -> Column:
+        """Days of the word on which the service runs by its weekdays, within its range."""
+        out = F.lit(0).cast("long")
+        for i, day in enumerate(part):
+            text = day.strftime("%Y%m%d")
+            on = (F.col(WEEKDAYS[day.weekday()]) == "1") & (F.col("start_date") <= text) \
+                & (F.col("end_date") >= text)
+            out = out.bitwiseOR(F.when(on, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(0))
+        return out
+
+    base = calendar.groupBy("service_id").agg(*[
+        F.bit_or(weekly(part)).alias(f"base{k}") for k, part in enumerate(words)])
+    number = F.date_diff(F.try_to_timestamp("date", F.lit("yyyyMMdd")).cast("date"),
+                         F.lit(start))
+    line = (F.col(order) if order else F.monotonically_increasing_id()).cast("long")
+    dated = exceptions.filter(F.col("date").between(first, last)).select(
+        "service_id", number.alias("day"), "exception_type", line.alias("line"),
+    ).filter("day IS NOT NULL").groupBy("service_id", "day").agg(
+        F.max_by("exception_type", "line").alias("kind"))
+    bit = F.expr("shiftleft(1L, cast(pmod(day, 64) AS INT))")
+    here = F.floor(F.col("day") / 64)
+    masks = dated.groupBy("service_id").agg(*[
+        F.bit_or(F.when((here == k) & kept, bit).otherwise(0)).alias(f"{name}{k}")
+        for k in range(len(words))
+        for name, kept in (("told", F.col("kind").isNotNull()), ("added", F.col("kind") == SERVICE_ADDED))])
+    both = base.join(masks, "service_id", "full")
+
+    def bits(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0).cast("long"))
+
+    return both.select("service_id", *[
+        bits(f"base{k}").bitwiseAND(F.bitwise_not(bits(f"told{k}")))
+        .bitwiseOR(bits(f"added{k}")).alias(f"w{k}") for k in range(len(words))])
+
+
+def runs_on(first: str, date: str) -> Column:
+    """Whether a service of `service_days` from `first` on runs on `date`."""
+    start, day = (datetime.datetime.strptime(d, "%Y%m%d") for d in (first, date))
+    word, i = divmod((day - start).days, 64)
+    return F.getbit(F.col(f"w{word}"), F.lit(i)) == 1
+
+
+def running_days(days: DataFrame, first: str) -> DataFrame:
+    """(service_id, date YYYYMMDD) from the bits of `service_days`."""
+    words = [c for c in days.columns if c != "service_id"]
+    start = F.lit(datetime.datetime.strptime(first, "%Y%m%d").date())
+    places = F.filter(F.sequence(F.lit(0), F.lit(64 * len(words) - 1)), lambda i: F.getbit(
+        F.element_at(F.array(*words), (F.floor(i / 64) + 1).cast("int")), i % 64) == 1)
+    return days.select("service_id", F.explode(places).alias("i")).select(
+        "service_id", F.date_format(F.date_add(start, F.col("i")), "yyyyMMdd").alias("date"))
+
+
 def trip_time_spans(stop_times: DataFrame) -> DataFrame:
     """First and last time of each trip as HH:MM:SS text; stops without a time are skipped."""
     moment = F.coalesce(F.nullif(F.col("departure_time"), F.lit("")),
@@ -117,6 +182,71 @@ def trip_coverage(trips: DataFrame, routes: DataFrame, spans: DataFrame, active:
     )
 
 
+def active_trips(trips: DataFrame, routes: DataFrame, spans: DataFrame, active: DataFrame,
+                 feed_ids: DataFrame) -> DataFrame:
+    """Active trips with their agency, first and last time, and whether the feed carries them."""
+    seen = feed_ids.select("trip_id").distinct().withColumn("covered", F.lit(True))
+    return (
+        trips.join(active, "service_id", "left_semi")
+        .join(routes.select("route_id", "agency_id"), "route_id")
+        .join(spans, "trip_id", "left").join(seen, "trip_id", "left")
+        .select("trip_id", "agency_id", "first_time", "last_time",
+                F.coalesce("covered", F.lit(False)).alias("covered"))
+    )
+
+
+# Minutes of a day; a text that is a time, which compares as its number does.
+MINUTES = 1440
+_TIME = r"^\d\d:[0-5]\d:[0-5]\d$"
+
+
+def _minutes_below(text: Column, inclusive: bool) -> Column:
+    """How many full minutes of the day (HH:MM:00) are before the text, or not after it."""
+    times = F.transform(F.sequence(F.lit(0), F.lit(MINUTES - 1)), lambda m: F.format_string(
+        "%02d:%02d:00", F.floor(m / 60).cast("int"), m % 60))
+    odd = F.size(F.filter(times, lambda t: (t <= text) if inclusive else (t < text)))
+    seconds = _seconds(text)
+    number = F.floor(seconds / 60) + 1 if inclusive else F.ceil(seconds / 60)
+    return F.when(text.rlike(_TIME), F.least(number, F.lit(MINUTES))).otherwise(odd).cast("int")
+
+
+def coverage_by_minute(active: DataFrame) -> DataFrame:
+    """(minute, state, covered, total) for each minute of the day: `trip_state` and coverage.
+
+    A sweep over `active_trips`: a trip enters the states and leaves them at minutes that its
+    times tell, so it is a few +1 and -1 events; the states at a minute are the running totals
+    up to it. One pass over the trips and one sum per event minute, at most 1,441 a state; then
+    the totals are taken along the day. Times compare as text, as in `trip_state`.
+    """
+    lo, hi = F.coalesce("first_time", F.lit("")), F.coalesce("last_time", F.lit(""))
+    begin, end = _minutes_below(lo, False), _minutes_below(hi, True)
+    known = active.select("covered", begin.alias("b"), end.alias("e"))
+
+    def event(minute, state: str, by: int) -> Column:
+        return F.struct(minute.cast("int").alias("m"), F.lit(state).alias("state"),
+                        F.lit(by).alias("by"))
+
+    zero, b, e = F.lit(0), F.col("b"), F.col("e")
+    ends = F.greatest(b, e)                      # a trip that ends before it begins never runs
+    events = F.array(
+        event(zero, "not yet started", 1), event(b, "not yet started", -1),
+        event(b, "running", 1), event(ends, "running", -1),
+        event(ends, "already finished", 1))
+    sums = known.select("covered", F.explode(events).alias("x")).groupBy(
+        F.col("x.m").alias("m"), F.col("x.state").alias("state")).agg(
+        F.sum(F.when(F.col("covered"), F.col("x.by")).otherwise(0)).alias("covered"),
+        F.sum("x.by").alias("total"))
+    states = F.array(*map(F.lit, ("not yet started", "running", "already finished")))
+    grid = active.sparkSession.range(MINUTES).select(
+        F.col("id").cast("int").alias("m"), F.explode(states).alias("state"))
+    along = Window.partitionBy("state").orderBy("m").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return grid.join(sums, ["m", "state"], "left").select(
+        F.format_string("%02d:%02d", F.floor(F.col("m") / 60).cast("int"), F.col("m") % 60)
+        .alias("minute"), "state",
+        *[F.sum(F.coalesce(c, F.lit(0))).over(along).alias(c) for c in ("covered", "total")])
+
+
 def coverage_by_state(coverage: DataFrame, agency_id: str) -> DataFrame:
     """Covered and all trips per state, for all agencies and for one."""
     one = F.coalesce(F.col("agency_id") == agency_id, F.lit(False))
