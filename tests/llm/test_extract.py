@@ -97,3 +97,72 @@ def test_rows(spark):
     assert [r["main_text"] for r in found[:4]] == ["", "", PARAGRAPH, PARAGRAPH]
     assert found[4]["main_text"].count("\n") == 19999
     assert extract.extract(df.limit(0)).count() == 0
+
+
+WRAPPERS = ['<div class="page with-sidebar">{}</div>', '<div class="layout no-sidebar">{}</div>',
+            '<div class="post has-comments">{}</div>', '<div class="content widget-area">{}</div>',
+            '<div class="hentry share-enabled">{}</div>']
+COMMENT = "<div class=comments><p>I have read all of this, and it is what they say in the news.</p></div>"
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("article", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_names_of_wrappers_do_not_empty_a_page(wrapper, article):
+    for text in (PARAGRAPH, f"{PARAGRAPH}</p><p>{PARAGRAPH}"):
+        inner = article.format(f"<p>{text}</p>")
+        want = text.replace("</p><p>", "\n")
+        for page in (wrapper.format(inner), wrapper.format(inner) + COMMENT,
+                     wrapper.format(inner + COMMENT), f"<div class=ad>Buy it.</div>"
+                     + wrapper.format(wrapper.format(inner))):
+            assert extract.main_text(f"<body><nav>menu</nav>{page}</body>") == want
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_names_on_the_article_itself(wrapper):
+    page = wrapper.replace("div", "article").format(f"<p>{PARAGRAPH}</p>{COMMENT}")
+    assert extract.main_text(f"<body>{page}</body>") == PARAGRAPH
+
+
+FOREIGN = [
+    "Сегодня мы расскажем о том, как в этом году изменилась погода на юге страны и что об этом "
+    "думают люди, которые там живут.",
+    "Hoje vamos falar do que mudou no tempo este ano no sul do país e do que as pessoas que lá "
+    "vivem pensam de tudo isso, e não só.",
+    "今天我们来谈谈今年南方的天气变化，以及生活在那里的人们的看法。他们说，雨水比往年多了很多，而且冬天也更加寒冷，"
+    "大家都很担心今年的收成会不会受到影响，同时也希望来年能够好起来。"]
+
+
+@pytest.mark.parametrize("text", FOREIGN)
+def test_other_languages(text):
+    linked = "".join(f"<li><a href=/{i}>{text[i:i + 9]}</a></li>" for i in range(9))
+    page = f"<body><ul>{linked}</ul><h1>T</h1><p>{text}</p><p>{text}</p><footer>{text}</footer>"
+    assert extract.main_text(page) == f"T\n{text}\n{text}"
+
+
+def test_labels_decide_without_an_article(monkeypatch):
+    menu = "Home Products Services Company Contact Imprint Careers Partners Downloads Support"
+    page = f"<body><div>{menu}</div><div><p>{PARAGRAPH}</p></div><div>{menu}</div></body>"
+    assert extract.main_text(page) == PARAGRAPH
+    monkeypatch.setattr(extract, "label", lambda found: [setattr(b, "good", True) for b in found])
+    assert extract.main_text(page) == f"{menu}\n{PARAGRAPH}\n{menu}"
+
+
+def test_lists_between_paragraphs_and_pages_without_sentences():
+    names = "Alpha | Bravo | Charlie | Delta | Echo | Foxtrot | Golf | Hotel | India | Juliett"
+    page = f"<body><div><h1>Names</h1><p>{PARAGRAPH}</p><p>{names}</p></div><div>{names}</div>"
+    assert extract.main_text(page) == f"Names\n{PARAGRAPH}\n{names}"
+    page = f"<body><ul><li><a href=x>menu</a></ul><div><h1>Names</h1><p>{names}</p></div>"
+    assert extract.main_text(page) == f"Names\n{names}"
+
+
+def test_pages_without_their_article_element():
+    pages = pq.read_table(PAGES, columns=["html"]).to_pydict()["html"]
+    renamed = [re.sub(r"<(/?)article", r"<\1div", p) for p in pages]
+    alike = [extract.main_text(a) == extract.main_text(b) for a, b in zip(pages, renamed,
+                                                                          strict=True)]
+    assert sum(alike) >= 0.95 * len(alike)
+
+
+def test_deep_pages_take_linear_time():
+    for given in ("", " class=ad"):
+        extract.main_text(f"<div{given}>" * 60_000 + "<i>x</i>" * 60_000)   # else minutes
