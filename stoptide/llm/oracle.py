@@ -80,22 +80,71 @@ def _split(url: str) -> str:
             f" AS host, regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path")
 
 
+_TAG_END = r"""(?:[^>"'']|"[^"]*"|''[^'']*'')*>"""
+_RAW = "|".join(rf"<{t}\b{_TAG_END}.*?(?:</{t}\b[^>]*>|\z)" for t in (
+    "script", "style", "textarea", "title", "noscript", "iframe", "template"))
+_SCHEME = "[A-Za-z][A-Za-z0-9+.-]*:"
+_ROOT = f"(?s)^({_SCHEME})(//[^/?]*)([^?]*)"
+_URL = f"(?s)^({_SCHEME}//)((?:[^/?]*@)?)([^/?]*)([^?]*)(.*)$"
+
+
+def _decoded(value: str) -> str:
+    """Character references that the pages may hold, `&` last."""
+    for name, letter in (("&eacute;", "é"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
+                         ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")):
+        value = f"replace({value}, '{name}', '{letter}')"
+    return rf"regexp_replace({value}, '^[ \t\n\f\r]+|[ \t\n\f\r]+$', '', 'g')"
+
+
+def _resolved(target: str, base: str) -> str:
+    """RFC 3986, without dot segments."""
+    part = {k: f"regexp_extract({base}, '{_ROOT}', {k})" for k in (1, 2, 3)}
+    return f"""CASE WHEN regexp_matches({target}, '^{_SCHEME}//') THEN {target}
+  WHEN regexp_matches({target}, '^{_SCHEME}') OR NOT regexp_matches({base}, '{_ROOT}') THEN NULL
+  WHEN starts_with({target}, '//') THEN {part[1]} || {target}
+  WHEN starts_with({target}, '/') THEN {part[1]} || {part[2]} || {target}
+  WHEN starts_with({target}, '?') THEN {part[1]} || {part[2]} || {part[3]} || {target}
+  WHEN starts_with({target}, '#') THEN {base}
+  ELSE {part[1]} || {part[2]} || coalesce(nullif(regexp_extract({part[3]}, '(?s)^(.*/)', 1), ''),
+    '/') || {target} END"""
+
+
+def _alias(url: str) -> str:
+    """Without fragment; scheme and host in lower case, dot segments resolved."""
+    bare = f"regexp_replace({url}, '(?s)#.*$', '')"
+    part = {k: f"regexp_extract({bare}, '{_URL}', {k})" for k in range(1, 6)}
+    path = rf"regexp_replace({part[4]}, '/(\.\.?)$', '/\1/')"
+    dots = f"""list_reduce(string_split({path}, '/'), lambda x, y: CASE y WHEN '.' THEN x
+    WHEN '..' THEN regexp_replace(x, '/[^/]*$', '') ELSE x || '/' || y END)"""
+    return f"""CASE WHEN regexp_matches({bare}, '{_URL}') THEN
+  translate({part[1]}, '{_UPPER}', '{_LOWER}') || {part[2]}
+  || translate({part[3]}, '{_UPPER}', '{_LOWER}') || {dots} || {part[5]} ELSE {bare} END"""
+
+
 OP9 = f"""
 WITH RECURSIVE rules AS (SELECT * FROM (VALUES {_RULES}) t(h, s, v)),
-tags AS (SELECT url AS a, unnest(regexp_extract_all(coalesce(html, ''),
-  '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL),
-targets AS (SELECT a, trim(replace(CASE
-  WHEN regexp_matches(lower({_attribute("rel")}), '(^|\\s)canonical(\\s|$)')
-    THEN {_attribute("href")}
-  WHEN lower({_attribute("http-equiv")}) = 'refresh'
-    THEN regexp_extract({_attribute("content")}, '(?i)url\\s*=\\s*[''"]?([^''"]+)', 1)
-  END, '&amp;', '&')) AS t FROM tags),
-named AS (SELECT a, CASE WHEN contains(t, '://') THEN t
-  WHEN starts_with(t, '//') THEN regexp_extract(a, '(?s)^(.*?:)//', 1) || t
-  WHEN starts_with(t, '/') THEN regexp_extract(a, '(?s)^(.*?://[^/?#]*)', 1) || t END AS b
-  FROM targets),
-links AS (SELECT regexp_replace(a, '(?s)#.*$', '') AS a, regexp_replace(b, '(?s)#.*$', '') AS b
-  FROM named WHERE b <> ''),
+clean AS (SELECT DISTINCT url AS a, regexp_replace(html, '(?is)<!--.*?(?:-->|\\z)|{_RAW}', ' ', 'g')
+  AS page FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+every AS (SELECT a, list_filter(regexp_extract_all(page, '(?is)</?[a-z]{_TAG_END}'),
+  lambda tag: regexp_matches(tag, '(?i)^<(link|meta|base)[\\s/>]')) AS tags FROM clean),
+based AS (SELECT a, tags, regexp_replace(a, '(?s)#.*$', '') AS own, list_filter(list_transform(
+  list_filter(tags, lambda tag: regexp_matches(tag, '(?i)^<base')), lambda tag:
+  {_decoded(_attribute("href"))}), lambda x: x <> '')[1] AS given FROM every),
+rooted AS (SELECT a, tags, coalesce(regexp_replace({_resolved("given", "own")}, '(?s)#.*$', ''),
+  own) AS root FROM based),
+tags AS (SELECT a, root, unnest(tags) AS tag FROM rooted),
+targets AS (SELECT a, root, CASE
+  WHEN regexp_matches(tag, '(?i)^<link')
+    AND regexp_matches(lower({_decoded(_attribute("rel"))}), '(^|\\s)canonical(\\s|$)')
+    THEN {_decoded(_attribute("href"))}
+  WHEN regexp_matches(tag, '(?i)^<meta')
+    AND lower({_decoded(_attribute("http-equiv"))}) = 'refresh'
+    THEN {_decoded(" || ".join(
+        "regexp_extract(" + _decoded(_attribute("content")) + ", '(?is)^\\s*[\\d.]+\\s*[;,\\s]\\s*"
+        "(?:url\\s*=\\s*)?(?:\"([^\"]*)|''([^'']*)|(.*))', " + str(k) + ")" for k in (1, 2, 3)))}
+  END AS t FROM tags),
+named AS (SELECT a, {_resolved("t", "root")} AS b FROM targets WHERE t <> ''),
+links AS (SELECT {_alias("a")} AS a, {_alias("b")} AS b FROM named WHERE b <> ''),
 both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT a, b FROM both_ways UNION
   SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
@@ -111,7 +160,7 @@ best AS (SELECT page_id, arg_max(h || s, length(h || s)) AS rule, arg_max(v, len
   GROUP BY page_id)
 SELECT own.page_id, host, path, rule, coalesce(best.v, spread.v, 'allow') AS verdict
 FROM own LEFT JOIN best USING (page_id)
-  LEFT JOIN spread ON spread.a = regexp_replace(url, '(?s)#.*$', '')
+  LEFT JOIN spread ON spread.a = {_alias("url")}
 """
 
 OP10 = """

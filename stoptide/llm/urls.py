@@ -8,6 +8,7 @@ block blocks them.
 
 from __future__ import annotations
 
+import html as entities
 import re
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .extract import RAW, _attributes, _tag_stop
 
 # (host, path, verdict): the rules of the registered query (fixed values).
 RULES = [
@@ -25,8 +27,9 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ATTRIBUTE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-LINK = r"(?is)<(?:link|meta|base)\b[^>]*>"
+_MARKUP = re.compile(r"<(?:(!--)|([a-zA-Z][^\s/>]*))")
+# the time of a refresh, then its target, with or without `url=` and quotes
+_REFRESH = re.compile(r"""(?is)\s*[\d.]+\s*[;,\s]\s*(?:url\s*=\s*)?(?:"([^"]*)|'([^']*)|(.*))""")
 _SCHEME = "[A-Za-z][A-Za-z0-9+.-]*:"
 # scheme, user, host, path, query of a url without fragment
 _PARTS = rf"(?s)^({_SCHEME}//)((?:[^/?]*@)?)([^/?]*)([^?]*)(.*)$"
@@ -57,6 +60,45 @@ def rule(host_: Column, path_: Column, rules: list[tuple[str, str, str]]) -> Col
     return out
 
 
+def named_urls(page: str, own: str) -> list[str]:
+    """What the canonical links and refreshes of a page name, resolved, in page order.
+
+    The first `<base href>`, wherever it stands, is what relative targets are resolved against.
+    Character references are decoded; comments and the texts of scripts, styles and the like hold
+    no tags.
+    """
+    base, targets, at = None, [], 0
+    while m := _MARKUP.search(page, at):
+        if m[1]:
+            stop = page.find("-->", m.end())
+            if stop < 0:
+                break
+            at = stop + 3
+            continue
+        stop, tag = _tag_stop(page, m.end()), m[2].lower()
+        if stop < 0:                                            # cut off
+            break
+        at = stop + 1
+        if tag in ("link", "meta", "base"):
+            given = {k: entities.unescape(v).strip(_BLANK) for k, v in
+                     _attributes(page[m.end():stop]).items()}
+            if tag == "base":
+                base = base or given.get("href")
+            elif tag == "link" and "canonical" in given.get("rel", "").lower().split():
+                targets.append(given.get("href", ""))
+            elif tag == "meta" and given.get("http-equiv", "").lower() == "refresh":
+                found = _REFRESH.match(given.get("content", ""))
+                if found:
+                    targets.append((found[1] or found[2] or found[3] or "").strip(_BLANK))
+        elif tag in RAW and page[stop - 1] != "/":
+            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if end is None:
+                break
+            at = end.end()
+    root = own if base is None else resolve(base, own) or own
+    return [x for x in (resolve(t, root) for t in targets if t) if x]
+
+
 def declared_links(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (a, b) from a page's url to what its canonical link or refresh names.
 
@@ -64,35 +106,18 @@ def declared_links(df: DataFrame, url: str = "url", html: str = "html") -> DataF
     page's url, or else against that url. Empty targets and those that `resolve` gives no url
     are left out. Both ends are in the form of `alias_of`.
     """
-    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(LINK), F.lit(0))
-    is_base = lambda x: x.rlike(r"(?i)^<base")
-    pages = df.where(F.col(url).isNotNull()).select(F.col(url).alias("a"), tags.alias("tags"))
-
-    def attribute(name: str, tag: Column) -> Column:
-        found = [F.regexp_extract(tag, rf"(?is)[\s\"']{name}{_ATTRIBUTE}", k)
-                 for k in (1, 2, 3)]
-        return F.trim(F.replace(F.concat(*found), F.lit("&amp;"), F.lit("&")), F.lit(_BLANK))
-
-    bases = F.filter(F.transform(F.filter("tags", is_base), lambda x: attribute("href", x)),
-                     lambda x: x != "")
-    each = pages.select("a", F.get(bases, F.lit(0)).alias("base"), F.explode(
-        F.filter("tags", lambda x: ~is_base(x))).alias("tag"))
-    tag = F.col("tag")
-    canonical = F.when(F.lower(attribute("rel", tag)).rlike(r"(^|\s)canonical(\s|$)"),
-                       attribute("href", tag))
-    refresh = F.when(F.lower(attribute("http-equiv", tag)) == "refresh", F.trim(F.regexp_extract(
-        attribute("content", tag), r"(?i)url\s*=\s*['\"]?([^'\"]+)", 1), F.lit(_BLANK)))
-    targets = each.select("a", "base", F.coalesce(canonical, refresh).alias("target")).where(
-        "target <> ''")
-
-    def run(names: pa.Array, given: pa.Array, own: pa.Array) -> pa.Array:
-        return pa.array([resolve(t, x if y is None else resolve(y, x) or x) for t, y, x in zip(
-            names.to_pylist(), given.to_pylist(), own.to_pylist(), strict=True)], pa.string())
-
-    # a function that is evaluated once: as an expression the base would be repeated many times
-    found = targets.select("a", common.column(run, "string")("target", "base", "a").alias("b"))
+    may_name = F.col(html).rlike("(?i)canonical|refresh|&#")    # most pages hold none
+    pages = df.where(F.col(url).isNotNull() & may_name).select(
+        F.col(url).alias("a"), F.col(html).alias("page"))
+
+    def run(texts: pa.Array, own: pa.Array) -> pa.Array:
+        return pa.array([named_urls(t.as_py(), o.as_py())
+                         for t, o in zip(texts, own, strict=True)], pa.list_(pa.string()))
+
+    found = pages.select("a", F.explode(common.column(run, "array<string>")("page", "a"))
+                         .alias("b"))
     return found.select(alias_of(F.col("a")).alias("a"), alias_of(F.col("b")).alias("b")).where(
-        "b IS NOT NULL AND b <> '' AND a <> b")
+        "b <> '' AND a <> b")
 
 
 def resolve(target: str, base: str) -> str | None:

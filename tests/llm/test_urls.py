@@ -102,3 +102,60 @@ def test_redirect_table_and_empty_input(spark, html):
     (row,) = urls.judge(df, redirects=pairs, html=html).collect()
     assert row["verdict"] == "block"
     assert urls.judge(df.limit(0), redirects=pairs, html=html).count() == 0
+
+
+NAMED = [            # (markup, what it names on http://o.example/d/p)
+    ("<link rel=canonical href='http://b.net/p?a=1&#38;b=2'>", ["http://b.net/p?a=1&b=2"]),
+    ("<link rel=canonical href='http://b.net/p?a=1&#x26;b&amp;c'>", ["http://b.net/p?a=1&b&c"]),
+    ("<link rel=canonical href='caf&eacute;'>", ["http://o.example/d/café"]),
+    ("<meta http-equiv=refresh content='0; http://b.net/x'>", ["http://b.net/x"]),
+    ("<meta http-equiv=refresh content='3;http://b.net/x'>", ["http://b.net/x"]),
+    ("<meta http-equiv=refresh content='0;URL=\"/x\" '>", ["http://o.example/x"]),
+    ("<meta http-equiv=refresh content=\"1.5, url = 'x y' rest\">", ["http://o.example/d/x y"]),
+    ("<meta http-equiv=refresh content='30'><meta http-equiv=refresh content='http://b.net/'>", []),
+    ("<link title='a>b' rel='nofollow Canonical' href=/x>", ["http://o.example/x"]),
+    ("<script>var t = \"<link rel=canonical href=/x>\";</script>", []),
+    ("<!-- <link rel=canonical href=/x> --><style><link rel=canonical href=/y></style>", []),
+    ("<noscript><meta http-equiv=refresh content='0;/n'></noscript>", []),
+    ("<p title='<link rel=canonical href=/x>'>", []),
+    ("<script src=x><link rel=canonical href=/x>", []),
+    ("<!-- <link rel=canonical href=/x>", []),
+    ("<link rel=canonical href=/x", []),
+    ("<link rel=canonical><link rel=alternate href=/x><link rel=canonicals href=/x>", []),
+    ("<link rel=canonical href=x><base href=http://h.example/y/z>", ["http://h.example/y/x"]),
+]
+
+
+@pytest.mark.parametrize(("markup", "want"), NAMED)
+def test_named_urls(markup, want):
+    assert urls.named_urls(markup, "http://o.example/d/p") == want
+
+
+def test_planted_pages_against_the_sql(spark):
+    """Each form of a link, to a page of its own that a rule blocks, allows or leaves."""
+    import duckdb
+    import pyarrow as pa
+
+    from stoptide.llm.oracle import OP9
+
+    rows = []
+    for k, (markup, _) in enumerate(NAMED):
+        for n, host in enumerate(("a.net/fr", "b.com/d", "c.org/d")):
+            page = markup.replace("http://b.net", f"http://{host}{k}")
+            rows.append((len(rows), f"http://p{k}.{n}.org/d/p", page))
+    for k, target in enumerate(RESOLVED):
+        rows.append((len(rows), f"http://q{k}.org/a/b/c;p?q=1#f", link(target)))
+    for k, path in enumerate(("/a/b/g", "/a/g", "/g", "/a/b/", "/", "/a/b/c;p?y")):
+        rows.append((len(rows), f"http://r{k}.org{path}", link("http://x.net/es/1")))
+        rows.append((len(rows), f"http://r{k}.org/a/b/x", link(
+            ["g", "../g", "../../../g", ".", "../..", "c;p?y"][k])))
+    rows += [(len(rows) + r[0], *r[1:]) for r in ROWS]
+    pages = pa.Table.from_pylist([dict(zip(("page_id", "url", "html"), r, strict=True))
+                                  for r in rows])
+    con = duckdb.connect()
+    con.register("pages", pages)
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({OP9})").fetchall()
+    found = urls.judge(spark.createDataFrame(rows, KIND)).select(*names).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+    assert sum(v == "block" for *_, v in want) > 8
