@@ -188,8 +188,9 @@ def _merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, text: str, item_id: str, limit: int):
-    """Lists of (item, text) of about `limit` bytes at most; longer texts are cut, overlapping.
+def item_blocks(benchmark: DataFrame, text: str, item_id: str, limit: int, window: int = WINDOW):
+    """Lists of (item, text) of about `limit` bytes at most; longer texts are cut, overlapping
+    by all but one word of a window.
 
     Sizes are added up by Spark first, so that each collected list is bounded. Repeated pairs
     are dropped before, as all copies would fall into one list.
@@ -207,12 +208,12 @@ def item_blocks(benchmark: DataFrame, text: str, item_id: str, limit: int):
                 starts, ends, _ = words(np.frombuffer(raw, np.uint8))
                 a = 0
                 while a < len(starts):
-                    b = max(a + WINDOW, int(np.searchsorted(starts, starts[a] + cut)))
+                    b = max(a + window, int(np.searchsorted(starts, starts[a] + cut)))
                     b = min(b, len(starts))
                     yield item, raw[starts[a]:ends[b - 1]].decode()
                     if b == len(starts):
                         break
-                    a = b - WINDOW + 1
+                    a = b - window + 1
 
     def run(batches):
         for item, value in parts(batches):
@@ -240,7 +241,8 @@ def scan(df: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: st
     A column of the result's name is replaced, all others are kept.
     """
     kind = "struct<n_words:long,n_hit:long,spans:array<array<long>>,items:array<string>>"
-    for k, items in enumerate(item_blocks(benchmark, bench_text, item_id, block_bytes)):
+    for k, items in enumerate(
+            item_blocks(benchmark, bench_text, item_id, block_bytes, window)):
         shared = df.sparkSession.sparkContext.broadcast(items)
         if k > 1:
             df = common.store(df, "scan")       # one table in a task at a time
