@@ -103,3 +103,12 @@ def test_rule_of_a_twentieth(spark, docs):
     out = decontaminate.scan(docs(rows), bench)
     out = out.select("doc_id", decontaminate.contaminated(out["scan"]).alias("c")).collect()
     assert {r["doc_id"]: r["c"] for r in out} == {75: True, 76: True, 77: False}
+
+
+def test_long_items_are_cut_for_other_windows(spark, docs):
+    text = " ".join(f"w{i}" for i in range(600))
+    bench = spark.createDataFrame([("1", text)], "item_id STRING, text STRING")
+    words = text.split()
+    rows = [(i, " ".join(words[i:i + 20]), "en", "s") for i in range(581)]
+    out = decontaminate.scan(docs(rows), bench, window=20, block_bytes=4096)
+    assert {r["scan"]["n_hit"] for r in out.select("scan").collect()} == {20}
