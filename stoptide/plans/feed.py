@@ -94,13 +94,20 @@ def alert_profile(alerts: DataFrame, top_values: int = TOP_VALUES,
         .groupBy(F.col("i.section").alias("section"), F.col("i.label").alias("label"))
         .agg(F.sum("i.times").alias("n"), F.count(F.lit(1)).alias("total"))
     )
+    # Presence and selectors have a few labels each and are listed whole. The others are ranked
+    # behind a plain limit, which every task applies before the shuffle, so that no task meets
+    # all different texts.
+    few = F.col("section").isin("presence", "selector")
     rank = F.row_number().over(
         Window.partitionBy("section").orderBy(F.col("n").desc(), F.col("label")))
+    ranked = counts.filter(~few).withColumn("rank", rank).filter(
+        F.col("rank") <= max(top_values, top_texts))
     most = F.when(F.col("section") == "text", top_texts).otherwise(top_values)
-    uncut = F.col("section").isin("presence", "selector")
-    listed = counts.withColumn("rank", rank).filter(uncut | (F.col("rank") <= most)).select(
+    listed = counts.filter(few).select(
         "section", "label", "n",
-        F.when(F.col("section") == "presence", share(F.col("n"), F.col("total"))).alias("pct"))
+        F.when(F.col("section") == "presence", share(F.col("n"), F.col("total"))).alias("pct")
+    ).unionByName(ranked.filter(F.col("rank") <= most).select(
+        "section", "label", "n", F.lit(None).cast("double").alias("pct")))
     different = counts.filter("section = 'text'").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("distinct_texts").alias("section"), F.lit("").alias("label"), "n",
         F.lit(None).cast("double").alias("pct"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -104,3 +104,19 @@ def station_dimension(spark: SparkSession, path: str) -> DataFrame:
 
 def segment_geometry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.SEGMENT_GEOMETRY).json(path)
+
+
+def stored_order(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """The rows of `sinks.write_ordered` with their place, from 1.
+
+    A row knows its place in its file; the rows of the files before it are added, a number per
+    file. Nothing is sorted again.
+    """
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"))
+    order = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    return rows.join(before, "_file").withColumn(
+        position, F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")

@@ -54,6 +54,11 @@ def overwrite_path(df: DataFrame, path: str, *, fmt: str = "parquet",
     writer.save(path)
 
 
+def write_ordered(df: DataFrame, path: str) -> None:
+    """Store rows in the order they have: `df` is sorted, and files and rows follow that order."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
 def append_jsonl_daily(observations: DataFrame, path: str, moment: str = "observed_at") -> None:
     """Append JSON lines under one directory per UTC day, NULL fields written out.
 

@@ -187,6 +187,21 @@ def test_rows_are_collapsed_before_the_shuffle_and_trips_sorted_once(spark):
     assert "Join" not in pairs
 
 
+def test_distinct_counts_do_not_expand_the_pairs(spark):
+    other = T0 + dt.timedelta(days=1)
+    data = []
+    for trip, number, start in (("a", "1", T0), ("b", "1", other), ("c", None, other)):
+        for k, name in enumerate("AB", 1):
+            row = list(stop(trip, k, name, 1, 2, start=start))
+            row[7] = number
+            row[12], row[14] = (x + (start - T0) for x in (row[12], row[14]))
+            data.append(tuple(row))
+    pairs = gold.station_pair_table(stops_of(spark, *data))
+    assert "Expand" not in plan_text(pairs)
+    assert plan_text(pairs).count("Exchange hashpartitioning") == 3
+    assert rows(pairs, "direct_trains", "days_observed", "distinct_services") == [(3, 2, 1)]
+
+
 def test_stored_stops_are_read_without_a_shuffle(spark):
     stations = spark.createDataFrame(
         [(1, "A", "a", 1.0, 2.0, "stada", 1, "L", 5)],
