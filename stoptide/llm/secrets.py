@@ -2,8 +2,10 @@
 
 Base patterns find assignments, access keys and long hexadecimal strings. The method looks at
 the whole corpus: the values of all candidates, also of a wider token pattern, are counted by
-distinct owners. A value that many owners have is a copied example; a token that only one owner
-has looks like a live credential and is added, in however many of its repositories it is.
+distinct owners and by distinct repositories, where equal texts of an owner count once. A value
+that many owners have, or few owners in many repositories, is a copied example. A token that only
+one owner has looks like a live credential and is added, in however many of its repositories it
+is. What is left, a token in few repositories of few owners, is neither.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ KINDS = ("assign", "access", "hex", "live")
 ASSIGN_LENGTH = 12
 MOST_OWNERS = 1
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 5    # of more than one owner
+CHUNK = 64                  # matches whose places are found together
 _SPAN = "struct<s:int,k:int,e:int,v:string>"
 
 
@@ -32,24 +36,45 @@ def spans(text: Column, pattern: str, kind: int, group: int = 0, shortest: int =
     """Array of (start, kind, end, value) of the pattern's matches, in code points.
 
     Matches are found from left to right without overlap. Their places are the running lengths
-    of what lies between them and of the matches themselves.
+    of what lies between them and of the matches themselves. They are taken in chunks, first
+    within each, then from chunk to chunk, as an array that grows by single entries is copied
+    every time: so the time is linear in the matches.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.split(text, pattern, -1)
     zipped = F.arrays_zip(hits.alias("h"), values.alias("v"), gaps.alias("g"))
-    walked = F.aggregate(
-        zipped,
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["g"]) + F.coalesce(F.length(x["h"]), F.lit(0))).alias("at"),
-            F.when(F.length(x["v"]) >= shortest, F.concat(a["out"], F.array(F.struct(
-                (a["at"] + F.length(x["g"])).alias("s"), F.lit(kind).alias("k"),
-                (a["at"] + F.length(x["g"]) + F.length(x["h"])).alias("e"),
-                x["v"].alias("v"))))).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(
-        F.array().cast(f"array<{_SPAN}>"))
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def walked(chunk: Column) -> Column:
+        """(length of the chunk, its spans from its beginning)"""
+        return F.aggregate(
+            chunk, F.struct(F.lit(0).alias("at"), none.alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + F.length(x["g"]) + F.coalesce(F.length(x["h"]), F.lit(0))).alias("at"),
+                F.when(F.length(x["v"]) >= shortest, F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + F.length(x["g"])).alias("s"), F.lit(kind).alias("k"),
+                    (a["at"] + F.length(x["g"]) + F.length(x["h"])).alias("e"),
+                    x["v"].alias("v"))))).otherwise(a["out"]).alias("out")))
+
+    def chunks(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(CHUNK)),
+                           lambda i: walked(F.slice(all_, i, F.lit(CHUNK))))
+
+    def placed(parts: Column) -> Column:
+        """The spans of all chunks, each moved by the length of those before it."""
+        ends = F.aggregate(
+            parts, F.array(F.lit(0)),
+            lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + p["at"])))
+        return F.flatten(F.zip_with(
+            parts, F.slice(ends, F.lit(1), F.size(parts)), lambda p, at: F.transform(
+                p["out"], lambda x: F.struct(
+                    (x["s"] + at).alias("s"), x["k"].alias("k"), (x["e"] + at).alias("e"),
+                    x["v"].alias("v")))))
+
+    # each step is one element of an array, so that it is computed once and then read by name
+    once = F.flatten(F.transform(F.transform(F.array(zipped), chunks), placed))
+    return F.when(text.rlike(pattern), once).otherwise(none)
 
 
 def may_hold(text: Column) -> Column:
@@ -73,11 +98,12 @@ def label(found: Column) -> Column:
 
 def scan(df: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source",
          most_owners: int = MOST_OWNERS, example_owners: int = EXAMPLE_OWNERS,
-         row: str = "__row") -> DataFrame:
+         example_repositories: int = EXAMPLE_REPOSITORIES, row: str = "__row") -> DataFrame:
     """(__row, base, found, n_live, n_examples) of each distinct row.
 
     `base` holds the base spans and `found` those with the added ones; candidates are counted as
-    live (owner-specific) or as examples (of at least `example_owners` owners).
+    live (owner-specific) or as examples: of at least `example_owners` owners, or of more than
+    `most_owners` in at least `example_repositories` repositories.
 
     `__row` is a 128-bit key of repository, owner and text (`row_key`); rows that repeat have
     one result. Null texts have no spans; a null owner counts as one of its own.
@@ -85,22 +111,26 @@ def scan(df: DataFrame, text: str = "text", repository: str = "doc_id", owner: s
     rows = df.select(row_key(df, text, repository, owner).alias(row),
                      F.coalesce(F.col(text), F.lit("")).alias("text"),
                      F.col(owner).cast("string").alias("owner"))
+    # equal texts of an owner are one repository
     found = common.store(rows.select(
-        row, "owner", base_spans(F.col("text")).alias("base"),
+        row, "owner", F.xxhash64("text").alias("copy"), base_spans(F.col("text")).alias("base"),
         spans(F.col("text"), TOKEN, 3).alias("wide")), "secrets")
-    each = found.select(row, "owner", F.explode(F.concat(
+    each = found.select(row, "owner", "copy", F.explode(F.concat(
         F.transform("base", lambda x: x.withField("base", F.lit(True))),
         F.transform("wide", lambda x: x.withField("base", F.lit(False))))).alias("x")).select(
-            row, "owner", "x.*").withColumn("hash", F.xxhash64("v"))
-    # distinct owners: partial results before every shuffle
-    per_owner = each.select("hash", "owner").distinct()
-    stats = common.store(per_owner.groupBy("hash").agg(F.count("*").alias("owners")), "owners")
+            row, "owner", "copy", "x.*").withColumn("hash", F.xxhash64("v"))
+    # distinct repositories, then owners: partial results before every shuffle
+    per_owner = each.select("hash", "owner", "copy").distinct().groupBy("hash", "owner").agg(
+        F.count("*").alias("n"))
+    stats = common.store(per_owner.groupBy("hash").agg(
+        F.count("*").alias("owners"), F.sum("n").alias("repositories")), "owners")
     live = F.col("owners") <= most_owners
+    example = (F.col("owners") >= example_owners) | (
+        ~live & (F.col("repositories") >= example_repositories))
     judged = each.join(stats, "hash").groupBy(row).agg(
         F.collect_set(F.when(live & ~F.col("base"), F.struct("s", "k", "e", "v")))
         .alias("added"),
-        F.count_if(live).alias("n_live"),
-        F.count_if(F.col("owners") >= example_owners).alias("n_examples"))
+        F.count_if(live).alias("n_live"), F.count_if(example).alias("n_examples"))
     once = found.dropDuplicates([row]).select(row, "base")
     none = F.array().cast(f"array<{_SPAN}>")
     joined = once.join(judged, row, "left")

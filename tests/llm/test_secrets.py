@@ -82,3 +82,62 @@ def test_empty_table_and_native_plan(docs):
     assert secrets.scan(df.limit(0)).count() == 0
     plan = df.select(secrets.base_spans(F.col("text")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])"
+                   r"[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_-])")
+
+
+def slow_found(rows):
+    """(found, n_live, n_examples) by row number, from owners and repositories of every value."""
+    owners, repositories, all_ = {}, {}, []
+    for _, text, _, owner in rows:
+        text = text or ""
+        base = [tuple(x.split(":")) for x in slow(text).split(",") if x]
+        base = [(int(a), secrets.KINDS.index(k), int(b)) for k, a, b in base]
+        values = [(ASSIGN.match(text, a)[2] if k == 0 else text[a:b], a, k, b, True)
+                  for a, k, b in base]
+        values += [(m[0], m.start(), 3, m.end(), False) for m in TOKEN.finditer(text)]
+        all_.append(values)
+        for v, *_ in values:
+            owners.setdefault(v, set()).add(owner)
+            repositories.setdefault(v, set()).add((owner, text))
+    out = []
+    for values in all_:
+        live = [len(owners[v]) <= 1 for v, *_ in values]
+        copied = [len(owners[v]) >= 3 or len(owners[v]) > 1 and len(repositories[v]) >= 5
+                  for v, *_ in values]
+        base = [(a, k, b) for _, a, k, b, own in values if own]
+        added = {(a, k, b) for (v, a, k, b, own), good in zip(values, live, strict=True)
+                 if good and not own and not any(x <= a and y >= b for x, _, y in base)}
+        spans = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted([*base, *added]))
+        out.append((spans, sum(live), sum(copied)))
+    return out
+
+
+def test_added_spans_against_brute_force(docs):
+    import random
+
+    rng = random.Random(8)
+    pool = [f"{c}kz9_QwertyUiop-Asdf{i}" for c in "ab" for i in range(12)]
+    pool += ["password=abcdefghijkl", "AKIA0123456789ABCD", "deadbeefdeadbeef0", SHARED, "plain",
+             "token=zk9_QwertyUiopAsdf42xx"]
+    rows = [(i, " ".join(["é", *rng.choices(pool, k=rng.randint(0, 5))]), "en",
+             rng.choice(["a", "b", "c", None])) for i in range(60)]
+    rows += [(100 + i, f"two owners, many texts {i} q7_{LIVE}", "en", "ab"[i % 2]) for i in range(6)]
+    rows += [(200 + i, f"two owners, one text r8_{LIVE}", "en", "ab"[i % 2]) for i in range(6)]
+    want = slow_found(rows)
+    found = {r["doc_id"]: (r["f"], r["n_live"], r["n_examples"]) for r in scanned(docs, rows)}
+    for row, w in zip(rows, want, strict=True):
+        assert found[row[0]] == w, row
+    assert found[100][2] == 1 and found[200][1:] == (0, 0)
+
+
+def test_spans_of_many_matches(spark):
+    """Over several chunks, and in time linear in the matches."""
+    for n in (1, 63, 64, 65, 129, 4000):
+        text = "é ".join(f"{i:016x}" for i in range(n))
+        df = spark.createDataFrame([(text,)], "t STRING")
+        (row,) = df.select(secrets.spans(F.col("t"), secrets.HEX, 2).alias("x")).collect()
+        assert [(x["s"], x["e"], x["v"]) for x in row["x"]] == [
+            (m.start(), m.end(), m[0]) for m in re.finditer(secrets.HEX, text)]
