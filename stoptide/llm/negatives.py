@@ -266,7 +266,8 @@ def search(queries: DataFrame, index: Index, blocks: DataFrame, width: int, most
         packed = visits.groupBy("left", "right", F.pmod(F.xxhash64("query"), F.lit(packs))
                                 .alias("pack")).agg(F.collect_list(F.struct(
                                     "query", "label", "v", "asked", "floors")).alias("queries"))
-        hits = packed.join(blocks, ["left", "right"]).select(
+        # both sides grow with the rows: never broadcast, whatever their stored size looks like
+        hits = packed.hint("merge").join(blocks, ["left", "right"]).select(
             "queries", "ids", "labels", "vectors").mapInArrow(
             tiles, "query long, asked int, score long, vec_id long")
         return hits
