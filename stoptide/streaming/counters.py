@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources import versions
 
 TABLE = "cycle"
+# Versions that stay for readers that have begun; one batch makes one.
+KEEP_VERSIONS = 24
 _KEY = ["window_start", "cycle"]
 
 
@@ -30,7 +32,8 @@ def upsert(root: str):
 
     An update holds whole new values, so a batch that is run again after a crash changes nothing.
     The table has one row per cycle and window; every batch publishes it anew
-    (`sources.versions`), and readers go on with the version they began with.
+    (`sources.versions`), and a reader goes on with the version it began with, for KEEP_VERSIONS
+    batches.
     """
     def step(updates: DataFrame, number: int) -> None:
         draft = versions.Draft(updates.sparkSession, root)
@@ -43,7 +46,7 @@ def upsert(root: str):
                 updates.select(*_KEY), _KEY, "left_anti").unionByName(updates)
             draft.replace(TABLE, rows.coalesce(1))
             draft.publish()
-            versions.clean(updates.sparkSession, root, keep=3)
+            versions.clean(updates.sparkSession, root, keep=KEEP_VERSIONS)
         finally:
             updates.unpersist()
 

@@ -217,7 +217,9 @@ def test_partitions_are_replaced_and_old_versions_cleaned(spark, tmp_path):
     publish(spark, root, 2)
     unfinished = versions.Draft(spark, root)
     unfinished.replace("u", spark.range(1))
+    (tmp_path / "set" / "lines" / "run=0").mkdir(parents=True)      # somebody else's
     versions.clean(spark, root, keep=2)
+    assert (tmp_path / "set" / "lines" / "run=0").exists()
     assert versions.numbers(spark, root) == [2, 3]
     assert rows(versions.read(spark, root, "t", 2), "id") == [(0,), (1,), (3,), (6,)]
     assert versions.read(spark, root, "t").count() == 2
