@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stacking import stack
 from ..plans import gold, ingest, poll, timetable
-from ..session import scratch_dir
+from ..session import scratch_dir, shuffle_width
 from ..sources import documents, files, frames, kafka, sinks
 from .derived import geometry, last, stops
 from .joins import master_entries, timetable_tables
@@ -470,8 +470,9 @@ FROM trips GROUP BY 1, 2
 """))
 def _gold_tables(spark, sf):
     """Trips from a stop table stored by trip hash: read without a shuffle up to the sums."""
-    table = f"{_database(spark)}.stop"
-    gold.save_stops(stops(spark, sf), table, buckets=8)
+    table, buckets = f"{_database(spark)}.stop", shuffle_width(spark)
+    gold.save_stops(gold.stop_table(frames.observations(spark, sf), partitions=buckets), table,
+                    buckets=buckets)
     return gold.trip_table(spark.table(table)) \
         .groupBy("service_date", "is_long_distance").agg(
             F.count(F.lit(1)).alias("trips"), F.sum("observed_stop_count").alias("stops"),
@@ -507,7 +508,7 @@ def _gold_build(spark, sf):
     database = f"gold_{uuid.uuid4().hex}"
     tracks = geometry(spark, sf).withColumn("track_km", F.round(F.col("metres") / 1000, 1))
     gold.build_gold(frames.observations(spark, sf), frames.stations(spark, sf), database,
-                    buckets=8, tracks=tracks, circular=False)
+                    buckets=shuffle_width(spark), tracks=tracks, circular=False)
     return stack([
         spark.table(f"{database}.{name}").agg(
             F.count(F.lit(1)).alias("rows"),

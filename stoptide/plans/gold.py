@@ -84,13 +84,16 @@ def stop_rows(last: DataFrame, local_date: bool = False, keep: Sequence[str] = (
     )
 
 
-def along_trips(rows: DataFrame) -> DataFrame:
+def along_trips(rows: DataFrame, partitions: int = 0) -> DataFrame:
     """Stops (`stop_rows`) with what their trip tells them: the route, the delay before.
 
     A stop without a usable route takes the longest one of its trip; equally long routes are
     told apart by their names. The longest route and the previous delay share one window
-    order, hence one sort.
+    order, hence one sort. `partitions` deals the trips out to that many tasks: a table stored in
+    as many buckets then takes them as they are, without another shuffle.
     """
+    if partitions:
+        rows = rows.repartition(partitions, *TRIP)
     ranked = F.struct(usable_length(F.col("route")).alias("length"), F.col("route"))
     return (
         rows
@@ -105,10 +108,11 @@ def along_trips(rows: DataFrame) -> DataFrame:
     )
 
 
-def stop_table(observations: DataFrame, local_date: bool = False) -> DataFrame:
+def stop_table(observations: DataFrame, local_date: bool = False,
+               partitions: int = 0) -> DataFrame:
     """One row per stop: the last observation, its route, and the change of delay against the
-    previous observed stop of the trip."""
-    return along_trips(stop_rows(last_observation(observations), local_date))
+    previous observed stop of the trip. For `partitions` see `along_trips`."""
+    return along_trips(stop_rows(last_observation(observations), local_date), partitions)
 
 
 def trip_table(stops: DataFrame, identity: str = "first") -> DataFrame:
@@ -436,7 +440,7 @@ def build_gold(observations: DataFrame, stations: DataFrame, database: str,
     counted.collapsed(stop_rows(last_observation(observations))).write.parquet(rows)
     rows = spark.read.parquet(rows)
     checks.enforce(checks.check_trip_length(rows))
-    save_stops(counted.written(along_trips(rows)), f"{database}.stop", buckets)
+    save_stops(counted.written(along_trips(rows, buckets)), f"{database}.stop", buckets)
     checks.enforce(counted.report(spark, circular))
     stops = spark.table(f"{database}.stop")
 

@@ -58,3 +58,22 @@ def test_sketched_trips_are_made_once(spark, tables, scratch):
     plan = plan_text(summaries._percentile_sketches(spark, tables))
     assert "Window" not in plan and "lineitem" not in plan
     assert "trips" in scratch
+
+
+def test_stops_dealt_out_once_for_their_buckets(spark, tables):
+    stops = gold.stop_table(frames.observations(spark, tables), partitions=3)
+    plan = plan_text(stops.repartition(3, *gold.TRIP))
+    assert plan.count("Exchange hashpartitioning(trip_id") == 1
+
+
+def test_buckets_follow_the_session(spark, tables, monkeypatch):
+    asked = []
+    save = gold.save_stops
+    monkeypatch.setattr(gold, "save_stops", lambda s, t, buckets: (
+        asked.append(buckets), save(s, t, buckets)))
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        assert documents._gold_tables(spark, tables).agg({"trips": "sum"}).first()[0] == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert asked == [5]
