@@ -188,7 +188,9 @@ def _poll_job(spark, sf):
 
     The second run is made twice, as after a crash: its lines are there once. A third of the stops is planned, a third is planned but out of scope, a third unknown.
     """
-    docs, out = poll_documents(spark, sf), scratch_dir(spark, "emitted")
+    out, fetched, planned = (scratch_dir(spark, n) for n in ("emitted", "fetched", "planned"))
+    poll_documents(spark, sf).write.parquet(fetched)
+    docs = spark.read.parquet(fetched)
     key = F.col("station_eva")
     wanted = docs.filter((key % 3 != 2) & F.col("document").startswith("<timetable")).select(
         F.concat(key, F.lit("-2601010000-1")).alias("stop_id"),
@@ -196,6 +198,8 @@ def _poll_job(spark, sf):
     plan = wanted.select("stop_id", *[
         F.col(c) if c == "train_filter" else F.lit("IC" if c == "train_category" else None)
         .cast("string").alias(c) for c in files.S.PLAN_FIELDS])
+    plan.write.parquet(planned)
+    plan = spark.read.parquet(planned)
     first, state = poll.run(docs.filter("cycle < 11"), plan, out)
     for _ in range(2):
         second, _ = poll.run(docs.filter("cycle >= 11"), plan, out, state)

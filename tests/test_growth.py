@@ -77,3 +77,9 @@ def test_buckets_follow_the_session(spark, tables, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert asked == [5]
+
+
+def test_polled_documents_are_made_once(spark, tables, scratch):
+    report = documents._poll_job(spark, tables)
+    assert "collect_list" not in plan_text(report)
+    assert report.count() == 25
