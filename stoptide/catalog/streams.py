@@ -37,9 +37,19 @@ def stop_stream(spark, sf: str):
     return frames.from_lines(table_stream(spark, sf, "lineitem"), orders)
 
 
-def land_lines(spark, sf: str, faults: bool = False) -> str:
+# Records per landed file of the queries that take few files at once.
+_FILE_RECORDS = 200_000
+
+
+def files_at_once(spark, each: int) -> int:
+    """Files of a micro-batch: `each` for every core. A gzip file is read by one core, so a fixed
+    number would leave the others idle, however many there are."""
+    return each * spark.sparkContext.defaultParallelism
+
+
+def land_lines(spark, sf: str, faults: bool = False, file_records: int = 0) -> str:
     """Records as gzip JSON lines; with `faults`, some are cut off, of another shape or blank,
-    and some payloads lack the stop id or have no readable time."""
+    and some payloads lack the stop id or have no readable time. `file_records` bounds a file."""
     path = scratch_dir(spark, "landing")
     records = frames.records(frames.payloads(spark, sf))
     number = F.pmod(F.col("offset"), F.lit(53))
@@ -54,7 +64,8 @@ def land_lines(spark, sf: str, faults: bool = False) -> str:
         line = (F.when(number == 0, F.concat(F.lit('{"topic": "'), F.col("key")))
                 .when(number == 1, F.to_json(F.struct(F.col("key").alias("probe"))))
                 .when(number == 2, F.lit("")).otherwise(line))
-    records.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    records.select(line.alias("value")).write.option("compression", "gzip") \
+        .option("maxRecordsPerFile", file_records).text(path)
     return path
 
 
@@ -63,13 +74,14 @@ def land_lines(spark, sf: str, faults: bool = False) -> str:
 def _src_landing_stream(spark, sf):
     """Landing files -> Bronze -> Silver, as three streams that drain and stop.
 
-    Few files per batch; the watermark covers the seven years that the rows span.
+    Few files per core and batch; the watermark covers the seven years that the rows span.
     """
-    landing = land_lines(spark, sf)
+    landing = land_lines(spark, sf, file_records=_FILE_RECORDS)
+    few = files_at_once(spark, 2)
     bronze, silver, state = (scratch_dir(spark, n) for n in ("bronze", "silver", "state"))
-    medallion.write_bronze(files.landed_stream(spark, landing, max_files=2), bronze,
+    medallion.write_bronze(files.landed_stream(spark, landing, max_files=few), bronze,
                            f"{state}/bronze")
-    medallion.write_silver(medallion.bronze_stream(spark, bronze, max_files=2), silver,
+    medallion.write_silver(medallion.bronze_stream(spark, bronze, max_files=few), silver,
                            f"{state}/silver", watermark="4000 days")
     rows = spark.read.option("recursiveFileLookup", "true").parquet(silver)
     return rows.select(
@@ -195,10 +207,11 @@ def _stream_resume(spark, sf):
 SELECT trip_id, count(*) AS records, min(kafka_offset) AS first_offset FROM f GROUP BY trip_id
 """))
 def _stream_bounded_batches(spark, sf):
-    """One file per micro-batch: many small batches, the same records."""
-    landing = land_lines(spark, sf)
+    """One file per core and micro-batch: many small batches, the same records."""
+    landing = land_lines(spark, sf, file_records=_FILE_RECORDS)
     bronze, state = scratch_dir(spark, "bronze"), scratch_dir(spark, "state")
-    medallion.write_bronze(files.landed_stream(spark, landing, max_files=1), bronze, state)
+    one = files_at_once(spark, 1)
+    medallion.write_bronze(files.landed_stream(spark, landing, max_files=one), bronze, state)
     return spark.read.schema(S.BRONZE).parquet(bronze).select(
         F.regexp_extract("key", r"^(.*)-[^-]*-[^-]*$", 1).alias("trip_id"), "offset"
     ).groupBy("trip_id").agg(F.count(F.lit(1)).alias("records"),

@@ -83,3 +83,19 @@ def test_polled_documents_are_made_once(spark, tables, scratch):
     report = documents._poll_job(spark, tables)
     assert "collect_list" not in plan_text(report)
     assert report.count() == 25
+
+
+def test_micro_batches_have_files_for_every_core(spark, tables, monkeypatch):
+    asked = []
+    stream = files.landed_stream
+    monkeypatch.setattr(files, "landed_stream", lambda s, p, max_files=None: (
+        asked.append(max_files), stream(s, p, max_files))[1])
+    found = streams._stream_bounded_batches(spark, tables)
+    assert found.agg({"records": "sum"}).first()[0] == 30
+    assert asked == [spark.sparkContext.defaultParallelism]
+
+
+def test_landed_files_are_bounded(spark, tables):
+    path = streams.land_lines(spark, tables, file_records=4)
+    assert max(r["n"] for r in spark.read.text(path).selectExpr("_metadata.file_path AS f")
+               .groupBy("f").agg({"f": "count"}).toDF("f", "n").collect()) <= 4
