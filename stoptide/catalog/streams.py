@@ -140,7 +140,7 @@ def _silver_evolution(spark, sf):
     for number, payload in enumerate((early, S.PAYLOAD, early)):
         records = frames.records(rows.filter(F.col("stop_index") % 3 == number))
         records.select(F.to_json(F.struct(*S.RECORD_COLUMNS)).alias("value")) \
-            .write.text(f"{landing}/delivery={number}")
+            .write.option("compression", "gzip").text(f"{landing}/delivery={number}")
         medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
         medallion.write_silver(medallion.bronze_stream(spark, bronze), silver,
                                f"{state}/silver", watermark="4000 days", payload=payload)

@@ -99,3 +99,9 @@ def test_landed_files_are_bounded(spark, tables):
     path = streams.land_lines(spark, tables, file_records=4)
     assert max(r["n"] for r in spark.read.text(path).selectExpr("_metadata.file_path AS f")
                .groupBy("f").agg({"f": "count"}).toDF("f", "n").collect()) <= 4
+
+
+def test_evolving_deliveries_are_compressed(spark, tables, scratch):
+    assert streams._silver_evolution(spark, tables).count() == 30
+    names = _data_files(scratch["landing"])
+    assert names and all(n.endswith(".gz") for n in names)
