@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import content_digest
+from ..functions import computed_once, content_digest
 from ..operators.changes import number_cycles
 from ..session import scratch_dir
 from ..sources import files, frames
@@ -47,13 +47,16 @@ def files_at_once(spark, each: int) -> int:
     return each * spark.sparkContext.defaultParallelism
 
 
-def land_lines(spark, sf: str, faults: bool = False, file_records: int = 0) -> str:
-    """Records as gzip JSON lines; with `faults`, some are cut off, of another shape or blank,
-    and some payloads lack the stop id or have no readable time. `file_records` bounds a file."""
-    path = scratch_dir(spark, "landing")
+def record_lines(spark, sf: str, faults: bool = False):
+    """Records as JSON lines; with `faults`, some are cut off, of another shape or blank, and some
+    payloads lack the stop id or have no readable time."""
     records = frames.records(frames.payloads(spark, sf))
     number = F.pmod(F.col("offset"), F.lit(53))
     if faults:
+        # made once: each branch below would hold the code of a whole payload, too much to compile
+        records = records.select(
+            *[c for c in records.columns if c != "value"], computed_once(F.col("value"))
+            .alias("value"))
         value = F.col("value")
         records = records.withColumn("value", F.when(
             number == 3, F.regexp_replace(value, '"stop_id":"[^"]*"', '"stop_id":null')).when(
@@ -64,7 +67,13 @@ def land_lines(spark, sf: str, faults: bool = False, file_records: int = 0) -> s
         line = (F.when(number == 0, F.concat(F.lit('{"topic": "'), F.col("key")))
                 .when(number == 1, F.to_json(F.struct(F.col("key").alias("probe"))))
                 .when(number == 2, F.lit("")).otherwise(line))
-    records.select(line.alias("value")).write.option("compression", "gzip") \
+    return records.select(line.alias("value"))
+
+
+def land_lines(spark, sf: str, faults: bool = False, file_records: int = 0) -> str:
+    """`record_lines` as gzip files; `file_records` bounds a file."""
+    path = scratch_dir(spark, "landing")
+    record_lines(spark, sf, faults).write.option("compression", "gzip") \
         .option("maxRecordsPerFile", file_records).text(path)
     return path
 

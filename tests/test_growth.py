@@ -105,3 +105,10 @@ def test_evolving_deliveries_are_compressed(spark, tables, scratch):
     assert streams._silver_evolution(spark, tables).count() == 30
     names = _data_files(scratch["landing"])
     assert names and all(n.endswith(".gz") for n in names)
+
+
+def test_payloads_of_faulted_lines_are_made_once(spark, tables):
+    lines = streams.record_lines(spark, tables, faults=True)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "regexp_replace(value#" in plan
+    assert lines.count() == 30
