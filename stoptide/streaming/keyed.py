@@ -36,7 +36,7 @@ class CycleComparison(StatefulProcessor):
         self.last = handle.getValueState("last", "cycle INT, digest STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.last.get() if self.last.exists() else None
+        known = self.last.get()            # None without state; every call leaves the process
         for row in sorted(rows, key=lambda r: r["cycle"]):
             cycle, digest = row["cycle"], row["digest"]
             if known is None or known[0] != cycle - 1 or known[1] != digest:
@@ -47,7 +47,7 @@ class CycleComparison(StatefulProcessor):
             self.handle.registerTimer((known[0] + 3) * _HOUR * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = self.last.get() if self.last.exists() else None
+        known = self.last.get()
         if known is not None and (known[0] + 3) * _HOUR * 1000 <= \
                 expiredTimerInfo.getExpiryTimeInMs():
             self.last.clear()

@@ -11,6 +11,7 @@ from stoptide import session
 from stoptide.catalog import documents, stateful, streams, summaries
 from stoptide.plans import gold
 from stoptide.sources import files, frames
+from stoptide.streaming import keyed
 from tests.conftest import plan_text
 
 _DAY = dt.datetime(2024, 1, 5)
@@ -112,3 +113,40 @@ def test_payloads_of_faulted_lines_are_made_once(spark, tables):
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode" in plan and "regexp_replace(value#" in plan
     assert lines.count() == 30
+
+
+def test_polls_are_dealt_into_slots_once(spark, tables, scratch):
+    changed = stateful._stream_change_state(spark, tables)
+    # per key and day one row, of one kind on even and another on odd days: all have changed
+    assert changed.count() == 75
+    dealt = sorted(n for n in os.listdir(scratch["staged"]) if n.startswith("slot="))
+    assert dealt == ["slot=0", "slot=1", "slot=2"]
+
+
+def test_a_key_asks_for_its_state_once():
+    asked = []
+
+    class State:
+        def get(self):
+            asked.append("get")
+
+        def exists(self):
+            asked.append("exists")
+            return False
+
+        def update(self, value):
+            asked.append("update")
+
+    class Handle:
+        def getValueState(self, *a):
+            return State()
+
+        def registerTimer(self, at):
+            asked.append("timer")
+
+    step = keyed.CycleComparison()
+    step.init(Handle())
+    found = list(step.handleInputRows(("k",), iter([
+        {"cycle": 1, "digest": "a", "at": _DAY}, {"cycle": 0, "digest": "a", "at": _DAY}]), None))
+    assert [r["cycle"] for r in found] == [0]
+    assert asked == ["get", "update", "timer"]
