@@ -62,6 +62,15 @@ def _trip_key() -> Column:
     return F.coalesce("trip_id", parsed, "stop_id")
 
 
+def _told_by_stop_id(observations: DataFrame) -> DataFrame:
+    """The trip id only where the stop id does not tell it: `_trip_key` finds it again.
+
+    A shuffle need not carry it twice.
+    """
+    parsed, _, _ = split_stop_id(F.col("stop_id"))
+    return observations.withColumn("trip_id", F.nullif(F.col("trip_id"), parsed))
+
+
 def stop_rows(last: DataFrame, local_date: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Last observations as stops, with the route that each tells by itself (`route`).
 
@@ -111,8 +120,15 @@ def along_trips(rows: DataFrame, partitions: int = 0) -> DataFrame:
 def stop_table(observations: DataFrame, local_date: bool = False,
                partitions: int = 0) -> DataFrame:
     """One row per stop: the last observation, its route, and the change of delay against the
-    previous observed stop of the trip. For `partitions` see `along_trips`."""
-    return along_trips(stop_rows(last_observation(observations), local_date), partitions)
+    previous observed stop of the trip. For `partitions` see `along_trips`.
+
+    Without it the trips are dealt out before anything is derived from the columns: left to the
+    windows, the shuffle would carry both, and what they compare.
+    """
+    last = last_observation(_told_by_stop_id(observations))
+    if not partitions:
+        last = last.repartition(_trip_key(), F.col("start_at"))
+    return along_trips(stop_rows(last, local_date), partitions)
 
 
 def trip_table(stops: DataFrame, identity: str = "first") -> DataFrame:

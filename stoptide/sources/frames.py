@@ -27,11 +27,14 @@ def _stop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def from_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """The mapping itself; also used on a streaming `lines`."""
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")) \
-        .withColumn("start_at", F.col("o_orderdate").cast("timestamp"))
     e = F.expr
-    arrival_delay = e("CASE WHEN l_returnflag = 'A' AND l_partkey % 3 = 0 THEN NULL "
-                      "ELSE cast(l_quantity AS int) - 10 END")
+    # made below the join, so that its shuffle carries one number for what it is made of
+    delayed = lines.withColumn("arrival_delay", e(
+        "CASE WHEN l_returnflag = 'A' AND l_partkey % 3 = 0 THEN NULL "
+        "ELSE cast(l_quantity AS int) - 10 END"))
+    joined = delayed.join(orders, F.col("l_orderkey") == F.col("o_orderkey")) \
+        .withColumn("start_at", F.col("o_orderdate").cast("timestamp"))
+    arrival_delay = F.col("arrival_delay")
     departure_delay = e("CASE WHEN l_partkey % 7 = 0 THEN NULL "
                         "ELSE cast(l_partkey % 41 AS int) - 5 END")
     planned_arrival = e("timestamp_seconds(unix_timestamp(start_at) + 3600 * l_linenumber)")

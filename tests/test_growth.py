@@ -12,7 +12,8 @@ from stoptide.catalog import documents, stateful, streams, summaries
 from stoptide.plans import gold
 from stoptide.sources import files, frames
 from stoptide.streaming import keyed
-from tests.conftest import plan_text
+from tests.conftest import plan_text, rows
+from tests.test_gold import observed, stop
 
 _DAY = dt.datetime(2024, 1, 5)
 
@@ -67,6 +68,27 @@ def test_stops_dealt_out_once_for_their_buckets(spark, tables):
     assert plan.count("Exchange hashpartitioning(trip_id") == 1
 
 
+def test_trips_are_dealt_out_before_anything_is_derived(spark, tables):
+    plan = plan_text(gold.stop_table(frames.observations(spark, tables)))
+    assert plan.count("Exchange hashpartitioning(") == 2
+    behind = plan[:plan.index("Exchange")]
+    for derived in ("service_date", "is_long_distance", "train_brand"):
+        assert derived in behind and derived not in plan.removeprefix(behind)
+
+
+def test_trip_ids_come_back_behind_the_shuffles(spark):
+    told = [("t", "t"), ("u", "else"), ("v", None)]
+    found = gold.stop_table(observed(spark, *[
+        (s[0], given, *s[2:]) for s, given in ((stop(t, 1, "A"), g) for t, g in told)]))
+    assert rows(found, "trip_id") == [("else",), ("t",), ("v",)]
+
+
+def test_delays_are_made_below_the_join(spark, tables):
+    plan = plan_text(frames.observations(spark, tables).select("stop_id", "arrival_delay_minutes"))
+    assert "l_quantity" not in plan[:plan.index("Join")].rpartition("Project")[2]
+    assert "l_quantity" in plan[plan.index("Join"):]
+
+
 def test_buckets_follow_the_session(spark, tables, monkeypatch):
     asked = []
     save = gold.save_stops
