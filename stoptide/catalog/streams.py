@@ -162,11 +162,14 @@ def _silver_evolution(spark, sf):
 SELECT DISTINCT stop_id, {text("observed_at")} AS observed_at, trip_id, station_name FROM f
 """))
 def _stream_dedup(spark, sf):
-    """Every observation delivered twice, kept once."""
-    twice = stop_stream(spark, sf).unionByName(stop_stream(spark, sf))
+    """Every observation delivered twice, kept once.
+
+    Lines and orders are read and joined once for both deliveries.
+    """
+    rows = stop_stream(spark, sf).select("stop_id", "observed_at", "trip_id", "station_name")
+    twice = rows.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
     out, state = scratch_dir(spark, "dedup"), scratch_dir(spark, "state")
-    rows = twice.select("stop_id", "observed_at", "trip_id", "station_name")
-    medallion.drain(medallion.deduplicated(rows), out, state)
+    medallion.drain(medallion.deduplicated(twice), out, state)
     return spark.read.parquet(out)
 
 

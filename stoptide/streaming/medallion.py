@@ -12,6 +12,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from .. import schemas as S
 from ..plans.silver import silver, silver_quarantine
+from ..session import uncounted_state
 from ..sources import evolution
 from ..sources.files import record_fault
 
@@ -73,7 +74,8 @@ def drain(stream: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet"
     streams = stream.sparkSession.streams
     streams.addListener(listener)
     try:
-        query = writer.start(path)
+        with uncounted_state(stream.sparkSession):
+            query = writer.start(path)
         query.awaitTermination()
         _dropped[str(query.runId)] = listener.total(str(query.runId))
     finally:

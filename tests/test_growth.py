@@ -172,3 +172,29 @@ def test_a_key_asks_for_its_state_once():
         {"cycle": 1, "digest": "a", "at": _DAY}, {"cycle": 0, "digest": "a", "at": _DAY}]), None))
     assert [r["cycle"] for r in found] == [0]
     assert asked == ["get", "update", "timer"]
+
+
+def test_state_is_not_counted_by_drains(spark, tables, tmp_path, monkeypatch):
+    started = []
+    drained = streams.medallion.drain
+
+    def recorded(stream, *a, **kw):
+        started.append((stream, drained(stream, *a, **kw)))
+        return started[-1][1]
+
+    monkeypatch.setattr(streams.medallion, "drain", recorded)
+    out = streams._stream_dedup(spark, tables)
+    assert out.count() == out.distinct().count() == 30
+    (stream, query), = started
+    # both deliveries come from one read of the lines and reach the state
+    assert stream._jdf.queryExecution().logical().toString().count("StreamingRelation") == 1
+    assert sum(p.numInputRows for p in query.recentProgress) == 30
+    assert {o.numRowsTotal for p in query.recentProgress for o in p.stateOperators} <= {-1, 0}
+    assert spark.conf.get(session._COUNTED_STATE, None) is None
+
+
+def test_a_session_may_count_state_itself(spark):
+    spark.conf.set(session._COUNTED_STATE, "true")
+    with session.uncounted_state(spark):
+        assert spark.conf.get(session._COUNTED_STATE) == "true"
+    spark.conf.unset(session._COUNTED_STATE)
