@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import computed_once, content_digest
 from ..operators.changes import number_cycles
-from ..session import scratch_dir
+from ..session import scratch_dir, spent_shuffles
 from ..sources import files, frames
 from ..streaming import batches, changes, medallion
 from .expressions import SILVER_COLUMNS
@@ -73,8 +73,9 @@ def record_lines(spark, sf: str, faults: bool = False):
 def land_lines(spark, sf: str, faults: bool = False, file_records: int = 0) -> str:
     """`record_lines` as gzip files; `file_records` bounds a file."""
     path = scratch_dir(spark, "landing")
-    record_lines(spark, sf, faults).write.option("compression", "gzip") \
-        .option("maxRecordsPerFile", file_records).text(path)
+    with spent_shuffles(spark):
+        record_lines(spark, sf, faults).write.option("compression", "gzip") \
+            .option("maxRecordsPerFile", file_records).text(path)
     return path
 
 
@@ -121,13 +122,16 @@ SELECT kind, count(*) AS records FROM (SELECT CASE kafka_offset % 53 WHEN 0 THEN
 WHERE kind <> 'blank' GROUP BY kind
 """))
 def _silver_quarantine(spark, sf):
-    """Silver and what it leaves out: together all of Bronze."""
-    landing = land_lines(spark, sf, faults=True)
+    """Silver and what it leaves out: together all of Bronze. Few files per core and batch; the
+    watermark covers the seven years that the rows span."""
+    landing = land_lines(spark, sf, faults=True, file_records=_FILE_RECORDS)
+    few = files_at_once(spark, 2)
     bronze, silver, aside, state = (
         scratch_dir(spark, n) for n in ("bronze", "silver", "quarantine", "state"))
-    medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
-    medallion.write_silver(medallion.bronze_stream(spark, bronze), silver, f"{state}/silver",
-                           watermark="4000 days", quarantine=aside)
+    medallion.write_bronze(files.landed_stream(spark, landing, max_files=few), bronze,
+                           f"{state}/bronze")
+    medallion.write_silver(medallion.bronze_stream(spark, bronze, max_files=few), silver,
+                           f"{state}/silver", watermark="4000 days", quarantine=aside)
     kept = spark.read.parquet(silver).select(F.lit("observation").alias("kind"))
     return kept.unionByName(spark.read.parquet(aside).select(F.col("reason").alias("kind"))) \
         .groupBy("kind").agg(F.count(F.lit(1)).alias("records"))
@@ -141,17 +145,24 @@ SELECT stop_id, {text("observed_at - INTERVAL 2 HOUR")} AS observed_at,
 FROM f
 """))
 def _silver_evolution(spark, sf):
-    """Three runs on one checkpoint; only the second knows of the columns brand and filter."""
+    """Three runs on one checkpoint; only the second knows of the columns brand and filter.
+
+    Few files per core and batch, as in `src_landing_stream`.
+    """
+    few = files_at_once(spark, 2)
     landing, bronze, silver, state = (
         scratch_dir(spark, n) for n in ("landing", "bronze", "silver", "state"))
     rows = frames.payloads(spark, sf)
     early = S.T.StructType([f for f in S.PAYLOAD if f.name not in ("brand", "train_filter")])
     for number, payload in enumerate((early, S.PAYLOAD, early)):
         records = frames.records(rows.filter(F.col("stop_index") % 3 == number))
-        records.select(F.to_json(F.struct(*S.RECORD_COLUMNS)).alias("value")) \
-            .write.option("compression", "gzip").text(f"{landing}/delivery={number}")
-        medallion.write_bronze(files.landed_stream(spark, landing), bronze, f"{state}/bronze")
-        medallion.write_silver(medallion.bronze_stream(spark, bronze), silver,
+        with spent_shuffles(spark):
+            records.select(F.to_json(F.struct(*S.RECORD_COLUMNS)).alias("value")) \
+                .write.option("compression", "gzip").option("maxRecordsPerFile", _FILE_RECORDS) \
+                .text(f"{landing}/delivery={number}")
+        medallion.write_bronze(files.landed_stream(spark, landing, max_files=few), bronze,
+                               f"{state}/bronze")
+        medallion.write_silver(medallion.bronze_stream(spark, bronze, max_files=few), silver,
                                f"{state}/silver", watermark="4000 days", payload=payload)
     return medallion.silver_table(spark, silver).select(
         "stop_id", "observed_at", "brand", "train_filter", "train_number",

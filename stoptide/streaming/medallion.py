@@ -12,8 +12,8 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from .. import schemas as S
 from ..plans.silver import silver, silver_quarantine
-from ..session import uncounted_state
-from ..sources import evolution
+from ..session import lean_stream
+from ..sources import evolution, sinks
 from ..sources.files import record_fault
 
 # Kafka keeps three days; a replay of all of it must not fall behind the watermark.
@@ -60,9 +60,12 @@ DAY_SLICES = 8
 
 def drain(stream: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet",
           partition_by: list[str] | None = None, **options: str) -> StreamingQuery:
-    """Append everything present to `path`, then stop. Returns the finished query."""
+    """Append everything present to `path`, then stop. Returns the finished query.
+
+    What it needs beside the rows is kept small (`session.lean_stream`).
+    """
     writer = (
-        stream.writeStream.format(fmt).outputMode("append")
+        stream.writeStream.format(fmt).outputMode("append").options(**sinks.dense(fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
@@ -74,7 +77,7 @@ def drain(stream: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet"
     streams = stream.sparkSession.streams
     streams.addListener(listener)
     try:
-        with uncounted_state(stream.sparkSession):
+        with lean_stream(stream.sparkSession):
             query = writer.start(path)
         query.awaitTermination()
         _dropped[str(query.runId)] = listener.total(str(query.runId))
