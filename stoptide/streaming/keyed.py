@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..session import lean_stream
+
 # A cycle is an hour on the clock of the watermark, whenever it was polled. Its rows are dated
 # in the middle, as rows at the watermark itself count as late.
 _HOUR, _MIDDLE = 3600, 1800
@@ -93,7 +95,9 @@ def changes(rows: DataFrame, lateness: int = 1) -> DataFrame:
 def filter_changes(rows: DataFrame, out: str, checkpoint: str, lateness: int = 1
                    ) -> StreamingQuery:
     """Drain `rows` and append what changed to `out`; the checkpoint keeps the state."""
-    query = changes(rows, lateness).writeStream.format("parquet").outputMode("append") \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+    writer = changes(rows, lateness).writeStream.format("parquet").outputMode("append") \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with lean_stream(rows.sparkSession, counted=True):
+        query = writer.start(out)
     query.awaitTermination()
     return query
